@@ -174,3 +174,23 @@ def categorize_skills(skills: Column) -> Column:
         return F.transform(F.filter(kinded, lambda p: p["kind"] == kind), lambda p: p["skill"])
 
     return F.map_from_arrays(_literal_array(SKILL_KINDS), F.array(*[of_kind(k) for k in SKILL_KINDS]))
+
+
+def match_skills(offers: DataFrame, key: str, text: str, referential: DataFrame) -> DataFrame:
+    """(key, skill, category, kind) for every skill of a referential table found in an offer.
+
+    The tokens of a text meet the first tokens of the skills, and only those candidates
+    meet the text again and are checked by regex. The work grows with the candidates, not
+    with offers x skills, and a text is never copied per token.
+    """
+    head = F.regexp_extract(F.lower("skill"), "^[a-z0-9]*", 0)
+    escaped = F.replace(F.lower("skill"), F.lit(" "), F.lit("\\E" + _GAP + "\\Q"))
+    dimension = referential.select(
+        "skill", "category", "kind", head.alias("_head"),
+        F.concat(F.lit(f"(?U){_LEFT}\\Q"), escaped, F.lit(f"\\E{_RIGHT}")).alias("_pattern"))
+    texts = offers.select(key, normalize_nfkd(F.col(text)).alias("_norm"))
+    tokens = texts.select(key, F.explode(
+        F.array_distinct(F.regexp_extract_all("_norm", F.lit("[a-z0-9]+"), 0))).alias("_head"))
+    candidates = tokens.join(dimension, "_head").drop("_head")
+    return texts.join(candidates, key).where(F.rlike("_norm", F.col("_pattern"))) \
+        .select(key, "skill", "category", "kind")

@@ -93,8 +93,9 @@ def patch_enrichment(enriched: DataFrame, predicted: DataFrame, as_of: str) -> D
             "id": F.md5(F.concat_ws("|", F.lit("patch"), "_offer")), "offre_id": F.col("_offer"),
             "processing_version": F.lit(PATCH_VERSION), "processed_at": moment(as_of),
         }
-        value = F.col("_new")[name] if name in filled else fixed.get(name, F.lit(None))
-        return value.cast(enriched.schema[name].dataType)
+        if name in filled:
+            return F.col("_new")[name]
+        return fixed.get(name, F.lit(None)).cast(enriched.schema[name].dataType)
 
     return patched.select(*[updated(c).alias(c) for c in columns]).unionByName(
         aimed.where("_target IS NULL").select(*[created(c).alias(c) for c in columns]))

@@ -9,11 +9,13 @@ joining of those lists happens in Spark expressions.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,9 @@ from offerflow.functions import text as tx
 from offerflow.functions.dates import moment, parse_iso_date, parse_posted_fr, parse_relative_fr
 from offerflow.sources import site_rules
 
+# The parser travels with the job, so workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
 # A start tag closes an open element of the same group, up to the group's container.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -182,7 +187,7 @@ def extract_fields(pages: DataFrame, rules: dict[str, str], html: str = "html")
         for batch in batches:
             trees = (_Tree(h or "").root for h in batch[html])
             out = batch.drop(columns=[html])
-            out["fields"] = [[(name, _values(t, rule)) for name, rule in rules.items()] for t in trees]
+            out["fields"] = [{name: _values(t, rule) for name, rule in rules.items()} for t in trees]
             yield out
 
     return pages.mapInPandas(parse, schema)
@@ -197,23 +202,25 @@ def extract_blocks(pages: DataFrame, listing: dict, url: str = "url", html: str
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep]
                        + ["position int", "kind string", "link string", f"fields {_FIELDS}"])
 
+    last_page, numbered_url = site_rules.NUMBERED_LISTING_LAST, site_rules.NUMBERED_LISTING_URL
+
     def of_page(row: dict) -> Iterator[dict]:
         root = _Tree(row[html] or "").root
         shared = {k: v for k, v in row.items() if k != html}
         for position, block in enumerate(_select(root, listing["block"])):
-            values = [(name, _values(block, rule)) for name, rule in listing["fields"].items()]
-            link = next(iter(dict(values)["link"]), None)
+            values = {name: _values(block, rule) for name, rule in listing["fields"].items()}
+            link = next(iter(values["link"]), None)
             yield shared | {"position": position, "kind": "detail", "fields": values,
                             "link": urljoin(row[url], link.strip()) if link else None}
         for link in _values(root, listing["next"])[:1] if listing["next"] else []:
-            yield shared | {"position": -1, "kind": "next", "link": _next_link(row[url], link), "fields": []}
+            yield shared | {"position": -1, "kind": "next", "link": _next_link(row[url], link), "fields": {}}
 
     def _next_link(base: str, found: str) -> str | None:
         if "::attr" in listing["next"]:
             return urljoin(base, found)
-        number = int(found) if found.strip().isdigit() else site_rules.NUMBERED_LISTING_LAST
-        if number < site_rules.NUMBERED_LISTING_LAST:
-            return urljoin(base, f"{site_rules.NUMBERED_LISTING_URL}{number + 1}")
+        number = int(found) if found.strip().isdigit() else last_page
+        if number < last_page:
+            return urljoin(base, f"{numbered_url}{number + 1}")
         return None
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -263,7 +270,6 @@ def _item_columns(table: str, as_of: str) -> dict[str, Column]:
         }
     if table == "emploi_expatdakar":
         pairs = F.arrays_zip(_list("property_title").alias("dt"), _list("property_value").alias("dd"))
-        pairs = F.transform(pairs, lambda p: F.struct(p["0"].alias("dt"), p["1"].alias("dd")))
         properties = {
             name: tx.clean_label(tx.property_value(pairs, text)) for text, name in site_rules.PROPERTY_LABELS.items()
         }

@@ -15,12 +15,16 @@ FORMATS = ("csv", "json", "parquet")
 
 
 # ------------------------------------------------------------------ reading
-def read_offers(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Offers from a CSV, JSON (one array per file) or Parquet path, chosen by its extension."""
+def read_offers(spark: SparkSession, path: str, schema: T.StructType, json_lines: bool = False) -> DataFrame:
+    """Offers from a CSV, JSON or Parquet path, chosen by its extension.
+
+    A JSON file holds one array, or with ``json_lines`` (splittable) one object per line.
+    """
     kind = path.rsplit(".", 1)[-1].lower()
     if kind not in FORMATS:
         raise ValueError(f"unsupported format: {path}")
-    options = {"csv": {"header": True, "multiLine": True, "escape": '"'}, "json": {"multiLine": True}, "parquet": {}}
+    options = {"csv": {"header": True, "multiLine": True, "escape": '"'},
+               "json": {"multiLine": not json_lines}, "parquet": {}}
     return spark.read.schema(schema).options(**options[kind]).format(kind).load(path)
 
 
