@@ -7,6 +7,7 @@ first tokens, and a term's regex runs only on texts that hold its first token.
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from collections.abc import Iterable
@@ -71,7 +72,7 @@ def skill_dictionary(
 
 
 def _literal_array(values: Iterable[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+    return F.lit(list(values))
 
 
 def _title(match: Column) -> Column:
@@ -81,10 +82,8 @@ def _title(match: Column) -> Column:
 
 def dictionary_skills(normalized: Column, heads: Column, dictionary: list[tuple]) -> Column:
     """Display names of the terms found in the text."""
-    table = F.array(*[
-        F.struct(F.lit(head).alias("head"), F.lit(pattern).alias("pattern"), F.lit(shown).alias("shown"))
-        for head, pattern, shown, *_ in dictionary
-    ])
+    entries = [{"head": head, "pattern": pattern, "shown": shown} for head, pattern, shown, *_ in dictionary]
+    table = F.from_json(F.lit(json.dumps(entries)), "array<struct<head string, pattern string, shown string>>")
     found = F.filter(table, lambda t: F.array_contains(heads, t["head"]) & F.rlike(normalized, t["pattern"]))
     return F.transform(found, lambda t: t["shown"])
 

@@ -27,6 +27,7 @@ from offerflow.operators import stats
 from offerflow.operators.enrich import read_offers_with_enrichment
 from offerflow.operators.upsert import patch_enrichment
 from offerflow.sources.tables import write_enriched_csv
+from offerflow.workdir import shared_dir
 
 
 @dataclass(frozen=True)
@@ -139,13 +140,14 @@ def accepted(confidence: Column, threshold: float) -> Column:
 def classification_metrics(predictions: DataFrame, column: str, labels: list[str]) -> dict[str, float]:
     """Accuracy and weighted F1 of predicted against true labels."""
     positions = F.array(*[F.lit(label) for label in labels])
-    indexed = predictions.where(F.col(column).isin(*labels)).select(
-        (F.array_position(positions, F.col("label")) - 1).cast("double").alias("prediction"),
-        (F.array_position(positions, F.col(column)) - 1).cast("double").alias("label"))
-    evaluator = MulticlassClassificationEvaluator(predictionCol="prediction", labelCol="label")
-    return {
-        name: evaluator.evaluate(indexed, {evaluator.metricName: name}) for name in ("accuracy", "f1")
-    }
+    counts = predictions.where(F.col(column).isin(*labels)).groupBy("label", column).agg(
+        F.count(F.lit(1)).cast("double").alias("rows")).select(
+        (F.array_position(positions, F.col("label")) - 1).cast("double").alias("predicted"),
+        (F.array_position(positions, F.col(column)) - 1).cast("double").alias("actual"), "rows")
+    # One row per pair of labels, so both figures come from a single pass over the predictions.
+    pairs = predictions.sparkSession.createDataFrame(counts.collect(), counts.schema)
+    evaluator = MulticlassClassificationEvaluator(predictionCol="predicted", labelCol="actual", weightCol="rows")
+    return {name: evaluator.evaluate(pairs, {evaluator.metricName: name}) for name in ("accuracy", "f1")}
 
 
 def save_imputer(model: PipelineModel, path: str) -> None:
@@ -167,7 +169,9 @@ def train_column(
     """Fit on the training part, measure on the validation part."""
     text = model_text(F.col("title"), F.col("description"), rules.NO_TEXT)
     labelled = complete.select(F.col(key), F.col(column).cast("string").alias(column), text.alias("_text"))
-    split = stratified_split(labelled, column, key, config.validation_share, config.seed)
+    # Training passes over the rows many times; the checkpoint keeps them out of its lineage.
+    shared_dir(complete.sparkSession)
+    split = stratified_split(labelled, column, key, config.validation_share, config.seed).checkpoint()
     model = fit_imputer(split.where("NOT is_validation"), column, "_text", config)
     checked = predict_imputer(model, split.where("is_validation"), config.min_confidence)
     labels = next(s.labels for s in model.stages if isinstance(s, StringIndexerModel))

@@ -422,12 +422,12 @@ _DERIVED["semantics"] = f"""SELECT id, txt, {_EXPERIENCE} AS experience_years, {
   / greatest(len(words) * 0.02::DOUBLE, 1.0::DOUBLE), 1.0::DOUBLE), -1.0::DOUBLE), 3) END AS sentiment_score
 FROM worded"""
 _SEMANTICS = ("offers", "texts", "cleaned", "worded", "semantics")
-_FOUND = " + ".join(f"CAST({c} IS NOT NULL AS INTEGER)" for c in
+_FOUND = " + ".join(f"CAST(m.{c} IS NOT NULL AS INTEGER)" for c in
                     ("experience_years", "sector", "job_category", "job_level", "job_type"))
 ORACLES["semantic_fields"] = _with(f"""
 SELECT id, experience_years, sector, job_category, job_level, job_type,
  CASE WHEN txt <> '' THEN sentiment_score END AS sentiment_score,
- CASE WHEN txt <> '' THEN round((1 + {_FOUND}) / 7.0::DOUBLE, 6) END AS confidence_score FROM semantics""", *_SEMANTICS)
+ CASE WHEN txt <> '' THEN round((1 + {_FOUND}) / 7.0::DOUBLE, 6) END AS confidence_score FROM semantics m""", *_SEMANTICS)
 ORACLES["cleaned_text"] = _with("SELECT id, md5(clean) AS cleaned FROM cleaned", "offers", "texts", "cleaned")
 
 # Key phrases: the same scoring over unnested phrases.
@@ -706,8 +706,7 @@ _FILL = f"""SELECT l.offre_id, {', '.join(f'coalesce(l.{c}, p.{c}) AS {c}' for c
     *_FILLED, 'extracted_skills', 'extracted_salary_min', 'extracted_salary_max'))}
 FROM latest l LEFT JOIN predictions p ON p.id = l.offre_id"""
 ORACLES["fill_missing"] = _with(f"""
-SELECT * REPLACE (array_to_string(extracted_skills, '|') AS extracted_skills) RENAME (extracted_skills AS skills)
-FROM ({_FILL})""", "offers", "enriched", "latest", "predictions")
+SELECT * EXCLUDE (extracted_skills), array_to_string(extracted_skills, '|') AS skills FROM ({_FILL})""", "offers", "enriched", "latest", "predictions")
 ORACLES["fill_report"] = _with(f"""
 , filled AS ({_FILL}),
 b AS ({_completeness('latest')}), a AS ({_completeness('filled')})

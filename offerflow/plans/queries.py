@@ -44,6 +44,15 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.offers(spark, sf_dir).select("*", tx.offer_text(F.col("title"), F.col("description")).alias("txt"))
 
 
+def _exploded(rows: DataFrame, column: str) -> DataFrame:
+    """Drop the empty rows of an outer explode.
+
+    A plain explode makes the optimizer test the array's size below the scan side, with the
+    whole extraction copied into that filter; the outer form computes it once.
+    """
+    return rows.where(F.col(column).isNotNull())
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its text as a list of lines."""
     return fx.table(spark, sf_dir, "documents").withColumn("lines", F.split("text", "\n"))
@@ -381,21 +390,21 @@ def key_phrases_of_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def skills_of_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = skills.with_skills(_texts(spark, sf_dir).select("id", "txt"), "txt")
-    return rows.select("id", F.explode("skills").alias("skill"))
+    return _exploded(rows.select("id", F.explode_outer("skills").alias("skill")), "skill")
 
 
 @query
 def skill_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = skills.with_skills(_texts(spark, sf_dir).select("id", "txt"), "txt", scores="scores")
-    ranked = rows.select("id", F.posexplode("scores").alias("position", "s"))
-    return ranked.select("id", (F.col("position") + 1).cast("bigint").alias("position"), "s.skill",
+    ranked = rows.select("id", F.posexplode_outer("scores").alias("position", "s"))
+    return _exploded(ranked, "s").select("id", (F.col("position") + 1).cast("bigint").alias("position"), "s.skill",
                          F.round("s.score", 6).alias("score"))
 
 
 @query
 def skill_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = skills.with_skills(_texts(spark, sf_dir).select("id", "txt"), "txt")
-    kinds = rows.select("id", F.explode(skills.categorize_skills(F.col("skills"))).alias("kind", "found"))
+    kinds = rows.select("id", F.explode_outer(skills.categorize_skills(F.col("skills"))).alias("kind", "found"))
     return kinds.select("id", "kind", _list(F.array_sort("found")).alias("skills"))
 
 
