@@ -6,11 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from offerflow import rules
-from offerflow.functions.labels import best_label, keyword_hits
-
-
-def _has_text(text: Column) -> Column:
-    return F.coalesce(text, F.lit("")) != ""
+from offerflow.functions.labels import any_keyword, best_label, first_label, keyword_hits, let, literal_rows
+from offerflow.functions.text import lowered_text
 
 
 def contract_score(lowered: Column) -> Column:
@@ -19,31 +16,29 @@ def contract_score(lowered: Column) -> Column:
 
 def contract_infer(lowered: Column) -> Column:
     """Type suggested by at least two context hints, else the default type."""
-    hinted = [
-        F.when(keyword_hits(lowered, words) >= rules.CONTRACT_HINTS_NEEDED, F.lit(label))
-        for label, words in rules.CONTRACT_HINTS.items()
-    ]
-    return F.coalesce(*hinted, F.lit(rules.DEFAULT_CONTRACT))
+    hinted = first_label(lowered, rules.CONTRACT_HINTS, rules.CONTRACT_HINTS_NEEDED)
+    return F.coalesce(hinted, F.lit(rules.DEFAULT_CONTRACT))
+
+
+def classify_lowered(lowered: Column) -> Column:
+    """Contract type of a lowered text; NULL for an empty one."""
+    return let(lowered, lambda t: F.when(t != "", F.coalesce(contract_score(t), contract_infer(t))))
 
 
 def classify_contract(text: Column) -> Column:
-    lowered = F.lower(text)
-    return F.when(_has_text(text), F.coalesce(contract_score(lowered), contract_infer(lowered)))
+    return classify_lowered(lowered_text(text))
 
 
 def contract_duration_months(lowered: Column) -> Column:
     """``N m…`` as months, else ``N a…``/``N year`` as years."""
     def number(unit: str) -> Column:
-        return F.regexp_extract(lowered, rf"(?U)(?<![0-9])([0-9]++)\s*+{unit}", 1).try_cast("bigint")
+        return F.regexp_extract(lowered, rf"(?<![0-9])([0-9]++)\s*+{unit}", 1).try_cast("bigint")
 
     return F.coalesce(number("m"), F.try_multiply(number("(?:a|year)"), F.lit(rules.MONTHS_PER_YEAR)))
 
 
 def is_remote(lowered: Column) -> Column:
-    found = F.lit(False)
-    for word in rules.REMOTE_WORDS:
-        found = found | F.contains(lowered, F.lit(word))
-    return found
+    return any_keyword(lowered, rules.REMOTE_WORDS)
 
 
 def is_full_time(lowered: Column) -> Column:
@@ -65,17 +60,19 @@ def contract_confidence(contract_type: Column, duration: Column, remote: Column)
 
 def extract_contract_info(text: Column) -> Column:
     """All contract facts as a struct; an empty text yields the defaults."""
-    lowered = F.lower(text)
-    kind = classify_contract(text)
-    months = F.when(_has_text(text), contract_duration_months(lowered))
-    remote = _has_text(text) & is_remote(lowered)
-    return F.struct(
-        kind.alias("contract_type"),
-        months.alias("duration_months"),
-        F.coalesce(remote, F.lit(False)).alias("is_remote"),
-        F.when(_has_text(text), is_full_time(lowered)).otherwise(F.lit(True)).alias("is_full_time"),
-        F.when(_has_text(text), contract_confidence(kind, months, remote)).otherwise(F.lit(0.0)).alias("confidence"),
-    )
+    def facts(t: Column) -> Column:
+        found = F.struct(
+            classify_lowered(t).alias("kind"), contract_duration_months(t).alias("months"),
+            is_remote(t).alias("remote"), is_full_time(t).alias("full_time"))
+        return let(found, lambda f: F.struct(
+            F.when(t != "", f["kind"]).alias("contract_type"),
+            F.when(t != "", f["months"]).alias("duration_months"),
+            F.coalesce((t != "") & f["remote"], F.lit(False)).alias("is_remote"),
+            F.when(t != "", f["full_time"]).otherwise(F.lit(True)).alias("is_full_time"),
+            F.when(t != "", contract_confidence(f["kind"], f["months"], f["remote"])).otherwise(F.lit(0.0))
+            .alias("confidence")))
+
+    return let(lowered_text(text), facts)
 
 
 def _reference_salary(minimum: Column, maximum: Column) -> Column:
@@ -83,20 +80,22 @@ def _reference_salary(minimum: Column, maximum: Column) -> Column:
     return F.coalesce(F.nullif(minimum, F.lit(0)), F.nullif(maximum, F.lit(0))) / F.lit(2.0)
 
 
+def _salary_ranges() -> Column:
+    return literal_rows(
+        [{"label": k, "low": low, "high": high} for k, (low, high) in rules.CONTRACT_SALARY_RANGES.items()],
+        "label string, low bigint, high bigint")
+
+
 def recommend_contracts(minimum: Column, maximum: Column) -> Column:
     """First contract types whose salary range holds the reference salary."""
-    salary = _reference_salary(minimum, maximum)
-    fitting = F.array(*[
-        F.when(salary.between(low, high), F.lit(label))
-        for label, (low, high) in rules.CONTRACT_SALARY_RANGES.items()
-    ])
-    return F.slice(F.array_compact(fitting), 1, rules.MAX_CONTRACT_RECOMMENDATIONS)
+    fitting = let(_reference_salary(minimum, maximum), lambda s: F.filter(
+        _salary_ranges(), lambda r: F.coalesce(s.between(r["low"], r["high"]), F.lit(False))))
+    return F.slice(F.transform(fitting, lambda r: r["label"]), 1, rules.MAX_CONTRACT_RECOMMENDATIONS)
 
 
 def validate_contract_salary(contract_type: Column, minimum: Column, maximum: Column) -> Column:
     """False only when a known type's salary range does not hold the reference salary."""
-    salary = _reference_salary(minimum, maximum)
-    valid = F.lit(True)
-    for label, (low, high) in rules.CONTRACT_SALARY_RANGES.items():
-        valid = F.when(contract_type == label, salary.between(low, high)).otherwise(valid)
-    return F.when(salary.isNull(), F.lit(True)).otherwise(valid)
+    outside = let(F.struct(contract_type.alias("kind"), _reference_salary(minimum, maximum).alias("salary")), lambda x: F.exists(
+        _salary_ranges(), lambda r: F.coalesce(
+            (r["label"] == x["kind"]) & ~x["salary"].between(r["low"], r["high"]), F.lit(False))))
+    return ~outside

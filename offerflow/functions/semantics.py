@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerflow import rules
-from offerflow.functions.labels import best_label
-from offerflow.functions.text import NOT_AFTER_WORD, NOT_BEFORE_WORD, SPACE, WORD, strip
+from offerflow.functions.labels import best_label, let
+from offerflow.functions.text import NOT_AFTER_WORD, NOT_BEFORE_WORD, SPACE
 
 _YEARS = "an(?:s|née|nées)?"
 EXPERIENCE_PATTERNS = (
@@ -19,14 +19,14 @@ EXPERIENCE_PATTERNS = (
 
 def clean_offer_text(text: Column) -> Column:
     """Lowercase, collapse blanks, blank out special characters, trim."""
-    collapsed = F.regexp_replace(F.lower(text), rf"(?U){SPACE}+", " ")
-    return strip(F.regexp_replace(collapsed, r"""[^a-zA-ZÀ-ÿ0-9\s\-'"]""", " "))
+    collapsed = F.regexp_replace(F.lower(text), f"{SPACE}+", " ")
+    return F.trim(F.regexp_replace(collapsed, r"""[^a-zA-ZÀ-ÿ0-9 \-'"]""", " "))
 
 
 def experience_years(cleaned: Column) -> Column:
     """First match of each pattern in turn, accepted up to thirty years."""
-    years = [F.regexp_extract(cleaned, p, 1).try_cast("int") for p in EXPERIENCE_PATTERNS]
-    return F.coalesce(*[F.when(y.between(0, rules.MAX_EXPERIENCE_YEARS), y) for y in years])
+    years = F.array(*[F.regexp_extract(cleaned, p, 1).try_cast("int") for p in EXPERIENCE_PATTERNS])
+    return F.get(F.filter(years, lambda y: F.coalesce(y <= rules.MAX_EXPERIENCE_YEARS, F.lit(False))), F.lit(0))
 
 
 def sector(cleaned: Column) -> Column:
@@ -47,14 +47,22 @@ def job_type(cleaned: Column) -> Column:
 
 def sentiment(cleaned: Column) -> Column:
     """Positive minus negative words over two percent of all words, within -1..1."""
-    def count_of(words: tuple[str, ...]) -> Column:
-        return F.regexp_count(cleaned, F.lit(f"{NOT_AFTER_WORD}(?:{'|'.join(words)}){NOT_BEFORE_WORD}"))
-
-    words = F.regexp_count(cleaned, F.lit(f"[{WORD}]+"))
-    balance = count_of(rules.POSITIVE_WORDS) - count_of(rules.NEGATIVE_WORDS)
-    share = balance / F.greatest(words * F.lit(rules.SENTIMENT_WORD_SHARE), F.lit(1.0))
-    bounded = F.greatest(F.least(share, F.lit(1.0)), F.lit(-1.0))
-    return F.when(words == 0, F.lit(0.0)).otherwise(F.bround(bounded, 3))
+    lexicon = rules.POSITIVE_WORDS + rules.NEGATIVE_WORDS
+    first_letters = "".join(sorted({w[0] for w in lexicon}))
+    pattern = f"(?=[{first_letters}]){NOT_AFTER_WORD}(?:{'|'.join(lexicon)}){NOT_BEFORE_WORD}"
+    # Cleaned texts hold no word characters besides these letters and digits.
+    counts = F.struct(
+        F.regexp_count(cleaned, F.lit("[a-z0-9À-ÖØ-öø-ÿ]+")).alias("words"),
+        F.regexp_extract_all(cleaned, F.lit(pattern), 0).alias("marked"))
+
+    def score(c: Column) -> Column:
+        negative = F.size(F.filter(c["marked"], lambda w: w.isin(*rules.NEGATIVE_WORDS)))
+        balance = F.size(c["marked"]) - F.lit(2) * negative
+        share = balance / F.greatest(c["words"] * F.lit(rules.SENTIMENT_WORD_SHARE), F.lit(1.0))
+        return F.when(c["words"] == 0, F.lit(0.0)).otherwise(
+            F.bround(F.greatest(F.least(share, F.lit(1.0)), F.lit(-1.0)), 3))
+
+    return let(counts, score)
 
 
 def nlp_confidence(fields: list[Column], key_phrases: Column) -> Column:

@@ -7,7 +7,6 @@ first tokens, and a term's regex runs only on texts that hold its first token.
 
 from __future__ import annotations
 
-import json
 import re
 import unicodedata
 from collections.abc import Iterable
@@ -17,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerflow import rules
-from offerflow.functions.text import NOT_AFTER_WORD, NOT_BEFORE_WORD, strip
+from offerflow.functions.labels import let, literal_array, literal_rows
+from offerflow.functions.text import NOT_AFTER_WORD, NOT_BEFORE_WORD, lowered_text, strip
 
 _LEFT, _RIGHT = "(?<![a-zA-Z0-9])", "(?![a-zA-Z0-9])"
 _GAP = r"[\s\-]+"
@@ -29,15 +29,18 @@ def _nfkd(texts: pd.Series) -> pd.Series:
 
 
 def normalize_nfkd(text: Column) -> Column:
-    """NFKD, special blanks to plain ones, lowercase; pure ASCII texts never leave the JVM."""
+    """NFKD, special blanks to plain ones, lowercase; pure ASCII texts never leave the JVM.
+
+    Blanks that stay special become tabs, so that ``\\s`` finds every blank.
+    """
     decomposed = _nfkd(F.when(text.rlike(r"[^\x00-\x7F]"), text))
     blanks = r"[\x{a0}\x{200b}\x{202f}\x{2009}\x{2002}\x{2003}]"
-    return F.lower(F.regexp_replace(F.coalesce(decomposed, text), blanks, " "))
+    return lowered_text(F.regexp_replace(F.coalesce(decomposed, text), blanks, " "))
 
 
 def skill_pattern(term: str) -> str:
     """Regex for a term: flexible gaps, no ASCII letter or digit on either side."""
-    return f"(?U){_LEFT}{_body(term)}{_RIGHT}"
+    return f"{_LEFT}{_body(term)}{_RIGHT}"
 
 
 def _body(term: str) -> str:
@@ -45,11 +48,11 @@ def _body(term: str) -> str:
 
 
 def _any_of(terms: Iterable[str]) -> str:
-    return f"(?U){_LEFT}(?:{'|'.join(_body(t) for t in terms)}){_RIGHT}"
+    return f"{_LEFT}(?:{'|'.join(_body(t) for t in terms)}){_RIGHT}"
 
 
 def _named(pattern: str) -> str:
-    return f"(?U){NOT_AFTER_WORD}{pattern}{NOT_BEFORE_WORD}"
+    return f"(?=[a-z]){NOT_AFTER_WORD}{pattern}{NOT_BEFORE_WORD}"
 
 
 def skill_dictionary(
@@ -71,19 +74,15 @@ def skill_dictionary(
     return [(re.match("[a-z0-9]*", t).group(), skill_pattern(t), shown, kind, c) for t, shown, kind, c in terms]
 
 
-def _literal_array(values: Iterable[str]) -> Column:
-    return F.lit(list(values))
-
-
 def _title(match: Column) -> Column:
     """Capitalise every word and keep the blanks between them."""
-    return F.array_join(F.transform(F.regexp_extract_all(match, F.lit(r"(?U)\s+|\S+"), 0), F.initcap), "")
+    return F.array_join(F.transform(F.regexp_extract_all(match, F.lit(r"\s+|\S+"), 0), F.initcap), "")
 
 
 def dictionary_skills(normalized: Column, heads: Column, dictionary: list[tuple]) -> Column:
     """Display names of the terms found in the text."""
     entries = [{"head": head, "pattern": pattern, "shown": shown} for head, pattern, shown, *_ in dictionary]
-    table = F.from_json(F.lit(json.dumps(entries)), "array<struct<head string, pattern string, shown string>>")
+    table = literal_rows(entries, "head string, pattern string, shown string")
     found = F.filter(table, lambda t: F.array_contains(heads, t["head"]) & F.rlike(normalized, t["pattern"]))
     return F.transform(found, lambda t: t["shown"])
 
@@ -110,12 +109,15 @@ def _scored(skill: Column, normalized: Column) -> Column:
     gap = "\\E" + _GAP + "\\Q"
     core = F.concat(
         F.lit(f"{_LEFT}\\Q"), F.replace(F.lower(skill), F.lit(" "), F.lit(gap)), F.lit(f"\\E{_RIGHT}"))
-    count = F.regexp_count(normalized, F.concat(F.lit("(?U)"), core))
-    before = F.length(F.call_function(
-        "regexp_extract", normalized, F.concat(F.lit("(?Us)^(.*?)"), core), F.lit(1)))
-    size = F.greatest(F.length(normalized), F.lit(1))
-    score = F.when(count == 0, F.lit(rules.CONTEXT_ONLY_SCORE)).otherwise(count + (F.lit(1.0) - before / size))
-    return F.struct((-score).alias("order"), skill.alias("skill"))
+
+    def measured(pattern: Column) -> Column:
+        before = F.length(F.call_function(
+            "regexp_extract", normalized, F.concat(F.lit("(?s)^(.*?)"), pattern), F.lit(1)))
+        size = F.greatest(F.length(normalized), F.lit(1))
+        return let(F.regexp_count(normalized, pattern), lambda count: F.when(
+            count == 0, F.lit(-rules.CONTEXT_ONLY_SCORE)).otherwise(-(count + (F.lit(1.0) - before / size))))
+
+    return F.struct(let(core, measured).alias("order"), skill.alias("skill"))
 
 
 def rank_skills(skills: Column, normalized: Column) -> Column:
@@ -137,9 +139,9 @@ def with_skills(
     nothing = F.array().cast("array<string>")
     df = df.withColumn("_norm", F.when(strip(F.col(text)) != "", normalize_nfkd(F.col(text))))
     df = df.withColumn("_heads", F.array_intersect(
-        F.regexp_extract_all("_norm", F.lit("[a-z0-9]+"), 0), _literal_array(known)))
+        F.regexp_extract_all("_norm", F.lit("[a-z0-9]+"), 0), literal_array(known)))
     named = F.when(
-        F.arrays_overlap("_heads", _literal_array(rules.NAMED_SKILL_HEADS)), pattern_skills(F.col("_norm")))
+        F.arrays_overlap("_heads", literal_array(rules.NAMED_SKILL_HEADS)), pattern_skills(F.col("_norm")))
     df = df.withColumn("_found", F.when(F.size("_heads") > 0, F.array_distinct(F.concat(
         dictionary_skills(F.col("_norm"), F.col("_heads"), dictionary), F.coalesce(named, nothing)))))
     df = df.withColumn("_ranked", rank_skills(filter_skills(F.coalesce(F.col("_found"), nothing)), F.col("_norm")))
@@ -172,7 +174,7 @@ def categorize_skills(skills: Column) -> Column:
     def of_kind(kind: str) -> Column:
         return F.transform(F.filter(kinded, lambda p: p["kind"] == kind), lambda p: p["skill"])
 
-    return F.map_from_arrays(_literal_array(SKILL_KINDS), F.array(*[of_kind(k) for k in SKILL_KINDS]))
+    return F.map_from_arrays(literal_array(SKILL_KINDS), F.array(*[of_kind(k) for k in SKILL_KINDS]))
 
 
 def match_skills(offers: DataFrame, key: str, text: str, referential: DataFrame) -> DataFrame:
@@ -186,7 +188,7 @@ def match_skills(offers: DataFrame, key: str, text: str, referential: DataFrame)
     escaped = F.replace(F.lower("skill"), F.lit(" "), F.lit("\\E" + _GAP + "\\Q"))
     dimension = referential.select(
         "skill", "category", "kind", head.alias("_head"),
-        F.concat(F.lit(f"(?U){_LEFT}\\Q"), escaped, F.lit(f"\\E{_RIGHT}")).alias("_pattern"))
+        F.concat(F.lit(f"{_LEFT}\\Q"), escaped, F.lit(f"\\E{_RIGHT}")).alias("_pattern"))
     texts = offers.select(key, normalize_nfkd(F.col(text)).alias("_norm"))
     tokens = texts.select(key, F.explode(
         F.array_distinct(F.regexp_extract_all("_norm", F.lit("[a-z0-9]+"), 0))).alias("_head"))

@@ -1,8 +1,8 @@
 """Cleaning expressions: Column in, Column out, all evaluated in the JVM.
 
-Regex conventions: ``(?U)`` makes ``\\s`` Unicode-aware, digits are ASCII, and
-"word" characters are letters, numbers and the underscore, without the
-combining marks that Java adds to ``\\w``.
+Regex conventions: ``SPACE`` lists all Unicode blanks, digits are ASCII, and "word"
+characters are letters, numbers and the underscore, without the combining marks that
+Java adds to ``\\w``.
 """
 
 from __future__ import annotations
@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPACE = r"[\s\x1c-\x1f]"
+_BLANKS = r"\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE = rf"[\s{_BLANKS}]"
 WORD = r"\p{L}\p{N}_"
 NOT_AFTER_WORD = rf"(?<![{WORD}])"
 NOT_BEFORE_WORD = rf"(?![{WORD}])"
@@ -18,7 +19,12 @@ NOT_BEFORE_WORD = rf"(?![{WORD}])"
 
 def strip(c: Column) -> Column:
     """Trim Unicode whitespace on both ends (SQL ``trim`` only removes blanks)."""
-    return F.regexp_replace(c, rf"(?U)^{SPACE}++|(?<!{SPACE}){SPACE}++$", "")
+    return F.regexp_replace(c, rf"^{SPACE}++|{SPACE}(?<!{SPACE}{SPACE}){SPACE}*+\z", "")
+
+
+def lowered_text(c: Column) -> Column:
+    """Lowercase, with every special blank as a tab: ``\\s`` then finds all blanks at ASCII cost."""
+    return F.regexp_replace(F.lower(c), f"[{_BLANKS}]", "\t")
 
 
 def empty_to_null(c: Column) -> Column:
@@ -60,7 +66,7 @@ def join_fragments(values: Column, separator: str) -> Column:
 
 
 def collapse_ws(c: Column) -> Column:
-    return strip(F.regexp_replace(c, rf"(?U){SPACE}+", " "))
+    return F.trim(F.regexp_replace(c, f"{SPACE}+", " "))
 
 
 def strip_colon(c: Column) -> Column:
@@ -70,7 +76,7 @@ def strip_colon(c: Column) -> Column:
 
 def clean_label(c: Column) -> Column:
     """Trim, collapse blanks and drop everything but words, blanks, ``&``, ``'`` and ``-``."""
-    return F.regexp_replace(collapse_ws(c), rf"(?U)[^{WORD}\sÀ-ÿ&'-]", "")
+    return F.regexp_replace(collapse_ws(c), rf"[^{WORD} À-ÿ&'-]", "")
 
 
 def labels_to_json(values: Column) -> Column:

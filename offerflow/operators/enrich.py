@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerflow import rules, schemas
-from offerflow.functions.contract import classify_contract
+from offerflow.functions.contract import classify_lowered
 from offerflow.functions.dates import moment
 from offerflow.functions.salary import with_salary
 from offerflow.functions.semantics import analyze_offer_text
 from offerflow.functions.skills import with_skills
-from offerflow.functions.text import offer_text
+from offerflow.functions.text import lowered_text, offer_text
 from offerflow.operators.key_phrases import key_phrases
 from offerflow.operators.keyed import left_join_many
 
@@ -78,10 +78,9 @@ def analyze(offers: DataFrame, with_key_phrases: bool = True) -> DataFrame:
         phrases = key_phrases(texts, "id", "_text")
         texts = texts.join(phrases, "id", "left")
     df = analyze_offer_text(texts, "_text", "key_phrases" if with_key_phrases else None)
-    df = with_salary(df, "_text")
-    df = with_skills(df, "_text")
-    df = df.withColumn("classified", classify_contract(F.col("_text")))
-    return df.drop("_text", "key_phrases")
+    df = with_salary(df.withColumn("_lowered", lowered_text(F.col("_text"))), "_text", lowered="_lowered")
+    df = with_skills(df.withColumn("classified", classify_lowered(F.col("_lowered"))), "_text")
+    return df.drop("_text", "_lowered", "key_phrases")
 
 
 def enrich_offers(offers: DataFrame, as_of: str, with_key_phrases: bool = True) -> DataFrame:

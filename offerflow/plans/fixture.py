@@ -13,12 +13,16 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from offerflow.workdir import spread
+
 AS_OF = "2025-07-01 10:00:00"
+TEXT_TABLES = ("documents", "pages")
 TABLES = ("documents", "labels", "pages", "events", "orders", "customer", "part")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(scan) if name in TEXT_TABLES else scan
 
 
 def run_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:

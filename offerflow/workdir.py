@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local: dict[str, str] = {}
 
@@ -27,3 +27,13 @@ def shared_dir(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_dir(spark)}/offerflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A freshly read table over at least as many partitions as there are cores.
+
+    Text extraction is bound by the CPU, and a small file in one piece would keep one core
+    busy. A table with enough partitions of its own is returned as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
