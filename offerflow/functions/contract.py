@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from offerflow import rules
 from offerflow.functions.labels import any_keyword, best_label, first_label, keyword_hits, let, literal_rows
-from offerflow.functions.text import lowered_text
+from offerflow.functions.text import lowered_text, to_number
 
 
 def contract_score(lowered: Column) -> Column:
@@ -32,7 +32,7 @@ def classify_contract(text: Column) -> Column:
 def contract_duration_months(lowered: Column) -> Column:
     """``N m…`` as months, else ``N a…``/``N year`` as years."""
     def number(unit: str) -> Column:
-        return F.regexp_extract(lowered, rf"(?<![0-9])([0-9]++)\s*+{unit}", 1).try_cast("bigint")
+        return to_number(F.regexp_extract(lowered, rf"(?<![0-9])([0-9]++)\s*+{unit}", 1), "bigint")
 
     return F.coalesce(number("m"), F.try_multiply(number("(?:a|year)"), F.lit(rules.MONTHS_PER_YEAR)))
 

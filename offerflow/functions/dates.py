@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from offerflow import rules
-from offerflow.functions.text import NOT_AFTER_WORD, NOT_BEFORE_WORD, strip
+from offerflow.functions.text import NOT_AFTER_WORD, NOT_BEFORE_WORD, strip, to_number
 
 NTZ = "timestamp_ntz"
 # Largest shifts that stay inside the calendar; larger ones give NULL.
@@ -22,7 +22,7 @@ def day(as_of: str) -> Column:
 
 
 def _group_int(c: Column, pattern: str, group: int = 1) -> Column:
-    return F.regexp_extract(c, pattern, group).try_cast("int")
+    return to_number(F.regexp_extract(c, pattern, group), "int")
 
 
 def _shift(start: Column, unit: str, count: Column) -> Column:

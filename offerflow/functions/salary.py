@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerflow import rules
-from offerflow.functions.text import lowered_text, truncate_text
+from offerflow.functions.text import lowered_text, to_number, truncate_text
 
 # An amount takes its whole run of digits and blanks, and starts where that run starts; both
 # keep the scan linear on long digit runs without changing which text is found.
@@ -28,12 +28,12 @@ SINGLE_PATTERNS = (
 
 def parse_amount(c: Column) -> Column:
     """Digits of the text as an amount; fewer than four digits are read as thousands."""
-    number = F.regexp_replace(c, "[^0-9]", "").try_cast("bigint")
+    number = to_number(F.regexp_replace(c, "[^0-9]", ""), "bigint")
     return F.when(number < 1000, number * 1000).otherwise(number)
 
 
 def _amount_sql(column: str) -> str:
-    digits = f"try_cast({column} AS BIGINT)"
+    digits = f"try_cast(nullif({column}, '') AS BIGINT)"
     return f"CASE WHEN {digits} < 1000 THEN {digits} * 1000 ELSE {digits} END"
 
 

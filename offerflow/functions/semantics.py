@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from offerflow import rules
 from offerflow.functions.labels import best_label, let
-from offerflow.functions.text import NOT_AFTER_WORD, NOT_BEFORE_WORD, SPACE
+from offerflow.functions.text import NOT_AFTER_WORD, NOT_BEFORE_WORD, SPACE, to_number
 
 _YEARS = "an(?:s|née|nées)?"
 EXPERIENCE_PATTERNS = (
@@ -25,7 +25,7 @@ def clean_offer_text(text: Column) -> Column:
 
 def experience_years(cleaned: Column) -> Column:
     """First match of each pattern in turn, accepted up to thirty years."""
-    years = F.array(*[F.regexp_extract(cleaned, p, 1).try_cast("int") for p in EXPERIENCE_PATTERNS])
+    years = F.array(*[to_number(F.regexp_extract(cleaned, p, 1), "int") for p in EXPERIENCE_PATTERNS])
     return F.get(F.filter(years, lambda y: F.coalesce(y <= rules.MAX_EXPERIENCE_YEARS, F.lit(False))), F.lit(0))
 
 

@@ -14,16 +14,17 @@ from collections.abc import Iterable
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from offerflow import rules
 from offerflow.functions.labels import let, literal_array, literal_rows
-from offerflow.functions.text import NOT_AFTER_WORD, NOT_BEFORE_WORD, lowered_text, strip
+from offerflow.functions.text import NOT_AFTER_WORD, NOT_BEFORE_WORD, NOT_SPACE, lowered_text, strip
 
 _LEFT, _RIGHT = "(?<![a-zA-Z0-9])", "(?![a-zA-Z0-9])"
 _GAP = r"[\s\-]+"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkd(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFKD", t), na_action="ignore")
 
@@ -34,7 +35,7 @@ def normalize_nfkd(text: Column) -> Column:
     Blanks that stay special become tabs, so that ``\\s`` finds every blank.
     """
     decomposed = _nfkd(F.when(text.rlike(r"[^\x00-\x7F]"), text))
-    blanks = r"[\x{a0}\x{200b}\x{202f}\x{2009}\x{2002}\x{2003}]"
+    blanks = r"[[^ -~\xa1-\u167f]&&[\xa0\u200b\u202f\u2009\u2002\u2003]]"
     return lowered_text(F.regexp_replace(F.coalesce(decomposed, text), blanks, " "))
 
 
@@ -137,7 +138,7 @@ def with_skills(
     dictionary = skill_dictionary(technical, soft)
     known = list(dict.fromkeys([row[0] for row in dictionary] + list(rules.NAMED_SKILL_HEADS)))
     nothing = F.array().cast("array<string>")
-    df = df.withColumn("_norm", F.when(strip(F.col(text)) != "", normalize_nfkd(F.col(text))))
+    df = df.withColumn("_norm", F.when(F.col(text).rlike(NOT_SPACE), normalize_nfkd(F.col(text))))
     df = df.withColumn("_heads", F.array_intersect(
         F.regexp_extract_all("_norm", F.lit("[a-z0-9]+"), 0), literal_array(known)))
     named = F.when(

@@ -11,8 +11,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _BLANKS = r"\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-SPACE = rf"[\s{_BLANKS}]"
-WORD = r"\p{L}\p{N}_"
+# Classes are tested from left to right, so the first part decides about most characters.
+SPACE = rf"[[^!-~\xa1-\u167f]&&[\s{_BLANKS}]]"
+SPECIAL_BLANK = rf"[[^ -~\xa1-\u167f]&&[{_BLANKS}]]"
+NOT_SPACE = rf"[!-~\xa1-\u167f[^\s{_BLANKS}]]"
+WORD = r"a-zA-Z0-9\p{L}\p{N}_"
 NOT_AFTER_WORD = rf"(?<![{WORD}])"
 NOT_BEFORE_WORD = rf"(?![{WORD}])"
 
@@ -24,13 +27,18 @@ def strip(c: Column) -> Column:
 
 def lowered_text(c: Column) -> Column:
     """Lowercase, with every special blank as a tab: ``\\s`` then finds all blanks at ASCII cost."""
-    return F.regexp_replace(F.lower(c), f"[{_BLANKS}]", "\t")
+    return F.regexp_replace(F.lower(c), SPECIAL_BLANK, "\t")
 
 
 def empty_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def to_number(c: Column, kind: str) -> Column:
+    """Number in a text. An empty text is NULL at once; a failing cast would raise and catch per row."""
+    return empty_to_null(c).try_cast(kind)
+
+
 def first_raw(values: Column) -> Column:
     """First element of a list-valued field as it is."""
     return F.get(values, F.lit(0))
@@ -48,12 +56,12 @@ def scalar_text(c: Column) -> Column:
 
 def digits_to_int(c: Column) -> Column:
     """All digits of the text as one integer."""
-    return F.regexp_replace(c, "[^0-9]", "").try_cast("bigint")
+    return to_number(F.regexp_replace(c, "[^0-9]", ""), "bigint")
 
 
 def first_number(c: Column) -> Column:
     """First decimal number, after removing blanks and narrow no-break spaces."""
-    return F.regexp_extract(F.translate(c, "\u202f ", ""), r"([0-9]+(?:\.[0-9]+)?)", 1).try_cast("double")
+    return to_number(F.regexp_extract(F.translate(c, "\u202f ", ""), r"([0-9]+(?:\.[0-9]+)?)", 1), "double")
 
 
 def fragments(values: Column) -> Column:
