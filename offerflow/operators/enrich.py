@@ -9,7 +9,7 @@ from offerflow import rules, schemas
 from offerflow.functions.contract import classify_lowered
 from offerflow.functions.dates import moment
 from offerflow.functions.salary import with_salary
-from offerflow.functions.semantics import analyze_offer_text
+from offerflow.functions.semantics import analyze_offer_text, nlp_confidence
 from offerflow.functions.skills import with_skills
 from offerflow.functions.text import lowered_text, offer_text
 from offerflow.operators.key_phrases import key_phrases
@@ -68,24 +68,38 @@ def read_offers_with_enrichment(offers: DataFrame, enriched: DataFrame) -> DataF
     return joined.orderBy(*newest_first("created_at")).select(*EXTRACT_COLUMNS)
 
 
-def analyze(offers: DataFrame, with_key_phrases: bool = True) -> DataFrame:
-    """Offers with the structs ``nlp``, ``salary_info``, ``skills`` and ``classified``.
+def _with_text(offers: DataFrame) -> DataFrame:
+    return offers.withColumn("_text", offer_text(F.col("title"), F.col("description")))
 
-    One scan, no exchange; only key phrases regroup their candidates by offer.
-    """
-    texts = offers.withColumn("_text", offer_text(F.col("title"), F.col("description")))
-    if with_key_phrases:
-        phrases = key_phrases(texts, "id", "_text")
-        texts = texts.join(phrases, "id", "left")
-    df = analyze_offer_text(texts, "_text", "key_phrases" if with_key_phrases else None)
+
+def analyze(offers: DataFrame) -> DataFrame:
+    """Offers with the structs ``nlp`` and ``salary_info``, ``skills`` and ``classified``: one scan, no exchange."""
+    df = analyze_offer_text(_with_text(offers), "_text")
     df = with_salary(df.withColumn("_lowered", lowered_text(F.col("_text"))), "_text", lowered="_lowered")
     df = with_skills(df.withColumn("classified", classify_lowered(F.col("_lowered"))), "_text")
-    return df.drop("_text", "_lowered", "key_phrases")
+    return df.drop("_text", "_lowered")
+
+
+def with_key_phrases(offers: DataFrame, analyzed: DataFrame) -> DataFrame:
+    """Analysed offers with their key phrases, which also count towards the confidence.
+
+    The phrases are read from the texts in a scan of their own, so that only phrases and
+    analysis results are moved by offer, never the texts beside them.
+    """
+    phrases = key_phrases(_with_text(offers).select("id", "_text"), "id", "_text", "_phrases")
+    joined = analyzed.join(phrases, "id", "left")
+    nlp, found = F.col("nlp"), F.coalesce("_phrases", F.array().cast("array<string>"))
+    facts = [nlp[c] for c in ("experience_years", "sector", "job_category", "job_level", "job_type")]
+    given = nlp["confidence_score"].isNotNull()
+    return joined.withColumn("nlp", nlp.withField("key_phrases", F.when(given, found)).withField(
+        "confidence_score", F.when(given, nlp_confidence(facts, found)))).drop("_phrases")
 
 
-def enrich_offers(offers: DataFrame, as_of: str, with_key_phrases: bool = True) -> DataFrame:
+def enrich_offers(offers: DataFrame, as_of: str, phrases: bool = True) -> DataFrame:
     """One enrichment row per offer."""
-    analyzed = analyze(offers, with_key_phrases)
+    analyzed = analyze(offers).select("id", "contract_type", "nlp", "salary_info", "skills", "classified")
+    if phrases:
+        analyzed = with_key_phrases(offers, analyzed)
     nlp, salary = F.col("nlp"), F.col("salary_info")
     return schemas.conform(analyzed.select(
         F.md5(F.concat_ws("|", F.lit(ENRICH_VERSION), "id")).alias("id"),

@@ -27,7 +27,7 @@ from offerflow.operators import stats
 from offerflow.operators.enrich import read_offers_with_enrichment
 from offerflow.operators.upsert import patch_enrichment
 from offerflow.sources.tables import write_enriched_csv
-from offerflow.workdir import shared_dir
+from offerflow.workdir import new_path
 
 
 @dataclass(frozen=True)
@@ -169,9 +169,12 @@ def train_column(
     """Fit on the training part, measure on the validation part."""
     text = model_text(F.col("title"), F.col("description"), rules.NO_TEXT)
     labelled = complete.select(F.col(key), F.col(column).cast("string").alias(column), text.alias("_text"))
-    # Training passes over the rows many times; the checkpoint keeps them out of its lineage.
-    shared_dir(complete.sparkSession)
-    split = stratified_split(labelled, column, key, config.validation_share, config.seed).checkpoint()
+    # Training reads the rows several times: a written table cuts the lineage, and a pass that
+    # needs the labels only reads the labels only.
+    marked = stratified_split(labelled, column, key, config.validation_share, config.seed)
+    path = new_path(complete.sparkSession, "training")
+    marked.write.parquet(path)
+    split = complete.sparkSession.read.schema(marked.schema).parquet(path)
     model = fit_imputer(split.where("NOT is_validation"), column, "_text", config)
     checked = predict_imputer(model, split.where("is_validation"), config.min_confidence)
     labels = next(s.labels for s in model.stages if isinstance(s, StringIndexerModel))
@@ -182,11 +185,15 @@ def train_column(
     return model, metrics
 
 
-def impute_column(model: PipelineModel, df: DataFrame, column: str, key: str, config: ImputeConfig) -> DataFrame:
-    """(key, column) with the accepted predictions, NULL for the others."""
+def impute_column(model: PipelineModel, df: DataFrame, column: str, config: ImputeConfig) -> DataFrame:
+    """Rows with ``column`` set to the accepted prediction, NULL where there is none.
+
+    Needs only the row itself, so several columns are imputed in one pass over the texts.
+    """
+    others = [c for c in df.columns if c != column]
     text = model_text(F.col("title"), F.col("description"), rules.NO_TEXT)
-    predicted = predict_imputer(model, df.select(key, text.alias("_text")), config.min_confidence)
-    return predicted.select(key, F.when(F.col("accepted"), F.col("label")).alias(column))
+    predicted = predict_imputer(model, df.select(*others, text.alias("_text")), config.min_confidence)
+    return predicted.select(*others, F.when(F.col("accepted"), F.col("label")).alias(column))
 
 
 # -------------------------------------------------------------- rule targets
@@ -225,16 +232,19 @@ def run_full_imputation(df: DataFrame, key: str, config: ImputeConfig = ImputeCo
     complete, incomplete = split_complete(df, config.targets)
     complete_rows = max((r["complete_rows"] for r in figures.values()), default=0)
     lacking = [c for c in figures if figures[c]["null_count"] > 0]
-    filled = df
+    predicted, columns = incomplete.select(key, "title", "description"), []
     if complete_rows >= config.min_complete_rows:
-        for column in [c for c in config.ml_targets if c in lacking]:
+        columns += [c for c in config.ml_targets if c in lacking]
+        for column in columns:
             model, _ = train_column(complete, column, key, config)
-            filled = fill_missing(filled, impute_column(model, incomplete, column, key, config), key)
+            predicted = impute_column(model, predicted, column, config)
     if "extracted_skills" in lacking:
-        filled = fill_missing(filled, impute_skills(incomplete).select(key, "extracted_skills"), key)
+        predicted, columns = impute_skills(predicted), [*columns, "extracted_skills"]
     salaries = [c for c in ("extracted_salary_min", "extracted_salary_max") if c in lacking]
     if salaries:
-        filled = fill_missing(filled, impute_salary(incomplete).select(key, *salaries), key)
+        predicted, columns = impute_salary(predicted), [*columns, *salaries]
+    # One narrow row of predictions per offer meets the table once.
+    filled = fill_missing(df, predicted.select(key, *columns), key) if columns else df
     report = stats.fill_report(df, filled, config.targets)
     if csv_path:
         write_enriched_csv(filled, csv_path)
@@ -267,8 +277,7 @@ def predict_job(offers: DataFrame, enriched: DataFrame, config: ImputeConfig, as
     for column in config.ml_targets:
         model = read_imputer(offers.sparkSession, f"{config.models_dir}/{column}")
         if model is not None:
-            values = impute_column(model, extract, column, "id", config).distinct()
-            predicted = predicted.drop(column).join(values, "id", "left")
+            predicted = impute_column(model, predicted, column, config)
     return patch_enrichment(enriched, predicted, as_of)
 
 

@@ -652,6 +652,14 @@ SELECT {_LABEL.format('company_name')} AS employeur, NULL::VARCHAR AS secteur, c
  CAST(n_chars AS VARCHAR) AS ad_id, location, lang AS region,
  md5(array_to_string(list_filter([description, text], lambda x: x <> ''), chr(10))) AS description,
  md5(url) AS id, url, 'expat-dakar' AS source FROM postings""", "postings")
+ORACLES["detail_pages_jobs_emploi_senegal"] = _with("""
+SELECT title, company_name, NULL::VARCHAR AS company_sectors,
+ md5(coalesce(description || chr(10), '') || chr(10) || text) AS description, coalesce(contract_type, '') AS contract,
+ location AS region, NULL::VARCHAR AS education, NULL::VARCHAR AS experience, NULL::VARCHAR AS skills,
+ CAST(posted_date AS VARCHAR) AS posted, NULL::VARCHAR AS metier_type, NULL::VARCHAR AS metiers, '' AS job_missions,
+ lang || chr(10) AS job_profile, 'a' || chr(10) || 'b : ' || chr(10) || n_chars AS job_criteria, '' AS job_skills,
+ CAST(n_chars AS VARCHAR) AS job_count, md5(url) AS id, url, 'Emploi_senegal' AS source,
+ '2025-07-01 10:00:00' AS scraped_at FROM postings""", "postings")
 ORACLES["detail_pages_concoursn_stages"] = _with(f"""
 SELECT title, '["' || lang || '", "\\"' || source || '\\""]' AS categories, '[]' AS tags,
  strftime({NOW} - to_minutes(n_chars), '%Y-%m-%d %H:%M:%S') AS posted_date,

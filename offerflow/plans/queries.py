@@ -432,7 +432,7 @@ def enriched_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sector_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: enrich every described offer, then offers and salaries per sector and contract."""
-    rows = enrich.analyze(fx.offers(spark, sf_dir).where(enrich.enrichable()), with_key_phrases=False)
+    rows = enrich.analyze(fx.offers(spark, sf_dir).where(enrich.enrichable()))
     return rows.groupBy(F.col("nlp")["sector"].alias("sector"), F.col("classified").alias("contract_type")).agg(
         F.count(F.lit(1)).alias("offers"),
         F.count(F.col("salary_info")["min_salary"]).alias("with_salary"),

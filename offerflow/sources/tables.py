@@ -11,6 +11,7 @@ from offerflow.functions.dates import moment
 from offerflow.operators.consolidate import new_offers
 from offerflow.operators.upsert import append_ids
 
+MAX_PLAN_TERMS = 10_000
 FORMATS = ("csv", "json", "parquet")
 
 
@@ -128,10 +129,17 @@ def write_skill_referential(referential: DataFrame, path: str, as_of: str) -> No
 
 
 def referential_terms(referential: DataFrame) -> tuple[dict[str, list[str]], list[str]]:
-    """The referential as the dictionaries taken by ``with_skills`` (configuration-sized)."""
+    """The referential as the dictionaries taken by ``with_skills``.
+
+    They become part of the plan, so the size is checked; larger referentials stay tables
+    and are matched by ``match_skills``.
+    """
     technical: dict[str, list[str]] = {}
     soft: list[str] = []
-    for row in referential.orderBy("kind", "category", "skill").toLocalIterator():
+    rows = referential.orderBy("kind", "category", "skill").limit(MAX_PLAN_TERMS + 1).collect()
+    if len(rows) > MAX_PLAN_TERMS:
+        raise ValueError(f"more than {MAX_PLAN_TERMS} skills: use match_skills")
+    for row in rows:
         if row["kind"] == "soft":
             soft.append(row["skill"])
         else:
