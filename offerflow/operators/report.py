@@ -9,6 +9,21 @@ from offerflow.functions.dates import day
 from offerflow.operators import stats
 from offerflow.operators.keyed import single_row
 
+# Texts of the report.
+HTML_TEXT = (
+    "<h2>📊 Rapport Quotidien - %s</h2>\n"
+    "<p><b>Total offres:</b> %d</p>\n"
+    "<p><b>Nouvelles offres:</b> %d</p>\n"
+    "<p><b>Offres enrichies:</b> %d</p>\n"
+    "<p><b>Nouvelles enrichies:</b> %d</p>\n"
+    "<p><b>Salaire moyen min:</b> %s XOF</p>\n"
+    "<p><b>Salaire moyen max:</b> %s XOF</p>"
+)
+SHORT_TEXT = "📊 Rapport Emploi Dakar %s\nTotal: %d, Nouvelles: %d, Enrichies: %d"
+CARD_TITLE = "📊 Rapport Emploi Dakar - "
+CARD_FIELDS = ("Total Offres", "Nouvelles Offres")
+CARD_COLOR = 3447003
+
 
 def daily_report(offers: DataFrame, enriched: DataFrame, as_of: str) -> DataFrame:
     """One row: date, summary, salary averages, top sectors and top skills."""
@@ -46,28 +61,16 @@ def save_daily_report(report: DataFrame, as_of: str) -> DataFrame:
 def report_lines(report: DataFrame) -> DataFrame:
     """Text forms of the report: HTML block, short text and two-field card."""
     summary, salary = F.col("summary"), F.col("salary_info")
-    html = F.format_string(
-        "<h2>📊 Rapport Quotidien - %s</h2>\n"
-        "<p><b>Total offres:</b> %d</p>\n"
-        "<p><b>Nouvelles offres:</b> %d</p>\n"
-        "<p><b>Offres enrichies:</b> %d</p>\n"
-        "<p><b>Nouvelles enrichies:</b> %d</p>\n"
-        "<p><b>Salaire moyen min:</b> %s XOF</p>\n"
-        "<p><b>Salaire moyen max:</b> %s XOF</p>",
-        "date", summary["total_offers"], summary["new_offers_today"], summary["total_enriched"],
-        summary["new_enriched_today"],
-        F.bround(salary["avg_min_salary"], 0).cast("bigint").cast("string"),
-        F.bround(salary["avg_max_salary"], 0).cast("bigint").cast("string"))
-    short = F.format_string(
-        "📊 Rapport Emploi Dakar %s\nTotal: %d, Nouvelles: %d, Enrichies: %d",
-        "date", summary["total_offers"], summary["new_offers_today"], summary["total_enriched"])
-
-    def entry(name: str, value):
-        return F.struct(F.lit(name).alias("name"), value.cast("string").alias("value"), F.lit(True).alias("inline"))
-
+    counts = [summary[c] for c in ("total_offers", "new_offers_today", "total_enriched", "new_enriched_today")]
+    averages = [F.bround(salary[c], 0).cast("bigint").cast("string") for c in ("avg_min_salary", "avg_max_salary")]
+    fields = [
+        F.struct(F.lit(name).alias("name"), value.cast("string").alias("value"), F.lit(True).alias("inline"))
+        for name, value in zip(CARD_FIELDS, counts)
+    ]
     card = F.to_json(F.struct(
-        F.concat(F.lit("📊 Rapport Emploi Dakar - "), "date").alias("title"),
-        F.array(entry("Total Offres", summary["total_offers"]),
-                entry("Nouvelles Offres", summary["new_offers_today"])).alias("fields"),
-        F.lit(3447003).alias("color")))
-    return report.select(html.alias("html"), short.alias("short_text"), card.alias("card"))
+        F.concat(F.lit(CARD_TITLE), "date").alias("title"), F.array(*fields).alias("fields"),
+        F.lit(CARD_COLOR).alias("color")))
+    return report.select(
+        F.format_string(HTML_TEXT, "date", *counts, *averages).alias("html"),
+        F.format_string(SHORT_TEXT, "date", *counts[:3]).alias("short_text"),
+        card.alias("card"))
