@@ -41,7 +41,7 @@ def left_join_many(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 def _magnitude(value: Column) -> Column:
     """Order-preserving bucket of a non-negative bigint: bit length and 12 leading bits."""
     bits = F.length(F.bin(value))
-    leading = F.expr(f"shiftright(_value, length(bin(_value)) - 12)")
+    leading = F.expr("shiftright(_value, length(bin(_value)) - 12)")
     return F.when(bits <= 12, value).otherwise(bits.cast("bigint") * 4096 + leading)
 
 

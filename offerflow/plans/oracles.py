@@ -464,17 +464,10 @@ def _term_regex(term: str) -> str:
     return escaped.replace(" ", r"[\s\-]+")
 
 
-def _doubled(term: str) -> str:
-    """The term in a text whose non-alphanumeric characters are doubled."""
-    return "".join(r"(?:\s|\-)+" if c == " " else c if c.isalnum() else f"\\{c}\\{c}" for c in term)
-
-
 _TERMS = [
-    (shown, term) for kind in (
-        [(t.title(), t) for ts in rules.TECHNICAL_SKILLS.values() for t in ts],
-        [(t.title(), t) for t in rules.SOFT_SKILLS],
-        [(label, t) for label, ts in rules.CONTEXT_SKILLS.items() for t in ts],
-    ) for shown, t in kind for term in [t]
+    *[(t.title(), t) for ts in rules.TECHNICAL_SKILLS.values() for t in ts],
+    *[(t.title(), t) for t in rules.SOFT_SKILLS],
+    *[(label, t) for label, ts in rules.CONTEXT_SKILLS.items() for t in ts],
 ]
 _DERIVED["terms"] = "SELECT * FROM (VALUES " + ", ".join(
     f"({_q(shown)}, {_q(f'(?:^|[^a-zA-Z0-9]){_term_regex(term)}(?:[^a-zA-Z0-9]|$)')})" for shown, term in _TERMS
