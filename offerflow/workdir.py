@@ -2,31 +2,44 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local: dict[str, str] = {}
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """Folder named by ``spark.checkpoint.dir``; where it is unset, one below the session's warehouse."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.applicationId not in _local:
-        _local[context.applicationId] = tempfile.mkdtemp(prefix="offerflow-")
-        context.setCheckpointDir(_local[context.applicationId])
-    return _local[context.applicationId]
+    if not base:
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+        spark.sparkContext.setCheckpointDir(base)
+    return base.rstrip("/")
+
+
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/offerflow/{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/offerflow/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    Cuts the lineage: what follows neither recomputes the input nor depends on the executors
+    that made it. Column names, types and rows are unchanged; an empty table stays empty.
+    """
+    path = new_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove everything this application has written to the shared folder; call it when its results are used."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(scan: DataFrame) -> DataFrame:
