@@ -6,18 +6,30 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from offerflow.llm import mixing, packing, simhash
+from offerflow.llm import mixing, packing, quality, secrets, simhash
 from offerflow.llm.common import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents that pass the base rules and the learned decision list."""
+    return quality.accepted(docs, table(spark, sf_dir, "labels"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of fingerprints that link at 4 or fewer bits."""
     return simhash.one_per_group(docs)
 
 
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace every secret by a mark; all documents stay, those without secrets as they are."""
+    clean = secrets.redacted(docs)
+    return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
+
+
 def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take every document as often as the mix asks for; repeats are separate rows."""
     return mixing.mixed(docs)
@@ -30,7 +42,9 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
     ("near_duplicates", near_duplicates),
+    ("secret_scans", secret_scans),
     ("mixing", mixing_to_weights),
     ("packing", packed),
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +48,20 @@ def ranked(df: DataFrame, order: list[Column], rank: str = "rank", sums: tuple[s
     return found.drop("_at", "_part", "_before__n", *(f"_before__{c}" for c in sums))
 
 
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest index reachable from each of n nodes by the links a-b."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected links ``a``, ``b`` (longs): a row (node, root) for every linked node.
 

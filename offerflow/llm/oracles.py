@@ -31,3 +31,40 @@ SELECT p.doc_id, p.size, a.source_size, a.target,
   (least(floor((before + 1) * expected + shift) - floor(before * expected + shift), 3) * p.size)::BIGINT AS taken
 FROM placed p JOIN aimed a ON p.source IS NOT DISTINCT FROM a.source
 """
+
+# Patterns as DuckDB reads them; spans are found by splitting at a pattern and adding up lengths.
+_SECRETS = (
+    ("assign", r"""((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20),
+    ("hex", r"[0-9a-f]{24,}", 0, 24),
+    ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+    ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
+    ("google", r"AIza[0-9A-Za-z_-]{35}", 0, 1),
+    ("stripe", r"[sr]k_live_[A-Za-z0-9]{16,}", 0, 1),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+    ("url_login", r"[A-Za-z][A-Za-z0-9+.-]*://[^\x20\x09-\x0D/:@]+:[^\x20\x09-\x0D/@]+@", 0, 1),
+)
+_FOUND = ",\n  ".join(
+    f"regexp_split_to_array(t, '{p}') AS b{i}, regexp_extract_all(t, '{p}') AS m{i}, regexp_extract_all(t, '{p}', {g}) AS g{i}"
+    for i, (_, p, g, _) in enumerate(_SECRETS))
+_PLACED = ",\n  ".join(
+    f"""list_filter(list_transform(range(1, len(m{i}) + 1), lambda k: {{
+    'a': (list_sum(list_transform(b{i}[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(m{i}[1:k - 1], lambda x: length(x))), 0))::BIGINT,
+    'o': {i}, 'kind': '{kind}', 'n': length(m{i}[k]), 'g': length(g{i}[k])}}), lambda s: s.g >= {least}) AS s{i}"""
+    for i, (kind, _, _, least) in enumerate(_SECRETS))
+_LIST = "array_to_string(list_transform(list_sort({}), lambda s: s.kind || ':' || s.a || ':' || (s.a + s.n)), ',')"
+_ALL = "list_concat(" * (len(_SECRETS) - 1) + "s0" + "".join(f", s{i})" for i in range(1, len(_SECRETS)))
+
+ORACLES["op5_secrets"] = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS (SELECT doc_id,
+  {_FOUND}
+  FROM texts),
+placed AS (SELECT doc_id,
+  {_PLACED}
+  FROM found)
+SELECT doc_id, len(s0)::BIGINT AS n_assign, len(s1)::BIGINT AS n_access, len(s2)::BIGINT AS n_hex,
+  sha256({_LIST.format("list_concat(list_concat(s0, s1), s2)")}) AS base_sha256, {_LIST.format(_ALL)} AS spans
+FROM placed
+"""

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerflow.llm.common import components, written
+from offerflow.llm.common import components, forest, written
 
 #: Shingles hashed at once, and fingerprints of one posting compared in one task.
 CHUNK, POSTING = 1 << 16, 2048
@@ -69,20 +69,6 @@ def _mask(positions: tuple[int, ...]) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest index reachable from each of n nodes by the links a-b."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, root[a], low)
-        np.minimum.at(new, root[b], low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
 def _linked(fp: np.ndarray, starts: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Links within postings that lie one after the other in fp; each node to the smallest index it reaches."""
     sizes = np.diff(np.append(starts, len(fp)))
@@ -101,7 +87,7 @@ def _linked(fp: np.ndarray, starts: np.ndarray, distance: int) -> tuple[np.ndarr
     if not len(nodes):
         return fp[:0], fp[:0]
     a, b = np.searchsorted(nodes, pairs)
-    root = _forest(len(nodes), a, b)
+    root = forest(len(nodes), a, b)
     other = root != np.arange(len(nodes))
     return fp[nodes[other]], fp[nodes[root[other]]]
 
