@@ -6,18 +6,20 @@ import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 from heapq import heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerflow.llm.common import ranked
+from offerflow.llm.common import ranked, written
 
-#: Words whose ids a task keeps, and rows it yields at once.
-REMEMBERED, ROWS = 200_000, 4096
+#: Words whose ids a worker keeps from one task to the next, and rows it yields at once.
+REMEMBERED, ROWS = 1_000_000, 4096
 
 
+@lru_cache(maxsize=1)
 def _ids_of_words(path: str):
     """A function from a list of ASCII-white-space-free words (bytes) to the little-endian bytes of their ids."""
     from tokenizers import Tokenizer
@@ -55,7 +57,9 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int = 4096,
         for batch in batches:
             rows = []
             for key_, text_ in zip(batch["key"].to_pylist(), batch["text"], strict=True):
-                ids = ids_of((text_.as_py() or "").encode().split()) + end
+                data = (text_.as_py() or "").encode()
+                # the vocabulary is lower case, so words that differ in case share an entry; but special tokens do not
+                ids = ids_of((data if b"<|" in data else data.lower()).split()) + end
                 total = len(ids) // 4
                 for start in range(0, total, length):
                     part = ids[4 * start:4 * (start + length)]
@@ -142,7 +146,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int = 4096, k
     frequent length is no single task. Null and empty texts give one piece, the end id. Repeated rows are packed
     each. Null keys are kept. An empty table gives an empty result. Other columns are ignored.
     """
-    cut = pieces(docs, tokenizer, end_id, length, key, text)
+    cut = written(pieces(docs, tokenizer, end_id, length, key, text), "token-pieces")  # the ranks read it twice
     order = [F.col("length").asc(), F.col("key").asc_nulls_first(), F.col("start").asc(), F.col("ids_crc32").asc()]
     placed = ranked(cut, order, "place")
     lengths = placed.groupBy("length").agg(F.count("*").alias("n"), F.min("place").alias("first"))
