@@ -59,12 +59,13 @@ def statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     def rate(part: str, whole: str) -> Column:
         return F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(0.0)
 
-    return rows.select(
-        "row", "key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        rate("n_symbols", "n_words").alias("symbol_rate"),
+    found = rows.select("row", "key", F.struct(
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", rate("n_symbols", "n_words").alias("symbol_rate"),
         rate("n_dup_lines", "n_lines").alias("duplicate_line_rate"), rate("n_repeat_words", "n_words").alias("repeat_rate"),
         rate("n_capitals", "chars").alias("capital_rate"), rate("n_digits", "chars").alias("digit_rate"),
-        rate("n_shouts", "n_words").alias("shout_rate"), rate("n_bars", "n_words").alias("bar_rate"))
+        rate("n_shouts", "n_words").alias("shout_rate"), rate("n_bars", "n_words").alias("bar_rate")).alias("found"))
+    # one row each: a later filter cannot be pushed below it, with all expressions copied into the filter
+    return found.select("row", "key", F.inline(F.array("found")))
 
 
 @dataclass(frozen=True)
@@ -210,10 +211,5 @@ def judged(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
 
 
 def accepted(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that no rule rejects, with their columns.
-
-    A filter would be pushed below the statistics, with all of them copied into it; the rows of an outer explode are
-    filtered after it.
-    """
-    found = judged(docs, labels, key, text).select(F.explode_outer(F.when(F.col("kept"), F.array("row"))).alias("row"))
-    return found.where(F.col("row").isNotNull()).select("row.*")
+    """The documents that no rule rejects, with their columns."""
+    return judged(docs, labels, key, text).where("kept").select("row.*")

@@ -182,7 +182,8 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "d
             asked = F.coalesce(F.array_contains("kinds", rule.kind), F.lit(False))
             given = F.when(asked, given).otherwise(F.array().cast("array<struct<start:int,order:int,kind:string,end:int>>"))
         spans.append(given)
-    return named.select("row", "text", F.sort_array(F.concat(*spans)).alias("spans")).drop("text")
+    found = named.select("row", F.struct(F.sort_array(F.concat(*spans)).alias("spans")).alias("found"))
+    return found.select("row", F.inline(F.array("found")))  # a later filter does not scan again
 
 
 def listed(spans: Column) -> Column:
