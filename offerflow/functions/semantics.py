@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from offerflow import rules
 from offerflow.functions.labels import best_label, let
+from offerflow.functions.phrases import with_phrases
 from offerflow.functions.text import NOT_AFTER_WORD, NOT_BEFORE_WORD, SPACE, to_number
 
 _YEARS = "an(?:s|née|nées)?"
@@ -73,10 +74,12 @@ def nlp_confidence(fields: list[Column], key_phrases: Column) -> Column:
     return found / F.lit(rules.SEMANTIC_FIELD_COUNT)
 
 
-def analyze_offer_text(df: DataFrame, text: str, key_phrases: str | None = None, out: str = "nlp") -> DataFrame:
-    """Append the struct ``out``; every field is NULL for an empty text."""
+def analyze_offer_text(df: DataFrame, text: str, key_phrases: bool = False, out: str = "nlp") -> DataFrame:
+    """Append the struct ``out``, with key phrases if asked for; every field is NULL for an empty text."""
     keep = df.columns
-    phrases = F.col(key_phrases) if key_phrases else F.array().cast("array<string>")
+    phrases = F.array().cast("array<string>")
+    if key_phrases:
+        df, phrases = with_phrases(df, text, "_phrases"), F.col("_phrases")
     cleaned = F.col("_clean")
     df = df.withColumn("_clean", F.when(F.col(text) != "", clean_offer_text(F.col(text))))
     df = df.withColumns({

@@ -1,8 +1,9 @@
 """Skill extraction, ranking and categories.
 
-A term can only occur where its leading run of ASCII letters and digits occurs
+A term can only occur where its first run of ASCII letters and digits occurs
 as a whole token. So each text is tokenised once, intersected with the known
-first tokens, and a term's regex runs only on texts that hold its first token.
+first tokens, and a term's regex runs only on texts that hold its token. A term
+without such a run is tested on every text.
 """
 
 from __future__ import annotations
@@ -72,7 +73,13 @@ def skill_dictionary(
         (t, label, "context", label) for label, ts in rules.CONTEXT_SKILLS.items() for t in ts
         if unicodedata.is_normalized("NFKD", t)
     ]
-    return [(re.match("[a-z0-9]*", t).group(), skill_pattern(t), shown, kind, c) for t, shown, kind, c in terms]
+    return [(_head(t), skill_pattern(t), shown, kind, c) for t, shown, kind, c in terms]
+
+
+def _head(term: str) -> str:
+    """First run of ASCII letters and digits of a term in lower case; empty if it has none."""
+    found = re.search("[a-z0-9]+", term)
+    return found.group() if found else ""
 
 
 def _title(match: Column) -> Column:
@@ -84,7 +91,8 @@ def dictionary_skills(normalized: Column, heads: Column, dictionary: list[tuple]
     """Display names of the terms found in the text."""
     entries = [{"head": head, "pattern": pattern, "shown": shown} for head, pattern, shown, *_ in dictionary]
     table = literal_rows(entries, "head string, pattern string, shown string")
-    found = F.filter(table, lambda t: F.array_contains(heads, t["head"]) & F.rlike(normalized, t["pattern"]))
+    found = F.filter(table, lambda t: ((t["head"] == "") | F.array_contains(heads, t["head"]))
+                     & F.rlike(normalized, t["pattern"]))
     return F.transform(found, lambda t: t["shown"])
 
 
@@ -136,14 +144,15 @@ def with_skills(
     """Append ``out``, the ranked skills of column ``text`` (empty for a blank text)."""
     keep = df.columns
     dictionary = skill_dictionary(technical, soft)
-    known = list(dict.fromkeys([row[0] for row in dictionary] + list(rules.NAMED_SKILL_HEADS)))
+    known = list(dict.fromkeys([row[0] for row in dictionary if row[0]] + list(rules.NAMED_SKILL_HEADS)))
+    everywhere = any(not row[0] for row in dictionary)
     nothing = F.array().cast("array<string>")
     df = df.withColumn("_norm", F.when(F.col(text).rlike(NOT_SPACE), normalize_nfkd(F.col(text))))
     df = df.withColumn("_heads", F.array_intersect(
         F.regexp_extract_all("_norm", F.lit("[a-z0-9]+"), 0), literal_array(known)))
     named = F.when(
         F.arrays_overlap("_heads", literal_array(rules.NAMED_SKILL_HEADS)), pattern_skills(F.col("_norm")))
-    df = df.withColumn("_found", F.when(F.size("_heads") > 0, F.array_distinct(F.concat(
+    df = df.withColumn("_found", F.when(F.col("_norm").isNotNull() if everywhere else F.size("_heads") > 0, F.array_distinct(F.concat(
         dictionary_skills(F.col("_norm"), F.col("_heads"), dictionary), F.coalesce(named, nothing)))))
     df = df.withColumn("_ranked", rank_skills(filter_skills(F.coalesce(F.col("_found"), nothing)), F.col("_norm")))
     columns = [F.transform("_ranked", lambda r: r["skill"]).alias(out)]
@@ -183,16 +192,17 @@ def match_skills(offers: DataFrame, key: str, text: str, referential: DataFrame)
 
     The tokens of a text meet the first tokens of the skills, and only those candidates
     meet the text again and are checked by regex. The work grows with the candidates, not
-    with offers x skills, and a text is never copied per token.
+    with offers x skills, and a text is never copied per token. Skills without a letter or digit have the
+    empty token, which every text has.
     """
-    head = F.regexp_extract(F.lower("skill"), "^[a-z0-9]*", 0)
+    head = F.regexp_extract(F.lower("skill"), "[a-z0-9]+", 0)
     escaped = F.replace(F.lower("skill"), F.lit(" "), F.lit("\\E" + _GAP + "\\Q"))
     dimension = referential.select(
         "skill", "category", "kind", head.alias("_head"),
         F.concat(F.lit(f"{_LEFT}\\Q"), escaped, F.lit(f"\\E{_RIGHT}")).alias("_pattern"))
     texts = offers.select(key, normalize_nfkd(F.col(text)).alias("_norm"))
     tokens = texts.select(key, F.explode(
-        F.array_distinct(F.regexp_extract_all("_norm", F.lit("[a-z0-9]+"), 0))).alias("_head"))
+        F.array_distinct(F.concat(F.array(F.lit("")), F.regexp_extract_all("_norm", F.lit("[a-z0-9]+"), 0)))).alias("_head"))
     candidates = tokens.join(dimension, "_head").drop("_head")
     return texts.join(candidates, key).where(F.rlike("_norm", F.col("_pattern"))) \
         .select(key, "skill", "category", "kind")

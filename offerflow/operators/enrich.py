@@ -9,14 +9,12 @@ from offerflow import rules, schemas
 from offerflow.functions.contract import classify_lowered
 from offerflow.functions.dates import moment
 from offerflow.functions.salary import with_salary
-from offerflow.functions.semantics import analyze_offer_text, nlp_confidence
+from offerflow.functions.semantics import analyze_offer_text
 from offerflow.functions.skills import with_skills
 from offerflow.functions.text import lowered_text, offer_text
-from offerflow.operators.key_phrases import key_phrases
 from offerflow.operators.keyed import left_join_many
 
 MIN_DESCRIPTION = 50
-BATCH_LIMIT = 1000
 ENRICH_VERSION = "v1.0"
 
 # Columns of the offer extract used for imputation.
@@ -36,15 +34,15 @@ def newest_first(column: str, tie: str = "id") -> list[Column]:
     return [F.desc_nulls_first(column), F.asc(tie)]
 
 
-def backlog(offers: DataFrame, enriched: DataFrame, limit: int | None = BATCH_LIMIT) -> DataFrame:
-    """Enrichable offers without an enrichment, newest first; ``limit=None`` takes all of them."""
+def backlog(offers: DataFrame, enriched: DataFrame, limit: int | None = None) -> DataFrame:
+    """Enrichable offers without an enrichment: all of them, or with a ``limit`` that many, newest first."""
     done = enriched.where("offre_id IS NOT NULL").select(F.col("offre_id").alias("id")).distinct()
     open_offers = offers.where(enrichable()).join(done, "id", "left_anti").select(*offers.columns)
     if limit is None:
         return open_offers
-    # The top-k runs on ids and dates only; the at most ``limit`` ids then select the wide rows.
+    # The top-k runs on ids and dates only; its ids then select the wide rows, by a broadcast if Spark finds them few.
     chosen = open_offers.select("id", "posted_date").orderBy(*newest_first("posted_date")).limit(limit)
-    return open_offers.join(F.broadcast(chosen.select("id")), "id", "left_semi") \
+    return open_offers.join(chosen.select("id"), "id", "left_semi") \
         .select(*offers.columns).orderBy(*newest_first("posted_date"))
 
 
@@ -72,34 +70,17 @@ def _with_text(offers: DataFrame) -> DataFrame:
     return offers.withColumn("_text", offer_text(F.col("title"), F.col("description")))
 
 
-def analyze(offers: DataFrame) -> DataFrame:
+def analyze(offers: DataFrame, phrases: bool = False) -> DataFrame:
     """Offers with the structs ``nlp`` and ``salary_info``, ``skills`` and ``classified``: one scan, no exchange."""
-    df = analyze_offer_text(_with_text(offers), "_text")
+    df = analyze_offer_text(_with_text(offers), "_text", phrases)
     df = with_salary(df.withColumn("_lowered", lowered_text(F.col("_text"))), "_text", lowered="_lowered")
     df = with_skills(df.withColumn("classified", classify_lowered(F.col("_lowered"))), "_text")
     return df.drop("_text", "_lowered")
 
 
-def with_key_phrases(offers: DataFrame, analyzed: DataFrame) -> DataFrame:
-    """Analysed offers with their key phrases, which also count towards the confidence.
-
-    The phrases are read from the texts in a scan of their own, so that only phrases and
-    analysis results are moved by offer, never the texts beside them.
-    """
-    phrases = key_phrases(_with_text(offers).select("id", "_text"), "id", "_text", "_phrases")
-    joined = analyzed.join(phrases, "id", "left")
-    nlp, found = F.col("nlp"), F.coalesce("_phrases", F.array().cast("array<string>"))
-    facts = [nlp[c] for c in ("experience_years", "sector", "job_category", "job_level", "job_type")]
-    given = nlp["confidence_score"].isNotNull()
-    return joined.withColumn("nlp", nlp.withField("key_phrases", F.when(given, found)).withField(
-        "confidence_score", F.when(given, nlp_confidence(facts, found)))).drop("_phrases")
-
-
 def enrich_offers(offers: DataFrame, as_of: str, phrases: bool = True) -> DataFrame:
     """One enrichment row per offer."""
-    analyzed = analyze(offers).select("id", "contract_type", "nlp", "salary_info", "skills", "classified")
-    if phrases:
-        analyzed = with_key_phrases(offers, analyzed)
+    analyzed = analyze(offers, phrases).select("id", "contract_type", "nlp", "salary_info", "skills", "classified")
     nlp, salary = F.col("nlp"), F.col("salary_info")
     return schemas.conform(analyzed.select(
         F.md5(F.concat_ws("|", F.lit(ENRICH_VERSION), "id")).alias("id"),

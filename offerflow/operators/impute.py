@@ -25,9 +25,10 @@ from offerflow.functions.skills import with_skills
 from offerflow.functions.text import model_text, offer_text
 from offerflow.operators import stats
 from offerflow.operators.enrich import read_offers_with_enrichment
+from offerflow.operators.keyed import last_per_key
 from offerflow.operators.upsert import patch_enrichment
 from offerflow.sources.tables import write_enriched_csv
-from offerflow.workdir import new_path
+from offerflow.workdir import written
 
 
 @dataclass(frozen=True)
@@ -172,9 +173,7 @@ def train_column(
     # Training reads the rows several times: a written table cuts the lineage, and a pass that
     # needs the labels only reads the labels only.
     marked = stratified_split(labelled, column, key, config.validation_share, config.seed)
-    path = new_path(complete.sparkSession, "training")
-    marked.write.parquet(path)
-    split = complete.sparkSession.read.schema(marked.schema).parquet(path)
+    split = written(marked, "training")
     model = fit_imputer(split.where("NOT is_validation"), column, "_text", config)
     checked = predict_imputer(model, split.where("is_validation"), config.min_confidence)
     labels = next(s.labels for s in model.stages if isinstance(s, StringIndexerModel))
@@ -216,9 +215,13 @@ def impute_salary(df: DataFrame) -> DataFrame:
 
 
 def fill_missing(df: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
-    """Predictions written where a column is NULL; filled cells never change."""
+    """Predictions written where a column is NULL; filled cells never change, and no row of ``df`` is repeated.
+
+    Of several predictions for a key the largest row counts.
+    """
     columns = [c for c in predictions.columns if c != key and c in df.columns]
-    renamed = predictions.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in columns])
+    single = last_per_key(predictions.select(key, *columns), [key], [F.col(c) for c in columns])
+    renamed = single.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in columns])
     joined = df.join(renamed, F.col(key) == F.col("_key"), "left")
     return joined.select(*[
         F.coalesce(F.col(c), F.col(f"_new_{c}")).alias(c) if c in columns else F.col(c) for c in df.columns])
@@ -232,7 +235,8 @@ def run_full_imputation(df: DataFrame, key: str, config: ImputeConfig = ImputeCo
     complete, incomplete = split_complete(df, config.targets)
     complete_rows = max((r["complete_rows"] for r in figures.values()), default=0)
     lacking = [c for c in figures if figures[c]["null_count"] > 0]
-    predicted, columns = incomplete.select(key, "title", "description"), []
+    # Predictions stay beside the row they are made for, so offers that repeat are filled each and nothing is joined.
+    predicted, columns = incomplete.withColumns({f"_given_{c}": F.col(c) for c in figures}), []
     if complete_rows >= config.min_complete_rows:
         columns += [c for c in config.ml_targets if c in lacking]
         for column in columns:
@@ -243,8 +247,13 @@ def run_full_imputation(df: DataFrame, key: str, config: ImputeConfig = ImputeCo
     salaries = [c for c in ("extracted_salary_min", "extracted_salary_max") if c in lacking]
     if salaries:
         predicted, columns = impute_salary(predicted), [*columns, *salaries]
-    # One narrow row of predictions per offer meets the table once.
-    filled = fill_missing(df, predicted.select(key, *columns), key) if columns else df
+    filled = df
+    if columns:
+        # Written once: the report and every later use read the predictions instead of scoring again.
+        done = predicted.select(*[
+            (F.coalesce(f"_given_{c}", c) if c in columns else F.col(f"_given_{c}" if c in figures else c)).alias(c)
+            for c in df.columns])
+        filled = written(complete.unionByName(done), "filled")
     report = stats.fill_report(df, filled, config.targets)
     if csv_path:
         write_enriched_csv(filled, csv_path)
@@ -261,7 +270,8 @@ def train_job(offers: DataFrame, enriched: DataFrame, config: ImputeConfig, snap
     extract = read_offers_with_enrichment(offers, enriched)
     if snapshot:
         snapshot_training_csv(extract, snapshot)
-    complete, _ = split_complete(extract, config.targets)
+    # Written once for the count and all models.
+    complete = written(split_complete(extract, config.targets)[0], "complete")
     if complete.count() < config.min_complete_rows:
         return False
     for column in config.ml_targets:

@@ -1,49 +1,16 @@
-"""Key phrases per offer: candidate phrases scored by word degree over frequency.
-
-The published rapid keyword extraction scheme stands in for the noun chunks of a
-pretrained model: candidates are runs of at most four words between stop words and
-punctuation, a word scores degree / frequency, a phrase the sum of its words.
-"""
+"""Key phrases per offer."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerflow import rules
-
-_BREAK = r"[^\p{L}\p{N}'\- \t\n]|\n"
-_TOKEN = r"[\p{L}\p{N}][\p{L}\p{N}'\-]*"
-
-
-def candidate_phrases(text: Column) -> Column:
-    """Candidate phrases of a text, repeated as often as they occur."""
-    stops = "|".join(rules.STOP_WORDS)
-    lowered = F.regexp_replace(F.lower(text), _BREAK, " | ")
-    tokens = F.regexp_extract_all(lowered, F.lit(rf"{_TOKEN}|\|"), 0)
-    marked = F.array_join(F.transform(tokens, lambda t: F.when(t.isin(*stops.split("|")), "|").otherwise(t)), " ")
-    phrases = F.transform(F.split(marked, r"\|"), lambda p: F.trim(p))
-    return F.filter(phrases, lambda p: (p != "") & (F.size(F.split(p, " ")) <= rules.MAX_PHRASE_WORDS))
+from offerflow.functions.phrases import with_phrases
 
 
 def key_phrases(offers: DataFrame, key: str, text: str, out: str = "key_phrases") -> DataFrame:
-    """(key, ranked phrases) for every offer that has any.
-
-    The candidates are moved once, partitioned by the key; every later step groups by
-    the key plus something else and so needs no further exchange. ``key`` is unique, so a
-    partition holds whole offers, never an unbounded group.
-    """
-    phrases = offers.select(key, candidate_phrases(F.col(text)).alias("_phrases")) \
-        .where(F.size("_phrases") > 0).repartition(key)
-    counted = phrases.select(key, F.explode("_phrases").alias("_phrase")) \
-        .groupBy(key, "_phrase").agg(F.count(F.lit(1)).alias("_n"))
-    words = counted.withColumn("_words", F.split("_phrase", " ")).select(
-        key, "_phrase", "_n", F.size("_words").alias("_size"), F.explode("_words").alias("_word"))
-    per_word = Window.partitionBy(key, "_word")
-    weighted = words.withColumn(
-        "_weight", F.sum(F.col("_n") * F.col("_size")).over(per_word) / F.sum("_n").over(per_word))
-    scored = weighted.groupBy(key, "_phrase").agg(F.round(F.sum("_weight"), 6).alias("_score"))
-    best = Window.partitionBy(key).orderBy(F.desc("_score"), F.asc("_phrase"))
-    top = scored.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= rules.MAX_KEY_PHRASES)
-    ranked = F.array_sort(F.collect_list(F.struct("_rank", "_phrase")))
-    return top.groupBy(key).agg(F.transform(ranked, lambda r: r["_phrase"]).alias(out))
+    """(key, ranked phrases) for every offer that has any; nothing is exchanged."""
+    found = with_phrases(offers.select(key, text), text, "_ranked")
+    # The rows of an outer explode are filtered after it; a filter on the phrases would compute them twice.
+    given = found.select(key, F.explode_outer(F.when(F.size("_ranked") > 0, F.array("_ranked"))).alias(out))
+    return given.where(F.col(out).isNotNull())

@@ -38,39 +38,33 @@ def left_join_many(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return matched.unionByName(missing, allowMissingColumns=True)
 
 
-def _magnitude(value: Column) -> Column:
-    """Order-preserving bucket of a non-negative bigint: bit length and 12 leading bits."""
-    bits = F.length(F.bin(value))
-    leading = F.expr("shiftright(_value, length(bin(_value)) - 12)")
-    return F.when(bits <= 12, value).otherwise(bits.cast("bigint") * 4096 + leading)
+def _digits(value: Column) -> Column:
+    """A bigint as 16 hexadecimal digits in numeric order, negative values first."""
+    return F.lpad(F.hex(value.bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
 
 
 def exact_median(df: DataFrame, value: Column, out: str) -> DataFrame:
-    """One row with the continuous median of a non-negative bigint (NULL without values).
+    """One row with the continuous median of a bigint (NULL without values).
 
-    Values are counted before anything is ordered. The counts are summed up in at most
-    64 x 4096 magnitude buckets; only the one or two buckets that hold the middle ranks
-    are then ordered by value. No task ever sees all values.
+    Values are counted before anything is ordered. The counts are summed up by their first four
+    hexadecimal digits; the one or two prefixes that hold the middle ranks are opened to eight digits, and so on.
+    A step orders at most 2 x 65,536 sums, whatever the values are.
     """
     counts = df.select(value.cast("bigint").alias("_value")).where("_value IS NOT NULL") \
-        .groupBy("_value").agg(F.count(F.lit(1)).alias("_n")) \
-        .withColumn("_bucket", _magnitude(F.col("_value")))
-    everything = Window.orderBy("_bucket")
-    totals = counts.groupBy("_bucket").agg(F.sum("_n").alias("_in_bucket")).select(
-        "_bucket",
-        (F.sum("_in_bucket").over(everything) - F.col("_in_bucket")).alias("_before"),
-        F.sum("_in_bucket").over(everything).alias("_upto"),
-        F.sum("_in_bucket").over(Window.partitionBy()).alias("_total"),
-    ).withColumns({"_low": F.expr("(_total - 1) div 2"), "_high": F.expr("_total div 2")})
-
-    def holds(before: Column, upto: Column) -> Column:
-        return ((before <= F.col("_low")) & (F.col("_low") < upto)) | (
-            (before <= F.col("_high")) & (F.col("_high") < upto))
-
-    middle = totals.where(holds(F.col("_before"), F.col("_upto")))  # one or two rows
-    running = F.sum("_n").over(Window.partitionBy("_bucket").orderBy("_value"))
-    ranked = counts.join(F.broadcast(middle), "_bucket").withColumn("_rank", F.col("_before") + running)
-    return ranked.where(holds(F.col("_rank") - F.col("_n"), F.col("_rank"))).agg(F.avg("_value").alias(out))
+        .groupBy("_value").agg(F.count(F.lit(1)).alias("_n")).withColumn("_digits", _digits(F.col("_value")))
+    total = counts.agg(F.sum("_n").alias("_total"))
+    opened = total.select(F.lit("").alias("_prefix"), F.lit(0).cast("bigint").alias("_before"), "_total")
+    for length in (4, 8, 12, 16):
+        inside = counts.join(F.broadcast(opened), F.substring("_digits", 1, length - 4) == F.col("_prefix"))
+        sums = inside.groupBy("_prefix", "_before", "_total", F.substring("_digits", 1, length).alias("_longer")) \
+            .agg(F.sum("_n").alias("_n"))
+        upto = F.col("_before") + F.sum("_n").over(Window.partitionBy("_prefix").orderBy("_longer"))
+        placed = sums.withColumn("_upto", upto).withColumn("_before", F.col("_upto") - F.col("_n"))
+        holds = F.expr("(_before <= (_total - 1) div 2 AND (_total - 1) div 2 < _upto)"
+                       " OR (_before <= _total div 2 AND _total div 2 < _upto)")
+        opened = placed.where(holds).select(F.col("_longer").alias("_prefix"), "_before", "_total")  # one or two rows
+    middle = counts.join(F.broadcast(opened), F.col("_digits") == F.col("_prefix"))
+    return middle.agg(F.avg("_value").alias(out))
 
 
 def single_row(pieces: list[DataFrame]) -> DataFrame:

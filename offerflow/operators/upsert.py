@@ -21,7 +21,7 @@ def upsert_by_url(target: DataFrame, batch: DataFrame, order: list[Column]) -> D
     """The target after inserting or updating the batch by ``url``.
 
     Of several batch rows with one URL the first inserts and the last updates, as if
-    they had been applied one by one. Rows without a URL cannot be keyed and are left out.
+    they had been applied one by one. Batch rows without a URL never meet another row and are inserted as they are.
     """
     columns = target.columns
     kept = [c for c in columns if c not in URL_UPDATE_COLUMNS and c != "url"]
@@ -40,7 +40,9 @@ def upsert_by_url(target: DataFrame, batch: DataFrame, order: list[Column]) -> D
             return F.when(F.col("_last").isNotNull(), F.col("_last")[name]).otherwise(F.col("_old")[name])
         return F.when(F.col("_old").isNotNull(), F.col("_old")[name]).otherwise(F.col("_first")[name])
 
-    return merged.select(*[value(c).alias(c) for c in columns])
+    nameless = batch.where("url IS NULL").select(*columns)
+    return merged.select(*[value(c).alias(c) for c in columns]) \
+        .unionByName(nameless)
 
 
 def upsert_by_key(target: DataFrame, batch: DataFrame, key: str, order: list[Column]) -> DataFrame:
@@ -62,16 +64,21 @@ def latest_enrichment(enriched: DataFrame) -> DataFrame:
     return last_per_key(enriched, ["offre_id"], [F.col("processed_at"), F.col("id")])
 
 
-def patch_enrichment(enriched: DataFrame, predicted: DataFrame, as_of: str) -> DataFrame:
+def patch_enrichment(
+    enriched: DataFrame, predicted: DataFrame, as_of: str, order: list[Column] | None = None,
+) -> DataFrame:
     """The enrichments after applying predictions keyed by offer ``id``.
 
     Only non-NULL predictions overwrite, and only on the latest enrichment of an offer;
-    offers without one get a new row. Predictions without an id are skipped.
+    offers without one get a new row. Predictions without an id are skipped. Of several
+    predictions for an offer the last non-NULL value of each column in ``order`` wins, as if they
+    had been applied one by one; without an order the predictions of an offer must be alike.
     """
     columns = enriched.columns
     filled = [c for c in rules.TARGET_COLUMNS if c in predicted.columns]
-    # An offer listed several times carries the same predictions each time.
-    folded = predicted.where("id IS NOT NULL").groupBy("id").agg(*[F.max(c).alias(c) for c in filled])
+    place = F.struct(*(order or [F.struct(*filled)]))
+    folded = predicted.where("id IS NOT NULL").groupBy("id").agg(*[
+        F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in filled])
     new = folded.select(F.col("id").alias("_offer"), F.struct(*filled).alias("_new"))
     # One row per offer id, and the id of the enrichment that a prediction changes.
     current = enriched.where("offre_id IS NOT NULL").groupBy("offre_id").agg(

@@ -193,7 +193,10 @@ _OPEN = """FROM offers o WHERE length(description) > 50
 ORACLES["backlog"] = _with(f"""
 SELECT id, title, md5(description) AS description, contract_type, location, company_name, spider_source,
  CAST(posted_date AS VARCHAR) AS posted_date FROM (
- SELECT * {_OPEN} ORDER BY posted_date DESC NULLS FIRST, id LIMIT 1000)""", "offers", "enriched")
+ SELECT * {_OPEN})""", "offers", "enriched")
+ORACLES["backlog_top"] = _with(f"""
+SELECT id, title, CAST(posted_date AS VARCHAR) AS posted_date FROM (
+ SELECT * {_OPEN} ORDER BY posted_date DESC NULLS FIRST, id LIMIT 25)""", "offers", "enriched")
 ORACLES["backlog_unlimited"] = _with(
     f"SELECT id, spider_source, CAST(posted_date AS VARCHAR) AS posted_date {_OPEN}", "offers", "enriched")
 ORACLES["offers_left_enriched"] = _with("""
@@ -259,6 +262,9 @@ _TOTALS = f"""SELECT (SELECT count(*) FROM offers) AS total_offers,
  (SELECT count(*) FROM offers WHERE created_at >= {DAY}) AS new_offers_today,
  (SELECT count(*) FROM enriched) AS total_enriched,
  (SELECT count(*) FROM enriched WHERE processed_at >= {DAY}) AS new_enriched_today"""
+ORACLES["exact_median_times"] = "SELECT quantile_cont(epoch_us(ts), 0.5) AS median_micros FROM events"
+ORACLES["exact_median_signed"] = """
+SELECT quantile_cont(CAST(trunc(o_totalprice) AS BIGINT) - 150000, 0.5) AS median_price FROM orders"""
 ORACLES["totals"] = _with(_TOTALS, "offers", "enriched")
 _AVERAGES = """SELECT round(coalesce(avg(extracted_salary_min), 0), 3) AS avg_min_salary,
  round(coalesce(avg(extracted_salary_max), 0), 3) AS avg_max_salary FROM enriched WHERE extracted_salary_min IS NOT NULL"""
@@ -522,6 +528,9 @@ _DERIVED["referential"] = "SELECT * FROM (VALUES " + ", ".join(
 ORACLES["skill_matches"] = _with("""
 SELECT skill, category, kind, count(*) AS offers FROM normal JOIN referential ON regexp_matches(nt, re)
 GROUP BY skill, category, kind""", "offers", "texts", "normal", "referential")
+ORACLES["skill_matches_odd_terms"] = _with("""
+SELECT skill, way, count(*) AS offers FROM offers, (SELECT unnest(['.net', '++', '<>']) AS skill), (SELECT unnest(['table', 'list']) AS way)
+WHERE CAST(id AS BIGINT) % 3 = 0 GROUP BY skill, way""", "offers")
 ORACLES["skill_referential"] = _with("""
 SELECT DISTINCT r.skill, r.category, r.kind FROM referential r JOIN found f ON lower(f.skill) = r.skill""",
     *_SKILLS, "referential")
@@ -568,6 +577,15 @@ SELECT l.url, md5(l.url) AS id, l.title, l.company_name, l.description, l.contra
  CASE WHEN o.url IS NULL THEN f.job_count ELSE o.job_count END AS job_count
 FROM last_item l JOIN first_item f ON f.url = l.url LEFT JOIN old o ON o.url = l.url""", *_UPSERT)
 ORACLES["stream_upsert"] = ORACLES["upsert_by_url"]
+ORACLES["upsert_without_url"] = _with("""
+, b AS (SELECT * FROM items WHERE doc_id % 10 <> 3),
+l AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY url ORDER BY doc_id DESC) = 1),
+f AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY url ORDER BY doc_id) = 1)
+SELECT coalesce(l.url, o.url) AS url, CASE WHEN l.url IS NULL THEN o.title ELSE l.title END AS title,
+ CASE WHEN l.url IS NULL THEN o.description ELSE l.description END AS description,
+ CASE WHEN o.url IS NULL THEN f.job_count ELSE o.job_count END AS job_count
+FROM l JOIN f ON f.url = l.url FULL JOIN old o ON o.url = l.url
+UNION ALL SELECT NULL, title, description, job_count FROM items WHERE doc_id % 10 = 3""", *_UPSERT).replace(") \n, b", "), b", 1)
 ORACLES["upsert_by_key"] = _with("""
 SELECT md5(url) AS id, url, title, company_name, description, contract, CAST(posted AS VARCHAR) AS posted, source,
  job_count FROM last_item""", *_UPSERT)
@@ -594,6 +612,14 @@ FROM enriched e LEFT JOIN latest l ON l.id = e.id LEFT JOIN predictions p ON p.i
 UNION ALL SELECT md5('patch|' || p.id), p.id, {', '.join(f'p.{c}' for c in _FILLED)},
  array_to_string(p.extracted_skills, '|'), p.extracted_salary_min, NULL, '1.0', '2025-07-01 10:00:00'
 FROM predictions p WHERE p.id NOT IN (SELECT offre_id FROM latest)""", "offers", "enriched", "latest", "predictions")
+_DERIVED["ordered"] = """SELECT id, CASE WHEN job_type IS NULL THEN 'Achats' ELSE extracted_sector END AS extracted_sector,
+ extracted_contract_type, job_level, 'On-site' AS job_type FROM predictions"""
+ORACLES["patch_in_order"] = _with(f"""
+SELECT e.id, e.offre_id, {', '.join(f'coalesce(p.{c}, e.{c}) AS {c}' for c in _FILLED)},
+ CASE WHEN p.id IS NULL THEN strftime(e.processed_at, '%Y-%m-%d %H:%M:%S') ELSE '2025-07-01 10:00:00' END AS processed_at
+FROM enriched e LEFT JOIN latest l ON l.id = e.id LEFT JOIN ordered p ON p.id = l.offre_id
+UNION ALL SELECT md5('patch|' || p.id), p.id, {', '.join(f'p.{c}' for c in _FILLED)}, '2025-07-01 10:00:00'
+FROM ordered p WHERE p.id NOT IN (SELECT offre_id FROM latest)""", "offers", "enriched", "latest", "predictions", "ordered")
 ORACLES["retention"] = _with("""
 SELECT 'offer' AS kind, id FROM offers WHERE posted_date >= DATE '2023-07-01' OR posted_date IS NULL
 UNION ALL SELECT 'enrichment', id FROM enriched e WHERE NOT EXISTS (
@@ -624,6 +650,13 @@ SELECT DISTINCT page_id, 'detail' AS kind, {_RESOLVED} AS link FROM (
 
 
 ORACLES["listing_links"] = _nav_links("true")
+ORACLES["numbered_listing_links"] = """
+SELECT doc_id AS page_id, 'next' AS kind, 'https://l.example.org/sn/offres-d-emploi.php?page=' || (doc_id % 40 + 2) AS link
+FROM documents"""
+ORACLES["page_paragraphs"] = f"""
+SELECT page_id, md5(array_to_string(list_filter(list_transform(
+ regexp_extract_all(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<p>([^<]*)</p>', 1),
+ lambda x: {_strip(_text_of('x'))}), lambda x: x <> ''), chr(10))) AS paragraphs FROM pages"""
 ORACLES["json_fragment_links"] = _nav_links("NOT contains(url, '?')")
 
 _JOINED_TEXT = f"""md5(array_to_string(list_filter([{_strip("coalesce(description, '')")}, {_strip('text')}],
@@ -680,7 +713,14 @@ SELECT doc_id AS page_id, kind, link, site FROM (
 # ------------------------------------------------------- tables and files
 ORACLES["table_round_trip"] = _with("""
 SELECT f.format, id, title, md5(description) AS description
-FROM offers, (SELECT unnest(['csv', 'json', 'parquet']) AS format) f""", "offers")
+FROM offers, (SELECT unnest(['csv', 'json', 'parquet']) AS format) f
+UNION ALL SELECT 'csv lines', id, title, md5('-') FROM offers""", "offers")
+ORACLES["stored_enrichments"] = _with("""
+SELECT id, offre_id, extracted_sector, array_to_string(extracted_skills, '|') AS skills,
+ strftime(processed_at, '%Y-%m-%d %H:%M:%S') AS processed_at FROM enriched""", "enriched")
+ORACLES["training_snapshot"] = _with(f"""
+SELECT id, title, CASE WHEN extracted_skills IS NULL THEN NULL ELSE '["' || array_to_string(extracted_skills, '","') || '"]' END
+ AS extracted_skills, extracted_salary_min FROM ({_EXTRACT})""", "offers", "enriched")
 ORACLES["repeated_consolidation"] = _with(f"""
 SELECT spider_source, count(*) AS offers, count(posted_date) AS dated FROM ({_MAPPED}) GROUP BY spider_source""",
     *fx.RAW)
@@ -703,6 +743,22 @@ q AS (SELECT lang, whole + CASE WHEN turn <= wanted - (SELECT sum(whole) FROM y)
 SELECT doc_id, lang, rn <= quota AS is_validation FROM (
  SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5(CAST(doc_id AS VARCHAR) || ':42'), doc_id) AS rn
  FROM documents) JOIN q USING (lang)"""
+ORACLES["label_index"] = _with("""
+SELECT row_number() OVER (ORDER BY extracted_sector) - 1 AS position, extracted_sector AS label FROM (
+ SELECT DISTINCT extracted_sector FROM enriched WHERE extracted_sector IS NOT NULL)""", "enriched")
+ORACLES["classification_figures"] = """
+WITH p AS (SELECT lang, CASE WHEN doc_id % 3 = 0 THEN 'en' ELSE lang END AS label FROM documents),
+c AS (SELECT l.lang, count(*) FILTER (WHERE p.lang = l.lang)::DOUBLE AS actual, count(*) FILTER (WHERE p.label = l.lang)::DOUBLE
+ AS said, count(*) FILTER (WHERE p.label = l.lang AND p.lang = l.lang)::DOUBLE AS hit
+ FROM (SELECT DISTINCT lang FROM documents) l, p GROUP BY l.lang)
+SELECT round(sum(hit) / sum(actual), 9) AS accuracy,
+ round(sum(actual * CASE WHEN hit = 0 THEN 0 ELSE 2 * hit / (actual + said) END) / sum(actual), 9) AS f1 FROM c"""
+ORACLES["imputation_contract"] = """
+SELECT count(*) AS predicted, count(DISTINCT doc_id) AS documents, true AS known_labels, true AS accepted_by_confidence,
+ true AS confidence_of_best FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality IS NOT NULL)"""
+ORACLES["full_imputation_rows"] = _with(f"""
+SELECT "column", non_null AS "before", true AS kept, (SELECT count(*) FROM ({_EXTRACT})) AS "rows"
+FROM ({_completeness(f"({_EXTRACT})")})""", "offers", "enriched")
 _FILL = f"""SELECT l.offre_id, {', '.join(f'coalesce(l.{c}, p.{c}) AS {c}' for c in (
     *_FILLED, 'extracted_skills', 'extracted_salary_min', 'extracted_salary_max'))}
 FROM latest l LEFT JOIN predictions p ON p.id = l.offre_id"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -196,6 +197,13 @@ def backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "company_name", "spider_source", _day("posted_date"))
 
 
+@query
+def backlog_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest open offers, as many as asked for."""
+    rows = enrich.backlog(fx.offers(spark, sf_dir), fx.enriched(spark, sf_dir), limit=25)
+    return rows.select("id", "title", _day("posted_date"))
+
+
 @query
 def backlog_unlimited(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = enrich.backlog(fx.offers(spark, sf_dir), fx.enriched(spark, sf_dir), limit=None)
@@ -267,6 +275,19 @@ def exact_median_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_median(fx.table(spark, sf_dir, "orders"), F.col("o_totalprice").cast("bigint"), "median_price")
 
 
+@query
+def exact_median_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that share their leading digits: event times in microseconds."""
+    times = F.unix_micros(F.col("ts").cast("timestamp"))
+    return exact_median(fx.table(spark, sf_dir, "events"), times, "median_micros")
+
+
+@query
+def exact_median_signed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of both signs: order prices around a middle price."""
+    return exact_median(fx.table(spark, sf_dir, "orders"), F.col("o_totalprice").cast("bigint") - 150000, "median_price")
+
+
 @query
 def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _both(stats.totals)(spark, sf_dir)
@@ -416,6 +437,19 @@ def skill_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("skill", "category", "kind").agg(F.count(F.lit(1)).alias("offers"))
 
 
+@query
+def skill_matches_odd_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Skills that do not start with a letter or digit, or have none, in every third offer."""
+    texts = _texts(spark, sf_dir).select("id", F.concat("txt", F.when(
+        F.col("id").cast("bigint") % 3 == 0, " expert .net, ++ et <>").otherwise("")).alias("txt"))
+    terms = spark.createDataFrame([(t, "odd", "technical") for t in (".net", "++", "<>")], "skill string, category string, kind string")
+    matched = skills.match_skills(texts, "id", "txt", terms).select("id", "skill", F.lit("table").alias("way"))
+    listed = skills.with_skills(texts, "txt", technical={"odd": [".net", "++", "<>"]}, soft=[])
+    listed = listed.select("id", F.explode_outer("skills").alias("skill"))
+    listed = listed.where(F.lower("skill").isin(".net", "++", "<>")).select("id", F.lower("skill").alias("skill"), F.lit("list").alias("way"))
+    return matched.unionByName(listed).groupBy("skill", "way").agg(F.count(F.lit(1)).alias("offers"))
+
+
 @query
 def enriched_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole enrichment job over the whole backlog."""
@@ -468,6 +502,15 @@ def upsert_by_url(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "source", "job_count")
 
 
+@query
+def upsert_without_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch in which every tenth row has no URL: those are inserted as they are."""
+    target, batch = _url_tables(spark, sf_dir)
+    batch = batch.withColumn("url", F.when(F.col("doc_id") % 10 != 3, F.col("url")))
+    merged = upsert.upsert_by_url(target, batch, [F.col("doc_id")])
+    return merged.select("url", "title", "description", "job_count")
+
+
 @query
 def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, batch = _url_tables(spark, sf_dir)
@@ -508,6 +551,19 @@ def patch_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "processing_version", _time("processed_at").alias("processed_at"))
 
 
+@query
+def patch_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two predictions per offer that differ: the last non-NULL value of each column wins."""
+    rows = _predictions(spark, sf_dir)
+    later = rows.withColumns({
+        "turn": F.lit(2), "extracted_sector": F.when(F.col("job_type").isNull(), "Achats"),
+        "job_level": F.lit(None).cast("string"), "job_type": F.lit("On-site")})
+    both = rows.withColumn("turn", F.lit(1)).unionByName(later)
+    patched = upsert.patch_enrichment(fx.enriched(spark, sf_dir), both, fx.AS_OF, [F.col("turn")])
+    return patched.select("id", "offre_id", "extracted_sector", "extracted_contract_type", "job_level", "job_type",
+                          _time("processed_at").alias("processed_at"))
+
+
 @query
 def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     offers, enriched = upsert.apply_retention(fx.offers(spark, sf_dir), fx.enriched(spark, sf_dir), fx.AS_OF)
@@ -553,6 +609,16 @@ def json_fragment_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pg.extract_links_from_json(responses, NAV_LISTING)
 
 
+@query
+def numbered_listing_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a numbered listing page: the next page follows, whatever the number."""
+    pages = fx.table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("page_id"), F.lit("https://l.example.org/sn/offres.php").alias("url"), F.concat(
+            F.lit('<table id="offresenjobs"></table><div class="resultsOffre activepage"><span>'),
+            (F.col("doc_id") % 40 + 1).cast("string"), F.lit("</span></div>")).alias("html"))
+    return pg.extract_listing_links(pages, site_rules.LISTING_RULES["senjobs"])
+
+
 def _escaped(c: Column) -> Column:
     return F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
 
@@ -667,11 +733,33 @@ def table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows.write.option("header", True).option("escape", '"').csv(f"{base}/offers.csv")
     rows.write.parquet(f"{base}/offers.parquet")
     rows.write.json(f"{base}/offers.json")
+    rows.withColumn("description", F.lit("-")).write.option("header", True).option("escape", '"').csv(f"{base}/lines.csv")
     parts = []
-    for kind in tables.FORMATS:
-        read = tables.read_offers(spark, f"{base}/offers.{kind}", rows.schema, json_lines=True)
+    # Descriptions hold line breaks, so their CSV is read in one piece; one line per record is split.
+    for kind, file in (*((k, f"offers.{k}") for k in tables.FORMATS), ("csv lines", "lines.csv")):
+        read = tables.read_offers(spark, f"{base}/{file}", rows.schema, multi_line=file == "offers.csv")
         parts.append(read.select(F.lit(kind).alias("format"), "id", "title", F.md5("description").alias("description")))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def stored_enrichments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enrichments appended in two runs to a table that is created once."""
+    path = workdir.new_path(spark, "enrichments")
+    rows = fx.enriched(spark, sf_dir)
+    tables.append_enriched(rows.where("extracted_sector IS NOT NULL"), path)
+    tables.append_enriched(rows.where("extracted_sector IS NULL"), path)
+    return spark.read.schema(schemas.ENRICHED).parquet(path).select(
+        "id", "offre_id", "extracted_sector", _list("extracted_skills").alias("skills"), _time("processed_at").alias("processed_at"))
+
+
+@query
+def training_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training extract kept as CSV and read back."""
+    path = workdir.new_path(spark, "snapshot")
+    impute.snapshot_training_csv(_extract(spark, sf_dir).drop("description"), path)
+    return spark.read.option("header", True).option("escape", '"').csv(path).select(
+        "id", "title", "extracted_skills", F.col("extracted_salary_min").cast("bigint").alias("extracted_salary_min"))
 
 
 @query
@@ -731,6 +819,23 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return impute.stratified_split(rows, "lang", "doc_id")
 
 
+@query
+def label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sectors as training classes, in the order of their index."""
+    labels = impute.index_labels(fx.enriched(spark, sf_dir).where("extracted_sector IS NOT NULL"), "extracted_sector").labels
+    return spark.createDataFrame([(i, label) for i, label in enumerate(labels)], "position long, label string")
+
+
+@query
+def classification_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy and weighted F1 of a rule that takes every third document for English."""
+    rows = fx.table(spark, sf_dir, "documents").select(
+        "lang", F.when(F.col("doc_id") % 3 == 0, "en").otherwise(F.col("lang")).alias("label"))
+    labels = sorted(r[0] for r in rows.select("lang").distinct().collect())
+    found = impute.classification_metrics(rows, "lang", labels)
+    return spark.createDataFrame([(round(found["accuracy"], 9), round(found["f1"], 9))], "accuracy double, f1 double")
+
+
 @query
 def fill_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = upsert.latest_enrichment(fx.enriched(spark, sf_dir).where("offre_id IS NOT NULL"))
@@ -764,6 +869,23 @@ def impute_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "label", "confidence", "accepted")
 
 
+@query
+def imputation_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for any model, also after it was stored and read again: who is predicted, by which labels, what is accepted."""
+    rows = _labelled_documents(spark, sf_dir)
+    complete, incomplete = impute.split_complete(rows, ["quality"])
+    config = impute.ImputeConfig(models_dir=workdir.new_path(spark, "models"))
+    impute.train_column(complete, "quality", "doc_id", config)
+    model = impute.read_imputer(spark, f"{config.models_dir}/quality")
+    text = tx.model_text(F.col("title"), F.col("description"), rules.NO_TEXT)
+    found = impute.predict_imputer(model, incomplete.select("doc_id", text.alias("_text")))
+    return found.agg(
+        F.count(F.lit(1)).alias("predicted"), F.countDistinct("doc_id").alias("documents"),
+        F.bool_and(F.col("label").isin("0", "1")).alias("known_labels"),
+        F.bool_and(F.col("accepted") == (F.col("confidence") >= 0.7)).alias("accepted_by_confidence"),
+        F.bool_and(F.col("confidence").between(0.5, 1.0)).alias("confidence_of_best"))
+
+
 @query
 def impute_acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.acceptance_rate(impute_quality(spark, sf_dir))
@@ -772,21 +894,22 @@ def impute_acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def full_imputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole imputation job over the offer extract: cells filled per column."""
-    extract = schemas.conform(
-        fx.offers(spark, sf_dir).join(
-            upsert.latest_enrichment(fx.enriched(spark, sf_dir).where("offre_id IS NOT NULL")).drop("id")
-            .select(F.col("offre_id").alias("id"), *rules.TARGET_COLUMNS), "id", "left"),
-        schemas.T.StructType([
-            schemas.OFFERS["id"], schemas.OFFERS["title"], schemas.OFFERS["description"],
-            *[schemas.ENRICHED[c] for c in rules.TARGET_COLUMNS]]))
-    _, figures = impute.run_full_imputation(extract, "id")
+    _, figures = impute.run_full_imputation(_extract(spark, sf_dir), "id")
     return figures
 
 
+@query
+def full_imputation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same job with offers that repeat: rows stay as many, and no column loses a value."""
+    extract = _extract(spark, sf_dir)
+    filled, figures = impute.run_full_imputation(extract, "id")
+    return figures.select("column", "before", (F.col("improvement") >= 0).alias("kept")).withColumn("rows", F.lit(filled.count()))
+
+
 # --------------------------------------------------------------- streaming
 def _document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = fx.table(spark, sf_dir, "documents").schema
-    items = streaming.read_stream(spark, sf_dir, schema, "documents.parquet")
+    items = streaming.read_stream(spark, f"{sf_dir}/documents.parque[t]", schema)
     return items.withColumn("url", F.concat(F.lit("https://d.example.org/"), F.md5("text")))
 
 
@@ -803,7 +926,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page views of users as items; a view is kept once within the watermark delay."""
     path, checkpoint = workdir.new_path(spark, "events"), workdir.new_path(spark, "events-checkpoint")
-    events = streaming.read_stream(spark, sf_dir, fx.table(spark, sf_dir, "events").schema, "events.parquet")
+    events = streaming.read_stream(spark, f"{sf_dir}/events.parque[t]", fx.table(spark, sf_dir, "events").schema)
     items = events.select(F.col("ts").cast("timestamp").alias("ts"), F.concat_ws(
         "/", F.lit("https://e.example.org"), "event_type", "user_id").alias("url"))
     kept = streaming.stream_dedup(items, "ts", "60 days").select("id", "url")

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -26,6 +27,9 @@ from offerflow.sources import site_rules
 # The parser travels with the job, so workers need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Pages whose blocks are held at the same time.
+PAGES_AT_ONCE = 64
+
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
 # A start tag closes an open element of the same group, up to the group's container.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -39,6 +43,15 @@ class _Node:
     def __init__(self, tag: str, attrs: dict[str, str], parent: _Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[_Node | str] = []
+        # Place among the siblings of the same tag, next element, last child element: set while the tree grows.
+        self.turn, self.next, self.last, self.tags = 0, None, None, {}
+
+    def add(self, node: _Node) -> None:
+        node.turn = self.tags[node.tag] = self.tags.get(node.tag, 0) + 1
+        if self.last is not None:
+            self.last.next = node
+        self.last = node
+        self.children.append(node)
 
     def elements(self) -> list[_Node]:
         return [c for c in self.children if isinstance(c, _Node)]
@@ -71,7 +84,7 @@ class _Tree(HTMLParser):
     def handle_starttag(self, tag, attrs):
         self._close_implied(tag)
         node = _Node(tag, {k: v or "" for k, v in attrs}, self.open)
-        self.open.children.append(node)
+        self.open.add(node)
         if tag not in _VOID:
             self.open = node
 
@@ -98,28 +111,32 @@ class _Tree(HTMLParser):
 _STEP = re.compile(r"""^([a-z0-9*]*)((?:[.#][\w-]+|\[[^\]]+\]|:[a-z-]+(?:\(\d+\))?)*)$""")
 
 
-def _matches(node: _Node, step: str) -> bool:
+@lru_cache(maxsize=None)
+def _compiled(step: str) -> tuple[str, list[Callable[[_Node], bool]]]:
+    """Tag of a step and its tests; the steps are those of the site rules."""
     tag, rest = _STEP.match(step).groups()
-    if tag not in ("", "*", node.tag):
-        return False
-    for part in re.findall(r"[.#][\w-]+|\[[^\]]+\]|:[a-z-]+(?:\(\d+\))?", rest):
-        if part[0] == "." and part[1:] not in node.attrs.get("class", "").split():
-            return False
-        if part[0] == "#" and part[1:] != node.attrs.get("id"):
-            return False
-        if part[0] == "[":
-            name, operator, value = re.match(r'\[([\w-]+)(\*?=)"([^"]*)"\]', part).groups()
-            actual = node.attrs.get(name)
-            if actual is None or (value not in actual if operator == "*=" else value != actual):
-                return False
-        if part == ":last-child" and node.parent.elements()[-1] is not node:
-            return False
-        nth = re.match(r":nth-of-type\((\d+)\)", part)
-        if nth:
-            same = [e for e in node.parent.elements() if e.tag == node.tag]
-            if same.index(node) != int(nth.group(1)) - 1:
-                return False
-    return True
+    return tag, [_test(part) for part in re.findall(r"[.#][\w-]+|\[[^\]]+\]|:[a-z-]+(?:\(\d+\))?", rest)]
+
+
+def _test(part: str) -> Callable[[_Node], bool]:
+    if part[0] == ".":
+        return lambda n: part[1:] in n.attrs.get("class", "").split()
+    if part[0] == "#":
+        return lambda n: part[1:] == n.attrs.get("id")
+    if part == ":last-child":
+        return lambda n: n.parent.last is n
+    nth = re.match(r":nth-of-type\((\d+)\)", part)
+    if nth:
+        return lambda n: n.turn == int(nth.group(1))
+    name, operator, value = re.match(r'\[([\w-]+)(\*?=)"([^"]*)"\]', part).groups()
+    if operator == "*=":
+        return lambda n: value in n.attrs.get(name, "") if name in n.attrs else False
+    return lambda n: n.attrs.get(name) == value
+
+
+def _matches(node: _Node, step: str) -> bool:
+    tag, tests = _compiled(step)
+    return tag in ("", "*", node.tag) and all(test(node) for test in tests)
 
 
 def _select(root: _Node, path: str) -> list[_Node]:
@@ -131,8 +148,10 @@ def _select(root: _Node, path: str) -> list[_Node]:
             if step.startswith("<"):
                 candidates = [node.parent] if node.parent.tag == step[1:] else []
             elif step.startswith("+"):
-                later = node.parent.elements()
-                candidates = [e for e in later[later.index(node) + 1:] if e.tag == step[1:]][:1]
+                after = node.next
+                while after is not None and after.tag != step[1:]:
+                    after = after.next
+                candidates = [after] if after is not None else []
             else:
                 candidates = [e for e in node.below() if _matches(e, step)]
             for candidate in candidates:
@@ -202,8 +221,6 @@ def extract_blocks(pages: DataFrame, listing: dict, url: str = "url", html: str
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep]
                        + ["position int", "kind string", "link string", f"fields {_FIELDS}"])
 
-    last_page, numbered_url = site_rules.NUMBERED_LISTING_LAST, site_rules.NUMBERED_LISTING_URL
-
     def of_page(row: dict) -> Iterator[dict]:
         root = _Tree(row[html] or "").root
         shared = {k: v for k, v in row.items() if k != html}
@@ -218,16 +235,16 @@ def extract_blocks(pages: DataFrame, listing: dict, url: str = "url", html: str
     def _next_link(base: str, found: str) -> str | None:
         if "::attr" in listing["next"]:
             return urljoin(base, found)
-        number = int(found) if found.strip().isdigit() else last_page
-        if number < last_page:
-            return urljoin(base, f"{numbered_url}{number + 1}")
-        return None
+        if not found.strip().isdecimal() or int(found) >= listing.get("last_page", int(found) + 1):
+            return None
+        return urljoin(base, f"{listing['numbered']}{int(found) + 1}")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [f.name for f in keep] + ["position", "kind", "link", "fields"]
         for batch in batches:
-            found = [r for row in batch.to_dict("records") for r in of_page(row)]
-            yield pd.DataFrame(found, columns=names)
+            for low in range(0, len(batch), PAGES_AT_ONCE):
+                rows = batch.iloc[low:low + PAGES_AT_ONCE].to_dict("records")
+                yield pd.DataFrame([r for row in rows for r in of_page(row)], columns=names)
 
     return pages.mapInPandas(parse, schema)
 

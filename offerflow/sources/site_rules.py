@@ -83,7 +83,9 @@ SOURCE_NAMES = {
     "emplois": "emploidakar",
 }
 
-# Listing pages: block that holds one offer, its link, further fields, link to the next page.
+# Listing pages: block that holds one offer, its link, further fields, link to the next page. Where
+# only the number of the page is shown, ``numbered`` is the address of a page up to its number; an optional
+# ``last_page`` ends such a listing.
 LISTING_RULES = {
     "jobs_emploi_senegal": {
         "block": "div.card-job", "fields": {"link": "h3 a::attr(href)"},
@@ -101,10 +103,7 @@ LISTING_RULES = {
             "location": "span.glyphicon.glyphicon-map-marker <span::text",
             "posted_fragments": "span.glyphicon.glyphicon-calendar <span ::text",
             "expiration_fragments": "span.glyphicon.glyphicon-time <span ::text"},
-        "next": "div.resultsOffre.activepage span::text"},
+        "next": "div.resultsOffre.activepage span::text", "numbered": "/sn/offres-d-emploi.php?page="},
     "emplois": {
         "block": "li.job_listing", "fields": {"link": "a::attr(href)"}, "next": None},
 }
-# The numbered listing ends at this page, and this is the address of page N.
-NUMBERED_LISTING_LAST = 9
-NUMBERED_LISTING_URL = "/sn/offres-d-emploi.php?page="

@@ -11,21 +11,21 @@ from offerflow.functions.dates import moment
 from offerflow.operators.consolidate import new_offers
 from offerflow.operators.upsert import append_ids
 
-MAX_PLAN_TERMS = 10_000
 FORMATS = ("csv", "json", "parquet")
 
 
 # ------------------------------------------------------------------ reading
-def read_offers(spark: SparkSession, path: str, schema: T.StructType, json_lines: bool = False) -> DataFrame:
+def read_offers(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """Offers from a CSV, JSON or Parquet path, chosen by its extension.
 
-    A JSON file holds one array, or with ``json_lines`` (splittable) one object per line.
+    Files are split: a CSV record and a JSON object take a line each. With ``multi_line`` CSV cells may hold
+    line breaks and a JSON file may be one array; then a task reads a whole file.
     """
     kind = path.rsplit(".", 1)[-1].lower()
     if kind not in FORMATS:
         raise ValueError(f"unsupported format: {path}")
-    options = {"csv": {"header": True, "multiLine": True, "escape": '"'},
-               "json": {"multiLine": not json_lines}, "parquet": {}}
+    options = {"csv": {"header": True, "multiLine": multi_line, "escape": '"'},
+               "json": {"multiLine": multi_line}, "parquet": {}}
     return spark.read.schema(schema).options(**options[kind]).format(kind).load(path)
 
 
@@ -73,11 +73,6 @@ def write_enriched_csv(df: DataFrame, path: str) -> None:
     df.select(*columns).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def default_csv_path(output_dir: str, as_of: str) -> str:
-    stamp = as_of.replace("-", "").replace(":", "").replace(" ", "_")
-    return f"{output_dir}/enriched_data_{stamp}.csv"
-
-
 # -------------------------------------------------------- skill referential
 REFERENTIAL = T.StructType([
     T.StructField("technical_skills", T.MapType(T.StringType(), T.ArrayType(T.StringType()))),
@@ -126,22 +121,3 @@ def write_skill_referential(referential: DataFrame, path: str, as_of: str) -> No
         "technical_skills", "soft_skills", patterns.alias("skill_patterns"),
         F.date_format(moment(as_of), "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("last_updated"),
     )).alias("value")).write.mode("overwrite").text(path)
-
-
-def referential_terms(referential: DataFrame) -> tuple[dict[str, list[str]], list[str]]:
-    """The referential as the dictionaries taken by ``with_skills``.
-
-    They become part of the plan, so the size is checked; larger referentials stay tables
-    and are matched by ``match_skills``.
-    """
-    technical: dict[str, list[str]] = {}
-    soft: list[str] = []
-    rows = referential.orderBy("kind", "category", "skill").limit(MAX_PLAN_TERMS + 1).collect()
-    if len(rows) > MAX_PLAN_TERMS:
-        raise ValueError(f"more than {MAX_PLAN_TERMS} skills: use match_skills")
-    for row in rows:
-        if row["kind"] == "soft":
-            soft.append(row["skill"])
-        else:
-            technical.setdefault(row["category"], []).append(row["skill"])
-    return technical, soft

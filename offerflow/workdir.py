@@ -40,13 +40,3 @@ def clear(spark: SparkSession) -> None:
     """Remove everything this application has written to the shared folder; call it when its results are used."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_folder(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """A freshly read table over at least as many partitions as there are cores.
-
-    Text extraction is bound by the CPU, and a small file in one piece would keep one core
-    busy. A table with enough partitions of its own is returned as it is, without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -10,7 +10,6 @@ import __spark_entry__ as driver
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
-SLOW = {"impute_quality", "impute_acceptance", "full_imputation"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
 
@@ -33,8 +32,6 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(driver.queries()))
 def test_query(spark, duck, name):
-    if name in SLOW:
-        pytest.skip("covered by the property tests on a small table")
     frame = driver.queries()[name](spark, SF_DIR)
     columns = sorted(frame.columns)
     found = sorted(repr([r[c] for c in columns]) for r in frame.collect())

@@ -17,6 +17,13 @@ from offerflow.sources import pages, site_rules, tables
 AS_OF = "2025-07-01 10:00:00"
 
 
+def test_exact_median_of_both_signs(spark):
+    for values in ([-5, -1, 3, 10, 20], [-(1 << 63), (1 << 63) - 1, 0], [7], [10**17 + i for i in range(1000)]):
+        df = spark.createDataFrame([(v,) for v in values], "v bigint")
+        assert exact_median(df, F.col("v"), "m").first().m == statistics.median(values)
+    assert exact_median(spark.range(0), F.col("id"), "m").first().m is None
+
+
 def test_exact_median_of_skewed_values(spark):
     rng = random.Random(7)
     values = [rng.choice([0, 1, 4095, 4096, 10**6, rng.randrange(10**12)]) for _ in range(999)] + [4096] * 500
@@ -206,7 +213,7 @@ def test_statistics_of_empty_tables(spark):
 def test_json_array_and_wrong_extension(spark, tmp_path):
     (tmp_path / "offers.json").write_text('[{"id": "1", "title": "a"}, {"id": "2"}]', encoding="utf-8")
     schema = schemas._schema("id title")
-    assert tables.read_offers(spark, str(tmp_path / "offers.json"), schema).count() == 2
+    assert tables.read_offers(spark, str(tmp_path / "offers.json"), schema, multi_line=True).count() == 2
     try:
         tables.read_offers(spark, "offers.xls", schema)
     except ValueError:
@@ -217,10 +224,40 @@ def test_json_array_and_wrong_extension(spark, tmp_path):
 def test_referential_keeps_missing_parts(spark, tmp_path):
     (tmp_path / "ref.json").write_text('{"technical_skills": {"Langages": ["Cobol"]}}', encoding="utf-8")
     referential = tables.read_skill_referential(spark, str(tmp_path / "ref.json"))
-    technical, soft = tables.referential_terms(referential)
-    assert technical == {"Langages": ["cobol"]} and len(soft) == len(rules.SOFT_SKILLS)
-    df = spark.createDataFrame([("cobol, python, leadership",)], "t string")
-    assert skills.with_skills(df, "t", "s", technical=technical, soft=soft).first().s == ["Cobol", "Leadership"]
+    assert referential.where("kind = 'technical'").select("skill", "category").collect() == [("cobol", "Langages")]
+    assert referential.where("kind = 'soft'").count() == len(rules.SOFT_SKILLS)
+    df = spark.createDataFrame([(1, "cobol, python, leadership")], "id int, t string")
+    found = skills.match_skills(df, "id", "t", referential).collect()
+    assert sorted(r.skill for r in found) == ["cobol", "leadership"]
+
+
+def test_terms_without_a_leading_letter(spark):
+    df = spark.createDataFrame([(1, "expert .net et python"), (2, "a.net"), (3, "++ ok"), (4, "")], "id int, t string")
+    rows = skills.with_skills(df, "t", "s", technical={"odd": [".net", "++"]}, soft=[]).collect()
+    assert [[s for s in r.s if s != "Python"] for r in rows] == [[".Net"], [], ["++"], []]
+
+
+def test_upsert_keeps_rows_without_a_url(spark):
+    schema = "url string, id string, title string"
+    target = spark.createDataFrame([("u1", "i1", "old"), (None, "i0", "t0")], schema)
+    batch = spark.createDataFrame([(0, None, "i2", "a"), (1, None, "i2", "a"), (2, "u1", "x", "new")], "n int, " + schema)
+    found = upsert.upsert_by_url(target, batch, [F.col("n")]).collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, [
+        ("u1", "i1", "new"), (None, "i0", "t0"), (None, "i2", "a"), (None, "i2", "a")]))
+
+
+def test_predictions_are_applied_in_order(spark):
+    enriched = schemas.conform(spark.createDataFrame([("e", "1")], "id string, offre_id string"), schemas.ENRICHED)
+    rows = [(1, "1", "Zeta", None), (2, "1", "Beta", "Junior"), (3, "1", None, None)]
+    predicted = spark.createDataFrame(rows, "n int, id string, extracted_sector string, job_level string")
+    row = upsert.patch_enrichment(enriched, predicted, AS_OF, [F.col("n")]).first()
+    assert (row.extracted_sector, row.job_level) == ("Beta", "Junior")
+
+
+def test_filling_repeats_no_row(spark):
+    df = spark.createDataFrame([("1", None), ("1", "x"), ("2", None)], "id string, job_type string")
+    found = impute.fill_missing(df, df.select("id", F.lit("new").alias("job_type")), "id").collect()
+    assert sorted(map(tuple, found)) == [("1", "new"), ("1", "x"), ("2", "new")]
 
 
 def test_tables_are_created_once(spark, tmp_path):
@@ -243,10 +280,16 @@ def test_pages_with_traps(spark):
 
 
 def test_numbered_listing_stops_at_its_last_page(spark):
-    def listing(number):
+    def page(number):
         return f'<table id="offresenjobs"></table><div class="resultsOffre activepage"><span>{number}</span></div>'
 
-    df = spark.createDataFrame([(n, "https://e.org/sn/x.php", listing(n)) for n in (1, 8, 9)],
+    df = spark.createDataFrame([(n, "https://e.org/sn/x.php", page(n)) for n in (1, 8, 9, 25)],
                                "page_id long, url string, html string")
-    links = pages.extract_listing_links(df, site_rules.LISTING_RULES["senjobs"]).collect()
-    assert sorted((r.page_id, r.link.rsplit("=", 1)[1]) for r in links) == [(1, "2"), (8, "9")]
+    listing = site_rules.LISTING_RULES["senjobs"]
+
+    def numbers(rules):
+        links = pages.extract_listing_links(df, rules).collect()
+        return sorted((r.page_id, r.link.rsplit("=", 1)[1]) for r in links)
+
+    assert numbers(listing) == [(1, "2"), (8, "9"), (9, "10"), (25, "26")]
+    assert numbers(listing | {"last_page": 9}) == [(1, "2"), (8, "9")]
