@@ -129,6 +129,34 @@ def test_skills_equal_brute_force(spark):
         assert all(abs(s.score - e) < 1e-9 for s, (_, e) in zip(row.s, expected)), row.t
 
 
+# The separate patterns of currencies and periods.
+CURRENCIES = {
+    "XOF": (r"[\d\s]+\s*(FCFA|CFA|XOF|Francs? CFA|F CFA)", r"[\d\s]+\s*(francs?|f|F)\s*(CFA|cfa)", r"CFA\s*[\d\s,]+",
+            r"XOF\s*[\d\s,]+"),
+    "EUR": (r"[\d\s]+\s*(€|EUR|euros?)", r"€\s*[\d\s,]+", r"EUR\s*[\d\s,]+"),
+    "USD": (r"[\d\s]+\s*(\$|USD|dollars?)", r"\$\s*[\d\s,]+", r"USD\s*[\d\s,]+"),
+    "GBP": (r"[\d\s]+\s*(£|GBP|livres?)", r"£\s*[\d\s,]+", r"GBP\s*[\d\s,]+"),
+}
+PERIODS = {
+    "monthly": (r"(?:par|/|par\s+)mois", r"mensuel|mensuelle", r"monthly", r"/mois|par mois"),
+    "yearly": (r"(?:par|/|par\s+)an(?:née)?|(?:par|/|par\s+)ans", r"annuel|annuelle", r"yearly|annual", r"/an|par an"),
+    "hourly": (r"(?:par|/|par\s+)heure", r"horaire", r"hourly", r"/h|/heure|par heure"),
+    "daily": (r"(?:par|/|par\s+)jour(?:née)?", r"journalier|quotidien", r"daily", r"/jour|par jour"),
+}
+
+
+def test_merged_patterns_accept_what_the_separate_ones_do():
+    rng = random.Random(3)
+    pieces = ["1", "20", " ", "  ", ",", "f", "F", "franc", "francs", "CFA", "cfa", "fcfa", "XOF", "€", "eur", "euros", "$", "usd",
+              "dollar", "£", "gbp", "livres", "par", "/", "mois", "an", "année", "ans", "heure", "h", "jour", "journée", "mensuel",
+              "annuel", "annual", "horaire", "hourly", "quotidien", "daily", "x", ".", "\t"]
+    for _ in range(20000):
+        text = "".join(rng.choices(pieces, k=rng.randrange(1, 6)))
+        for separate, merged in ((CURRENCIES, rules.CURRENCY_PATTERNS), (PERIODS, rules.PERIOD_PATTERNS)):
+            for name, patterns in separate.items():
+                assert any(re.search(p, text, re.I) for p in patterns) == bool(re.search(merged[name], text, re.I)), (name, text)
+
+
 def test_matching_a_referential_table(spark):
     offers = spark.createDataFrame([(1, "python and c++, machine  learning"), (2, "pythonic")], "id int, t string")
     found = skills.match_skills(offers, "id", "t", tables.default_referential(spark)).collect()
