@@ -91,6 +91,8 @@ def stratified_split(
         .where((F.col("_upto") - F.col("_n") <= F.col("_quota")) & (F.col("_quota") < F.col("_upto"))) \
         .select("_label", F.col("_bucket").alias("_end"),
                 (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_take"))
+    # Written, so that its size is known: where it is small, as many rows as labels, no text moves to meet its label.
+    ends = written(ends, "quota-ends")
     placed = hashed.join(ends, F.col(label).eqNullSafe(F.col("_label")), "left")
     on_edge = F.col("_bucket") == F.col("_end")
     rank = F.row_number().over(Window.partitionBy("_label", "_bucket").orderBy("_hash", key))

@@ -50,8 +50,13 @@ def exact_median(df: DataFrame, value: Column, out: str) -> DataFrame:
     hexadecimal digits; the one or two prefixes that hold the middle ranks are opened to eight digits, and so on.
     A step orders at most 2 x 65,536 sums, whatever the values are.
     """
-    counts = df.select(value.cast("bigint").alias("_value")).where("_value IS NOT NULL") \
-        .groupBy("_value").agg(F.count(F.lit(1)).alias("_n")).withColumn("_digits", _digits(F.col("_value")))
+    return median_of_counts(df.select(value.cast("bigint").alias("_value")).where("_value IS NOT NULL")
+                            .groupBy("_value").agg(F.count(F.lit(1)).alias("_n")), out)
+
+
+def median_of_counts(counts: DataFrame, out: str) -> DataFrame:
+    """The same from distinct bigints ``_value`` and how often each occurs, ``_n``."""
+    counts = counts.select("_value", "_n", _digits(F.col("_value")).alias("_digits"))
     total = counts.agg(F.sum("_n").alias("_total"))
     opened = total.select(F.lit("").alias("_prefix"), F.lit(0).cast("bigint").alias("_before"), "_total")
     for length in (4, 8, 12, 16):

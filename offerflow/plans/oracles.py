@@ -780,6 +780,9 @@ FROM (SELECT id FROM ({_EXTRACT}) WHERE extracted_sector IS NULL) x JOIN salarie
 ORACLES["stream_dedup"] = """
 SELECT DISTINCT md5('https://d.example.org/' || md5(text)) AS id, 'https://d.example.org/' || md5(text) AS url
 FROM documents"""
+ORACLES["stream_first"] = """
+SELECT md5('https://d.example.org/' || md5(text)) AS id, arg_min(doc_id, (1 - doc_id % 2, doc_id)) AS doc_id,
+ arg_min(lang, (1 - doc_id % 2, doc_id)) AS lang FROM documents GROUP BY text"""
 ORACLES["stream_dedup_events"] = """
 SELECT DISTINCT md5(u) AS id, u AS url
 FROM (SELECT 'https://e.example.org/' || event_type || '/' || user_id AS u FROM events)"""

@@ -922,6 +922,20 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("id string, url string").parquet(path)
 
 
+@query
+def stream_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same stream, where the first document of every URL is kept: two arrivals with copies in both."""
+    folder, path = workdir.new_path(spark, "documents"), workdir.new_path(spark, "first")
+    checkpoint = workdir.new_path(spark, "first-checkpoint")
+    docs = fx.table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", F.concat(F.lit("https://d.example.org/"), F.md5("text")).alias("url"))
+    for part in (1, 0):
+        docs.where(F.col("doc_id") % 2 == part).write.mode("append").parquet(folder)
+        items = streaming.read_stream(spark, folder, docs.schema)
+        streaming.stream_first(items, path, checkpoint, [F.col("doc_id")]).awaitTermination()
+    return spark.read.schema("id string, doc_id long, lang string").parquet(path).select("id", "doc_id", "lang")
+
+
 @query
 def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page views of users as items; a view is kept once within the watermark delay."""
@@ -939,10 +953,17 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream of raw rows folded into the known rows: equal to the batch upsert."""
     target, batch = _url_tables(spark, sf_dir)
     folder, log = workdir.new_path(spark, "items"), workdir.new_path(spark, "upserts")
-    batch.write.parquet(folder)
-    items = streaming.read_stream(spark, folder, batch.schema)
-    streaming.stream_upsert(items, log, workdir.new_path(spark, "upserts-checkpoint")).awaitTermination()
-    merged = streaming.fold_upserts(target, streaming.read_upserts(spark, log, batch.schema), [F.col("doc_id")])
+    checkpoint, compacted = workdir.new_path(spark, "upserts-checkpoint"), workdir.new_path(spark, "compacted")
+    middle, order = batch.agg(F.avg("doc_id")).first()[0], [F.col("doc_id")]
+    for early in (True, False):
+        batch.where((F.col("doc_id") < middle) == early).write.mode("append").parquet(folder)
+        items = streaming.read_stream(spark, folder, batch.schema)
+        streaming.stream_upsert(items, log, checkpoint).awaitTermination()
+        logged = streaming.read_upserts(spark, log, batch.schema)
+        if early:  # folded into a new target; the later fold reads later batches only
+            last = streaming.compact_upserts(target, logged, order, compacted)
+    target = spark.read.schema(target.schema).parquet(compacted)
+    merged = streaming.fold_upserts(target, logged.where(F.col("batch_id") > last), order)
     return merged.select("url", "id", "title", "company_name", "description", "contract", "region", _day("posted"),
                          "source", "job_count")
 

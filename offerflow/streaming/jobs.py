@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from offerflow.functions.text import url_id
 from offerflow.operators.enrich import enrich_offers, enrichable
+from offerflow.operators.keyed import first_per_key
 from offerflow.operators.upsert import upsert_by_url
 
 
@@ -22,13 +23,36 @@ def read_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern:
 
 
 def stream_dedup(items: DataFrame, event_time: str | None = None, delay: str = "1 day") -> DataFrame:
-    """First item per URL. With an event time, state is kept only for ``delay``."""
+    """One item per URL, any of those in its first micro-batch. With an event time, state is kept only for ``delay``.
+
+    ``stream_first`` keeps the first item by an order.
+    """
     keyed = items.withColumn("id", url_id(F.col("url")))
     if event_time is None:
         return keyed.dropDuplicates(["id"])
     return keyed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["id"])
 
 
+def stream_first(items: DataFrame, path: str, checkpoint: str, order: list[Column]) -> StreamingQuery:
+    """Keep the first item per URL: by micro-batch, then by the order. Copies of an item may differ in other columns.
+
+    A micro-batch is reduced to one item per URL before it meets the ids that are stored already. Replaying it
+    overwrites its own folder, which is left out of those ids.
+    """
+    spark = items.sparkSession
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("batch_id", T.LongType())])
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        found = first_per_key(batch.withColumn("id", url_id(F.col("url"))), ["id"], order)
+        if batch_id > 0:
+            stored = spark.read.schema(schema).parquet(path).where(F.col("batch_id") < batch_id).select("id")
+            found = found.join(stored, "id", "left_anti")
+        found.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return items.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint) \
+        .trigger(availableNow=True).start()
+
+
 def write_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append a stream to a Parquet folder, everything available now, exactly once."""
     return rows.writeStream.format("parquet").outputMode("append") \
@@ -55,6 +79,16 @@ def read_upserts(spark: SparkSession, log_path: str, schema: T.StructType) -> Da
         .parquet(log_path)
 
 
+def compact_upserts(target: DataFrame, log: DataFrame, order: list[Column], path: str) -> int | None:
+    """Fold the log into the target and write the result to a new folder; the number of the last folded batch.
+
+    Later folds start from there and read only later batches.
+    """
+    last = log.agg(F.max("batch_id")).first()[0]
+    fold_upserts(target, log, order).write.parquet(path)
+    return last
+
+
 def fold_upserts(target: DataFrame, log: DataFrame, order: list[Column]) -> DataFrame:
     """The target after all logged upserts, in batch order and then in the given order."""
     return upsert_by_url(target, log, [F.col("batch_id"), *order])
@@ -63,8 +97,7 @@ def fold_upserts(target: DataFrame, log: DataFrame, order: list[Column]) -> Data
 def incremental_enrich(offers: DataFrame, path: str, checkpoint: str, as_of: str) -> StreamingQuery:
     """Enrich offers that arrived since the last run; the checkpoint replaces the backlog join.
 
-    The projection is narrow and stateless. Key phrases need a regrouping by offer, which
-    runs inside each micro-batch.
+    The projection is stateless.
     """
     def enrich(batch: DataFrame, batch_id: int) -> None:
         enrich_offers(batch, as_of).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
