@@ -116,7 +116,7 @@ def contexts(ids: np.ndarray, levels: list[Level], words: int) -> Iterator[tuple
 
 
 def _sums(x: np.ndarray, context: np.ndarray, size: int) -> np.ndarray:
-    return np.bincount(context, weights=x, minlength=size)
+    return np.bincount(context, weights=x, minlength=size).astype(float)  # whole numbers if there is nothing to sum
 
 
 def retain(levels: list[Level], word_n: np.ndarray, total: int, distinct: int, settings: Settings) -> None:
