@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from offerflow.llm.common import components, forest, written
 
-#: Rows of one side that a task compares at once.
-BLOCK = 2048
+#: Rows of one side that a task compares at once, and rows of a group that is compared together with others.
+BLOCK, FEW = 2048, 128
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -63,52 +63,82 @@ def bucket_keys(unit: np.ndarray, tables: int, hashes: int, probes: int, seed: i
 
 
 def _units(vectors) -> np.ndarray:
-    x = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+    """Rows of length one; shorter vectors are filled up with zeros."""
+    given = [np.asarray(v, dtype=np.float64) for v in vectors]
+    width = max(len(v) for v in given)
+    x = np.stack([v if len(v) == width else np.pad(v, (0, width - len(v))) for v in given])
     x /= np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def _near_pairs(unit: np.ndarray, group: pd.DataFrame, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of row places with a cosine of the threshold or more, inside groups that lie one after the other.
+
+    Groups of few rows are compared all at once, each row with the next one, the one after it and so on; larger ones by a
+    matrix product each.
+    """
+    names = group[["key", "low", "high"]].to_numpy()
+    starts = np.flatnonzero(np.append(True, (names[1:] != names[:-1]).any(axis=1)))
+    sizes = np.diff(np.append(starts, len(names)))
+    few = (sizes <= FEW) & (names[starts, 1] == names[starts, 2])
+    left = np.where(np.repeat(few, sizes), np.repeat(starts + sizes, sizes) - np.arange(len(names)), 0)
+    found, at = [], np.flatnonzero(left > 1)
+    for step in range(1, int(sizes[few].max(initial=1))):
+        at = at[left[at] > step]
+        for low in range(0, len(at), 1 << 15):
+            i = at[low:low + (1 << 15)]
+            near = np.einsum("ij,ij->i", unit[i], unit[i + step]) >= threshold
+            found.append(np.stack((i[near], i[near] + step)))
+    block = group["block"].to_numpy()
+    for start, size in zip(starts[~few], sizes[~few], strict=True):
+        rows = np.arange(start, start + size)
+        a, b = (rows[block[rows] == names[start, side]] for side in (1, 2))
+        i, j = np.nonzero(unit[a] @ unit[b].T >= threshold)
+        i, j = a[i], b[j]
+        once = i < j if names[start, 1] == names[start, 2] else np.full(len(i), True)
+        found.append(np.stack((i[once], j[once])))
+    i, j = np.concatenate(found, axis=1) if found else np.empty((2, 0), dtype=np.int64)
+    return i, j
+
+
 def _compare(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Links of one bucket, or of two of its blocks: (uid, null, links of uid found here) and a forest (uid, uid, 0).
+    """Links inside whole groups: (uid, null, links of uid found here) and a forest (uid, uid, 0).
 
-    A pair that shares several buckets counts in the smallest only.
+    A group is a bucket, or two blocks of one. A pair that shares several buckets counts in the smallest only.
     """
-    key, low, high = group["key"].iat[0], group["low"].iat[0], group["high"].iat[0]
-    left, right = (np.flatnonzero(group["block"].to_numpy() == b) for b in (low, high))
-    unit, uid, copies = _units(group["vector"]), group["uid"].to_numpy(), group["copies"].to_numpy()
-    i, j = np.nonzero(unit[left] @ unit[right].T >= threshold)
-    i, j = left[i], right[j]
-    if low == high:
-        i, j = i[i < j], j[i < j]
+    uid, copies, key = (group[c].to_numpy() for c in ("uid", "copies", "key"))
+    i, j = _near_pairs(_units(group["vector"]), group, threshold)
     if not len(i):
         return pd.DataFrame({"a": uid[:0], "b": pd.array([], dtype="Int64"), "n": uid[:0]})
     keys, first = np.stack(group["keys"]), np.empty(len(i), dtype=bool)
     for at in range(0, len(i), 8192):
         a, b = keys[i[at:at + 8192]], keys[j[at:at + 8192]]
         shared = (a[:, :, None] == b[:, None, :]).any(axis=2)
-        first[at:at + 8192] = np.where(shared, a, np.iinfo(np.int64).max).min(axis=1) == key
-    i, j = i[first], j[first]
-    links = np.bincount(i, weights=copies[j], minlength=len(uid)) + np.bincount(j, weights=copies[i], minlength=len(uid))
+        first[at:at + 8192] = np.where(shared, a, np.iinfo(np.int64).max).min(axis=1) == key[i[at:at + 8192]]
+    names, place = np.unique(uid, return_inverse=True)
+    i, j, stands_for = place[i[first]], place[j[first]], np.empty(len(names))
+    stands_for[place] = copies
+    links = np.bincount(i, weights=stands_for[j], minlength=len(names)) + np.bincount(j, weights=stands_for[i], minlength=len(names))
     some = np.flatnonzero(links)
-    root = forest(len(uid), i, j)
-    child = np.flatnonzero(root != np.arange(len(uid)))
+    root = forest(len(names), i, j)
+    child = np.flatnonzero(root != np.arange(len(names)))
     return pd.DataFrame({
-        "a": np.concatenate((uid[some], uid[child])),
-        "b": pd.array([None] * len(some) + uid[root[child]].tolist(), dtype="Int64"),
+        "a": np.concatenate((names[some], names[child])),
+        "b": pd.array([None] * len(some) + names[root[child]].tolist(), dtype="Int64"),
         "n": np.concatenate((links[some].astype(np.int64), np.zeros(len(child), dtype=np.int64)))})
 
 
 def _scan_buckets(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.DataFrame]:
-    """Rows sorted by (key, low, high); a group is at most two blocks."""
+    """Rows sorted by (key, low, high); a group is at most two blocks, and a call compares at most a batch and one group."""
     names, rest = ["key", "low", "high"], None
     for batch in batches:
         if not len(batch):
             continue
         rows = batch if rest is None else pd.concat((rest, batch), ignore_index=True)
         last = (rows[names] == rows[names].iloc[-1]).all(axis=1).to_numpy()
-        begins = len(rows) if not last.any() else int(np.argmax(last))
-        for _, group in rows.iloc[:begins].groupby(names, sort=False):
-            yield _compare(group, threshold)
+        begins = int(np.argmax(last))
+        if begins:
+            yield _compare(rows.iloc[:begins], threshold)
         rest = rows.iloc[begins:]
     if rest is not None:
         yield _compare(rest, threshold)
