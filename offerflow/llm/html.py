@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerflow.llm.common import written
@@ -28,6 +28,8 @@ NOISE = frozenset(
     "breadcrumb breadcrumbs sidebar footer cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe "
     "subscription signup login search share sharing social related comment comments reply replies disqus respond toolbar "
     "pagination pager masthead".split())
+#: The share of its text that a page has in common with near copies.
+NEAR = 0.75
 #: A start tag of the first closes an open element of the second.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
           "option": ("option",), "body": ("head",), "tbody": ("tr", "td", "th", "thead"), "tfoot": ("tr", "td", "th", "tbody")}
@@ -63,25 +65,25 @@ def _is_noise(name: str, attributes: dict[str, str], in_main: bool) -> bool:
     return bool(NOISE & {w.lower() for w in WORDS.findall(named)})
 
 
-def parse(page: str) -> tuple[list[tuple[str, list[int], bool]], list[tuple[int, int, int, int]]]:
-    """Blocks (text, places, inside the article) and style features (place, kind, value, count) of a page.
+def parse(page: str) -> tuple[list[tuple[str, int, list[int], bool]], list[tuple[int, int, int, int]]]:
+    """Blocks (text, its hash, places, inside the article) and style features (place, kind, value, count) of a page.
 
     A place is a neutral container: the hash of the names, classes and ids from the root to it; all containers of
     a page that look alike share one place. Kind 0 is the sequence of a container's children (its
     presentation), kind 1 a block of text anywhere inside it (its content).
     """
     stack, text, at = [Element("", 0, (), False, False)], [], 0
-    blocks: list[tuple[str, list[int], bool]] = []
+    blocks: list[tuple[str, int, list[int], bool]] = []
     features: Counter[tuple[int, int, int]] = Counter()
 
     def flush() -> None:
         found = " ".join(unescape("".join(text)).split())
         text.clear()
         if found:
-            top = stack[-1]
-            blocks.append((found, list(top.places), top.main))
+            top, value = stack[-1], _hash(found)
+            blocks.append((found, value, list(top.places), top.main))
             for place in set(top.places):
-                features[place, 1, _hash(found)] += 1
+                features[place, 1, value] += 1
 
     def close(depth: int) -> None:
         if any(e.name in BLOCKS for e in stack[depth:]):
@@ -158,14 +160,15 @@ def parse(page: str) -> tuple[list[tuple[str, list[int], bool]], list[tuple[int,
     return blocks, [(*f, n) for f, n in features.items()]
 
 
-_BLOCK = "array<struct<text:string,places:array<long>,main:boolean>>"
+_BLOCK = "array<struct<text:string,value:long,places:array<long>,main:boolean>>"
 _FEATURE = "array<struct<place:long,kind:int,value:long,n:long>>"
 
 
 def parsed(pages: DataFrame, columns: list[str], html: str) -> DataFrame:
     """The given columns, ``blocks`` and ``features`` of every page."""
     schema = pa.schema([
-        ("blocks", pa.list_(pa.struct([("text", pa.string()), ("places", pa.list_(pa.int64())), ("main", pa.bool_())]))),
+        ("blocks", pa.list_(pa.struct(
+            [("text", pa.string()), ("value", pa.int64()), ("places", pa.list_(pa.int64())), ("main", pa.bool_())]))),
         ("features", pa.list_(pa.struct(
             [("place", pa.int64()), ("kind", pa.int32()), ("value", pa.int64()), ("n", pa.int64())])))])
 
@@ -174,7 +177,8 @@ def parsed(pages: DataFrame, columns: list[str], html: str) -> DataFrame:
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
                 found = [parse(t.as_py() or "") for t in part["_html"]]
-                blocks = pa.array([[{"text": t, "places": p, "main": m} for t, p, m in b] for b, _ in found], schema.field(0).type)
+                blocks = pa.array([[dict(zip(("text", "value", "places", "main"), x, strict=True)) for x in b]
+                                   for b, _ in found], schema.field(0).type)
                 features = pa.array([[dict(zip(("place", "kind", "value", "n"), f, strict=True)) for f in fs]
                                      for _, fs in found], schema.field(1).type)
                 kept = [part[c] for c in columns]
@@ -185,30 +189,63 @@ def parsed(pages: DataFrame, columns: list[str], html: str) -> DataFrame:
     return given.mapInArrow(run, f"{types}, blocks {_BLOCK}, features {_FEATURE}")
 
 
+def independent(pages: DataFrame) -> DataFrame:
+    """One page of each set of copies and near copies of a host: ``host``, ``look``, ``features``.
+
+    ``pages``: ``host``, ``blocks``, ``features``. Pages whose features are all alike are copies. A page is a near copy if at least
+    ``NEAR`` of its text lies in its core: blocks that other pages of the host have too, at least half as many pages as have the
+    block in the middle of its text. Near copies whose cores have the same smallest hash count once, so a paragraph more
+    or less, or another one, makes no page of its own. A page whose own text is more than the rest is no near copy, whatever
+    the template repeats. Only hashes and lengths of blocks are shuffled, and no pages are compared in pairs.
+    """
+    sizes = F.array_distinct(F.transform("blocks", lambda b: F.struct(b["value"].alias("v"), F.length(b["text"]).cast("long").alias("n"))))
+    own = pages.where("host <> ''").select("host", sizes.alias("sizes"), F.xxhash64(F.sort_array("features")).alias("look"))
+    looks = own.groupBy("host", "look").agg(F.min("sizes").alias("sizes"))
+    texts = looks.select("host", "look", F.explode("sizes").alias("b")).select("host", "look", "b.*")
+    common = texts.groupBy("host", "v").agg(F.count("*").alias("df")).where("df > 1")
+    repeated = texts.join(common, ["host", "v"]).groupBy("host", "look").agg(
+        F.array_sort(F.collect_list(F.struct("df", "n", "v"))).alias("r"))
+    whole = F.aggregate("sizes", F.lit(0).cast("long"), lambda a, b: a + b["n"])
+    given = looks.join(repeated, ["host", "look"]).select("host", "look", whole.alias("whole"), "r")
+    once = F.col("whole") - F.aggregate("r", F.lit(0).cast("long"), lambda a, b: a + b["n"])
+    middle = F.aggregate("r", F.struct(once.alias("at"), F.lit(1).cast("long").alias("df")), lambda a, b: F.struct(
+        (a["at"] + b["n"]).alias("at"), F.when(2 * a["at"] < F.col("whole"), b["df"]).otherwise(a["df"]).alias("df")))
+    core = given.select("host", "look", "whole", "r", middle["df"].alias("middle")).select(
+        "host", "look", "whole", F.filter("r", lambda b: 2 * b["df"] >= F.col("middle")).alias("core"), "middle")
+    held = F.aggregate("core", F.lit(0).cast("long"), lambda a, b: a + b["n"])
+    near = core.where((F.col("middle") > 1) & (held >= NEAR * F.col("whole"))).select(
+        "host", "look", F.array_min(F.transform("core", lambda b: b["v"])).alias("kind"))
+    near = written(near.withColumn("first", F.min("look").over(Window.partitionBy("host", "kind"))).where("look <> first")
+                   .select("host", "look"), "near-copies")
+    found = pages.where("host <> ''").select("host", "features", F.xxhash64(F.sort_array("features")).alias("look"))
+    return found.join(near, ["host", "look"], "left_anti").groupBy("host", "look").agg(F.any_value("features").alias("features"))
+
+
 def style_tree(pages: DataFrame, least_pages: int = 4, damping: float = 0.9) -> DataFrame:
-    """Importance of every place of every host: ``host``, ``place``, ``pages``, ``importance``.
+    """Importance of every place of every host: ``host``, ``place``, ``pages``, ``importance``, ``repeats``.
 
-    ``pages``: ``host``, ``features``. Pages of a host whose features are all alike count once, so copies say nothing
+    ``pages``: ``host``, ``blocks``, ``features``. Copies and near copies of a page count once, so they say nothing
     about a site. With m pages that have the place, presentation importance is the entropy (base m) of its
     child sequences, and content importance one minus the mean entropy of its text blocks over pages, by
     occurrence: a block on every page has entropy 1, a block of one page 0. The composite weighs presentation
     by ``1 - damping ** children`` of the paper with one level for all content below. Places on
-    fewer than ``least_pages`` pages tell too little and are left out.
+    fewer than ``least_pages`` pages tell too little and are left out. ``repeats`` are the hashes of the place's blocks
+    found on two pages or more.
     """
-    own = pages.where("host <> ''").select("host", "features", F.xxhash64(F.sort_array("features")).alias("look"))
-    once = own.groupBy("host", "look").agg(F.any_value("features").alias("features"))
-    seen = once.select("host", "look", F.explode("features").alias("f")).select("host", "look", "f.*")
+    seen = independent(pages).select("host", "look", F.explode("features").alias("f")).select("host", "look", "f.*")
     per_page = seen.groupBy("host", "place").agg(F.countDistinct("look").alias("pages"))
     n = F.col("n").cast("double")
-    values = seen.groupBy("host", "place", "kind", "value").agg(F.sum(n).alias("c"), F.sum(n * F.log(n)).alias("s"))
+    values = seen.groupBy("host", "place", "kind", "value").agg(
+        F.sum(n).alias("c"), F.sum(n * F.log(n)).alias("s"), F.count("*").alias("on"))
     sums = values.groupBy("host", "place").agg(*[F.sum(F.when(F.col("kind") == k, x).otherwise(0.0)).alias(name) for k, x, name in (
         (0, F.col("c"), "looks"), (0, F.col("c") * F.log("c"), "looks_log"),
-        (1, F.col("c"), "texts"), (1, F.col("c") * F.log("c") - F.col("s"), "texts_log"))])
+        (1, F.col("c"), "texts"), (1, F.col("c") * F.log("c") - F.col("s"), "texts_log"))],
+        F.collect_list(F.when((F.col("kind") == 1) & (F.col("on") > 1), F.col("value"))).alias("repeats"))
     tree = sums.join(per_page, ["host", "place"]).where(F.col("pages") >= least_pages)
     scale = F.log(F.col("pages").cast("double"))
     shape = F.when(F.col("looks") > 0, (F.log("looks") - F.col("looks_log") / F.col("looks")) / scale).otherwise(0.0)
     content = F.when(F.col("texts") > 0, 1 - F.col("texts_log") / F.col("texts") / scale).otherwise(0.0)
-    return tree.select("host", "place", "pages", ((1 - damping) * shape + damping * content).alias("importance"))
+    return tree.select("host", "place", "pages", ((1 - damping) * shape + damping * content).alias("importance"), "repeats")
 
 
 def main_text(pages: DataFrame, html: str = "html", url: str = "url", key: str = "page_id",
@@ -218,7 +255,8 @@ def main_text(pages: DataFrame, html: str = "html", url: str = "url", key: str =
     Two kinds of evidence remove branches. The element says what it is (menus, headers and footers of the page, sidebars,
     forms, scripts, and classes, ids or roles that name notices, adverts or comments); and the site's style
     tree says that a neutral container has importance below ``threshold``, since it looks and reads the same on the host's
-    pages. Paragraphs and headings are never places of the tree, so an article keeps a passage that other
+    pages. Such a container goes from the pages where all its blocks are repeated ones; where it has a block of its own, it
+    stays. Paragraphs and headings are never places of the tree, so an article keeps a passage that other
     pages share. Where a page has an article or main element, only blocks inside it count.
 
     Null and empty pages give an empty text. A null or odd URL has no host: such pages are read without a style tree. Very
@@ -229,9 +267,12 @@ def main_text(pages: DataFrame, html: str = "html", url: str = "url", key: str =
     given = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), host.alias("host"), F.col(html).alias("html"))
     found = written(parsed(given, ["key", "url", "host"], "html"), "page-blocks")
     low = style_tree(found, least_pages).where(F.col("importance") < threshold)
-    drops = written(low.groupBy("host").agg(F.collect_list("place").alias("drops")), "low-importance")
+    drops = written(low.groupBy("host").agg(F.collect_list(F.struct("place", "repeats")).alias("drops")), "low-importance")
     blocks = F.col("blocks")
     article = F.when(F.exists(blocks, lambda b: b["main"]), F.filter(blocks, lambda b: b["main"])).otherwise(blocks)
-    kept = F.filter(article, lambda b: ~F.coalesce(F.arrays_overlap(b["places"], F.col("drops")), F.lit(False)))
+    kept = F.filter(article, lambda b: ~F.coalesce(F.arrays_overlap(b["places"], F.col("gone")), F.lit(False)))
     text: Column = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
-    return found.join(drops, "host", "left").select("key", "url", text.alias("text"))
+    there = F.filter("drops", lambda d: F.array_contains(F.flatten(F.transform(blocks, lambda b: b["places"])), d["place"]))
+    gone = F.transform(F.filter(there, lambda d: F.forall(blocks, lambda b: ~F.array_contains(b["places"], d["place"])
+                                                          | F.array_contains(d["repeats"], b["value"]))), lambda d: d["place"])
+    return found.join(drops, "host", "left").withColumn("gone", gone).select("key", "url", text.alias("text"))

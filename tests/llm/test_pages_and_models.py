@@ -158,3 +158,27 @@ def test_scores_of_odd_tables(spark):
     assert lm.scores(docs.where("false")).collect() == []
     none = lm.scores(docs, held=docs["doc_id"].isNotNull() | docs["doc_id"].isNull()).collect()
     assert {(r["base_score"], r["score"], r["train_tokens"]) for r in none} == {(0.0, 0.0, 0)}
+
+
+def near_copies(n, opened, closed, host):
+    return [(1000 + i, f"http://{host}/{i}", f"<body>{opened}" + "".join(f"<p>Shared paragraph {k} of the text.</p>" for k in range(10))
+             + f"<p>Copy {i}.</p>{closed}</body>") for i in range(n)]
+
+
+@pytest.mark.parametrize("around", [("<div class=body>", "</div>"), ("<div><article>", "</article></div>")])
+def test_near_copies_keep_their_article(spark, around):
+    rows = near_copies(20, *around, "copies.example")
+    rows += [(2000 + i, f"http://same.example/{i}", f"<body>{around[0]}<h1>One long text</h1><p>that all the pages share</p>{around[1]}<p>{i}</p>")
+             for i in range(6)]  # no block of its own inside the container
+    rows += near_copies(300, *around, "both.example")
+    box = "<div class=box><p>Same box</p></div>"
+    rows += [(3000 + i, f"http://both.example/u{i}", f"<body>{around[0]}<p>A page of its own, number {i}.</p>{box}{around[1]}</body>") for i in range(30)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in html.main_text(pages).collect():
+        i = r["key"]
+        if i < 2000:
+            assert r["text"].count("Shared paragraph") == 10 and r["text"].endswith(f"Copy {i - 1000}.")
+        elif i < 3000:
+            assert r["text"].startswith("One long text\nthat all the pages share")
+        else:
+            assert r["text"] == f"A page of its own, number {i - 3000}."
