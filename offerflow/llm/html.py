@@ -65,15 +65,15 @@ def _is_noise(name: str, attributes: dict[str, str], in_main: bool) -> bool:
     return bool(NOISE & {w.lower() for w in WORDS.findall(named)})
 
 
-def parse(page: str) -> tuple[list[tuple[str, int, list[int], bool]], list[tuple[int, int, int, int]]]:
-    """Blocks (text, its hash, places, inside the article) and style features (place, kind, value, count) of a page.
+def parse(page: str) -> tuple[list[tuple[str, int, list[int]]], list[tuple[int, int, int, int]]]:
+    """Blocks (text, its hash, places) and style features (place, kind, value, count) of a page.
 
     A place is a neutral container: the hash of the names, classes and ids from the root to it; all containers of
     a page that look alike share one place. Kind 0 is the sequence of a container's children (its
     presentation), kind 1 a block of text anywhere inside it (its content).
     """
     stack, text, at = [Element("", 0, (), False, False)], [], 0
-    blocks: list[tuple[str, int, list[int], bool]] = []
+    blocks: list[tuple[str, int, list[int]]] = []
     features: Counter[tuple[int, int, int]] = Counter()
 
     def flush() -> None:
@@ -81,7 +81,7 @@ def parse(page: str) -> tuple[list[tuple[str, int, list[int], bool]], list[tuple
         text.clear()
         if found:
             top, value = stack[-1], _hash(found)
-            blocks.append((found, value, list(top.places), top.main))
+            blocks.append((found, value, list(top.places)))
             for place in set(top.places):
                 features[place, 1, value] += 1
 
@@ -160,15 +160,14 @@ def parse(page: str) -> tuple[list[tuple[str, int, list[int], bool]], list[tuple
     return blocks, [(*f, n) for f, n in features.items()]
 
 
-_BLOCK = "array<struct<text:string,value:long,places:array<long>,main:boolean>>"
+_BLOCK = "array<struct<text:string,value:long,places:array<long>>>"
 _FEATURE = "array<struct<place:long,kind:int,value:long,n:long>>"
 
 
 def parsed(pages: DataFrame, columns: list[str], html: str) -> DataFrame:
     """The given columns, ``blocks`` and ``features`` of every page."""
     schema = pa.schema([
-        ("blocks", pa.list_(pa.struct(
-            [("text", pa.string()), ("value", pa.int64()), ("places", pa.list_(pa.int64())), ("main", pa.bool_())]))),
+        ("blocks", pa.list_(pa.struct([("text", pa.string()), ("value", pa.int64()), ("places", pa.list_(pa.int64()))]))),
         ("features", pa.list_(pa.struct(
             [("place", pa.int64()), ("kind", pa.int32()), ("value", pa.int64()), ("n", pa.int64())])))])
 
@@ -177,7 +176,7 @@ def parsed(pages: DataFrame, columns: list[str], html: str) -> DataFrame:
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
                 found = [parse(t.as_py() or "") for t in part["_html"]]
-                blocks = pa.array([[dict(zip(("text", "value", "places", "main"), x, strict=True)) for x in b]
+                blocks = pa.array([[dict(zip(("text", "value", "places"), x, strict=True)) for x in b]
                                    for b, _ in found], schema.field(0).type)
                 features = pa.array([[dict(zip(("place", "kind", "value", "n"), f, strict=True)) for f in fs]
                                      for _, fs in found], schema.field(1).type)
@@ -192,14 +191,15 @@ def parsed(pages: DataFrame, columns: list[str], html: str) -> DataFrame:
 def independent(pages: DataFrame) -> DataFrame:
     """One page of each set of copies and near copies of a host: ``host``, ``look``, ``features``.
 
-    ``pages``: ``host``, ``blocks``, ``features``. Pages whose features are all alike are copies. A page is a near copy if at least
+    ``pages``: ``host``, ``blocks``, ``features``. Pages whose blocks and features are all alike are copies. A page is a near copy if at least
     ``NEAR`` of its text lies in its core: blocks that other pages of the host have too, at least half as many pages as have the
     block in the middle of its text. Near copies whose cores have the same smallest hash count once, so a paragraph more
     or less, or another one, makes no page of its own. A page whose own text is more than the rest is no near copy, whatever
     the template repeats. Only hashes and lengths of blocks are shuffled, and no pages are compared in pairs.
     """
     sizes = F.array_distinct(F.transform("blocks", lambda b: F.struct(b["value"].alias("v"), F.length(b["text"]).cast("long").alias("n"))))
-    own = pages.where("host <> ''").select("host", sizes.alias("sizes"), F.xxhash64(F.sort_array("features")).alias("look"))
+    look = F.xxhash64(F.sort_array("features"), F.transform("blocks", lambda b: b["value"])).alias("look")
+    own = pages.where("host <> ''").select("host", sizes.alias("sizes"), look)
     looks = own.groupBy("host", "look").agg(F.min("sizes").alias("sizes"))
     texts = looks.select("host", "look", F.explode("sizes").alias("b")).select("host", "look", "b.*")
     common = texts.groupBy("host", "v").agg(F.count("*").alias("df")).where("df > 1")
@@ -217,7 +217,7 @@ def independent(pages: DataFrame) -> DataFrame:
         "host", "look", F.array_min(F.transform("core", lambda b: b["v"])).alias("kind"))
     near = written(near.withColumn("first", F.min("look").over(Window.partitionBy("host", "kind"))).where("look <> first")
                    .select("host", "look"), "near-copies")
-    found = pages.where("host <> ''").select("host", "features", F.xxhash64(F.sort_array("features")).alias("look"))
+    found = pages.where("host <> ''").select("host", "features", look)
     return found.join(near, ["host", "look"], "left_anti").groupBy("host", "look").agg(F.any_value("features").alias("features"))
 
 
@@ -250,14 +250,14 @@ def style_tree(pages: DataFrame, least_pages: int = 4, damping: float = 0.9) ->
 
 def main_text(pages: DataFrame, html: str = "html", url: str = "url", key: str = "page_id",
               threshold: float = 0.2, least_pages: int = 4) -> DataFrame:
-    """``key``, ``url`` and ``text`` of every page: its article's blocks in page order, joined by line feeds.
+    """``key``, ``url`` and ``text`` of every page: its main blocks in page order, joined by line feeds.
 
     Two kinds of evidence remove branches. The element says what it is (menus, headers and footers of the page, sidebars,
     forms, scripts, and classes, ids or roles that name notices, adverts or comments); and the site's style
     tree says that a neutral container has importance below ``threshold``, since it looks and reads the same on the host's
     pages. Such a container goes from the pages where all its blocks are repeated ones; where it has a block of its own, it
     stays. Paragraphs and headings are never places of the tree, so an article keeps a passage that other
-    pages share. Where a page has an article or main element, only blocks inside it count.
+    pages share. Blocks outside an article or main element pass the same checks as those inside.
 
     Null and empty pages give an empty text. A null or odd URL has no host: such pages are read without a style tree. Very
     long pages are parsed in one pass. Repeated rows are extracted each. Null keys are kept. Other columns are
@@ -269,8 +269,7 @@ def main_text(pages: DataFrame, html: str = "html", url: str = "url", key: str =
     low = style_tree(found, least_pages).where(F.col("importance") < threshold)
     drops = written(low.groupBy("host").agg(F.collect_list(F.struct("place", "repeats")).alias("drops")), "low-importance")
     blocks = F.col("blocks")
-    article = F.when(F.exists(blocks, lambda b: b["main"]), F.filter(blocks, lambda b: b["main"])).otherwise(blocks)
-    kept = F.filter(article, lambda b: ~F.coalesce(F.arrays_overlap(b["places"], F.col("gone")), F.lit(False)))
+    kept = F.filter(blocks, lambda b: ~F.coalesce(F.arrays_overlap(b["places"], F.col("gone")), F.lit(False)))
     text: Column = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
     there = F.filter("drops", lambda d: F.array_contains(F.flatten(F.transform(blocks, lambda b: b["places"])), d["place"]))
     gone = F.transform(F.filter(there, lambda d: F.forall(blocks, lambda b: ~F.array_contains(b["places"], d["place"])

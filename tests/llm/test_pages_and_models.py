@@ -182,3 +182,13 @@ def test_near_copies_keep_their_article(spark, around):
             assert r["text"].startswith("One long text\nthat all the pages share")
         else:
             assert r["text"] == f"A page of its own, number {i - 3000}."
+
+
+def test_text_outside_the_article_stays(spark):
+    rows = [(1, "http://a.example/1", "<body><nav>menu</nav><h1>Title</h1><p>Lead</p><article><p>Body</p></article><p>Goes on</p><footer>f</footer></body>"),
+            (2, "http://a.example/2", "<body><div><p>The long body</p></div><article>Teaser</article><aside>no</aside></body>")]
+    rows += [(10 + i, f"http://b.example/{i}", f"<body><div><p>Subscribe here</p></div><article><p>Page {i} speaks of {i * i}</p></article><p>End {i}</p></body>")
+             for i in range(8)]
+    found = {r["key"]: r["text"] for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert (found[1], found[2]) == ("Title\nLead\nBody\nGoes on", "The long body\nTeaser")
+    assert all(found[10 + i] == f"Page {i} speaks of {i * i}\nEnd {i}" for i in range(8))  # the tree still removes what repeats
