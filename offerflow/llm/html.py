@@ -28,6 +28,11 @@ NOISE = frozenset(
     "breadcrumb breadcrumbs sidebar footer cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe "
     "subscription signup login search share sharing social related comment comments reply replies disqus respond toolbar "
     "pagination pager masthead".split())
+#: Words that may stand beside a noise word in the name of the part itself; with others, the name speaks of the layout or the content.
+BESIDE = frozenset(
+    "area bar block body bottom box btn button buttons center col column container desktop fixed floating form global google group icon icons "
+    "inner item items left link links list main mobile msg outer panel popular post posts primary right row secondary section site "
+    "slot sticky text title top unit widget widgets wrap wrapper".split())
 #: The share of its text that a page has in common with near copies.
 NEAR = 0.75
 #: A start tag of the first closes an open element of the second.
@@ -47,22 +52,39 @@ def _hash(*parts: object) -> int:
 class Element:
     """An open element: its name, whether its text counts, and its place in the style tree."""
 
-    __slots__ = ("children", "main", "name", "path", "places", "skipped")
+    __slots__ = ("children", "main", "name", "named", "path", "places", "skipped")
 
-    def __init__(self, name: str, path: int, places: tuple[int, ...], main: bool, skipped: bool) -> None:
-        self.name, self.path, self.places, self.main, self.skipped = name, path, places, main, skipped
+    def __init__(self, name: str, path: int, places: tuple[int, ...], main: bool, skipped: bool, named: tuple[int, ...]) -> None:
+        self.name, self.path, self.places, self.main, self.skipped, self.named = name, path, places, main, skipped, named
         self.children: list[int] = []
 
 
 def _is_noise(name: str, attributes: dict[str, str], in_main: bool) -> bool:
-    if name in NOT_TEXT or (name == "header" and not in_main):
-        return True
-    if attributes.get("role", "").lower() in ROLES:
-        return True
+    """Whether the element itself, or its role, says that it is no main text."""
+    return name in NOT_TEXT or (name == "header" and not in_main) or attributes.get("role", "").lower() in ROLES
+
+
+def _is_named(name: str, attributes: dict[str, str]) -> bool:
+    """Whether a class or the id names a part such as a sidebar: ``sidebar``, ``left-sidebar``, but not ``has-sidebar``."""
     if name in ("html", "body", "article", "main") and "comment" not in attributes.get("class", ""):
         return False
-    named = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    return bool(NOISE & {w.lower() for w in WORDS.findall(named)})
+    for token in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        words = {w.lower() for w in WORDS.findall(token) if len(w) > 1}
+        if words & NOISE and words <= NOISE | BESIDE:
+            return True
+    return False
+
+
+def _dropped(blocks: list[tuple[str, int, tuple[int, ...], bool, tuple[int, ...]]]) -> set[int]:
+    """The named parts that go: those that hold neither most of the page's article nor, on a page without one, most of its text."""
+    sizes: Counter[int] = Counter()
+    article = any(main for *_, main, _ in blocks)
+    whole = 0
+    for text, _, _, main, named in blocks:
+        if main or not article:
+            whole += len(text)
+            sizes.update(dict.fromkeys(named, len(text)))
+    return {part for *_, named in blocks for part in named if 2 * sizes[part] <= whole}
 
 
 def parse(page: str) -> tuple[list[tuple[str, int, list[int]]], list[tuple[int, int, int, int]]]:
@@ -70,28 +92,27 @@ def parse(page: str) -> tuple[list[tuple[str, int, list[int]]], list[tuple[int,
 
     A place is a neutral container: the hash of the names, classes and ids from the root to it; all containers of
     a page that look alike share one place. Kind 0 is the sequence of a container's children (its
-    presentation), kind 1 a block of text anywhere inside it (its content).
+    presentation), kind 1 a block of text anywhere inside it (its content). Parts dropped for their names are
+    in neither; one that holds the article or most of the text is left to the tree.
     """
-    stack, text, at = [Element("", 0, (), False, False)], [], 0
-    blocks: list[tuple[str, int, list[int]]] = []
-    features: Counter[tuple[int, int, int]] = Counter()
+    stack, text, at, parts = [Element("", 0, (), False, False, ())], [], 0, 0
+    blocks: list[tuple[str, int, tuple[int, ...], bool, tuple[int, ...]]] = []
+    looks_of: list[tuple[int, int, tuple[int, ...]]] = []
 
     def flush() -> None:
         found = " ".join(unescape("".join(text)).split())
         text.clear()
         if found:
             top, value = stack[-1], _hash(found)
-            blocks.append((found, value, list(top.places)))
-            for place in set(top.places):
-                features[place, 1, value] += 1
+            blocks.append((found, value, top.places, top.main, top.named))
 
     def close(depth: int) -> None:
-        if any(e.name in BLOCKS for e in stack[depth:]):
+        if any(e.name in BLOCKS for e in stack[depth:]) or stack[-1].named != stack[depth - 1].named:
             flush()
         while len(stack) > depth:
             done = stack.pop()
             if done.places and done.name in NEUTRAL and not done.skipped:
-                features[done.places[-1], 0, _hash(*done.children)] += 1
+                looks_of.append((done.places[-1], _hash(*done.children), done.named))
 
     def innermost(names: tuple[str, ...], walls: tuple[str, ...]) -> int:
         for depth in range(len(stack) - 1, 0, -1):
@@ -138,26 +159,34 @@ def parse(page: str) -> tuple[list[tuple[str, int, list[int]]], list[tuple[int,
         if rest.strip() and (name in BLOCKS or "class" in rest or "role" in rest or "id" in rest):
             for a in ATTRIBUTE.finditer(rest):
                 attributes.setdefault(a.group(1).lower(), unescape(a.group(2) or a.group(3) or a.group(4) or ""))
-        main = top.main or name in ("article", "main") or attributes.get("role", "").lower() == "main"
         noise = top.skipped or _is_noise(name, attributes, top.main)
+        named = top.named
+        if not noise and attributes and _is_named(name, attributes):
+            parts += 1
+            named = (*named, parts)
+        main = top.main or (named == top.named and (name in ("article", "main") or attributes.get("role", "").lower() == "main"))
         path, places = top.path, top.places
         if name in BLOCKS:
             looks = _hash(name, attributes.get("class", ""), attributes.get("id", ""))
             top.children.append(looks)
             path = _hash(top.path, looks)
             places = (*top.places, path) if name in NEUTRAL else top.places
-        if noise and not top.skipped:
+        if (noise and not top.skipped) or named != top.named:
             flush()
         if name in RAW:
             raw_end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
             at = raw_end.end() if raw_end else len(page)
             continue
         if not rest.rstrip().endswith("/") or name in BLOCKS:
-            stack.append(Element(name, path, places, main, noise))
+            stack.append(Element(name, path, places, main, noise, named))
     shown(page[at:])
     close(1)
     flush()
-    return blocks, [(*f, n) for f, n in features.items()]
+    gone = _dropped(blocks)
+    kept = [b for b in blocks if gone.isdisjoint(b[-1])]
+    features = Counter((place, 0, value) for place, value, named in looks_of if gone.isdisjoint(named))
+    features.update((place, 1, value) for _, value, places, *_ in kept for place in set(places))
+    return [(found, value, list(places)) for found, value, places, *_ in kept], [(*f, n) for f, n in features.items()]
 
 
 _BLOCK = "array<struct<text:string,value:long,places:array<long>>>"
@@ -253,7 +282,8 @@ def main_text(pages: DataFrame, html: str = "html", url: str = "url", key: str =
     """``key``, ``url`` and ``text`` of every page: its main blocks in page order, joined by line feeds.
 
     Two kinds of evidence remove branches. The element says what it is (menus, headers and footers of the page, sidebars,
-    forms, scripts, and classes, ids or roles that name notices, adverts or comments); and the site's style
+    forms, scripts, and classes, ids or roles that name notices, adverts or comments, unless a part so named holds the article
+    or, on a page without one, most of the text); and the site's style
     tree says that a neutral container has importance below ``threshold``, since it looks and reads the same on the host's
     pages. Such a container goes from the pages where all its blocks are repeated ones; where it has a block of its own, it
     stays. Paragraphs and headings are never places of the tree, so an article keeps a passage that other

@@ -192,3 +192,24 @@ def test_text_outside_the_article_stays(spark):
     found = {r["key"]: r["text"] for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert (found[1], found[2]) == ("Title\nLead\nBody\nGoes on", "The long body\nTeaser")
     assert all(found[10 + i] == f"Page {i} speaks of {i * i}\nEnd {i}" for i in range(8))  # the tree still removes what repeats
+
+
+@pytest.mark.parametrize("opened", [
+    "<div id=wrapper class='with-sidebar'>", "<div class=has-sidebar>", "<div class=no-comments>", "<div class=layout-sidebar>",
+    "<div id='search-result-article'>", "<section class='related-work'>", "<div class=hasSidebar>", "<div class=sidebar>", "<section class=comments>"])
+@pytest.mark.parametrize("body", ["<p>The whole main text of the page</p>", "<article><p>The whole main text of the page</p></article>"])
+def test_names_of_wrappers_drop_nothing(opened, body):
+    end = f"</{opened[1:].split()[0]}>"
+    noise = "<div class='left-sidebar'><p>links</p></div><div class='ad'>buy</div><ul id=commentList class='x y'><li>me</ul>"
+    blocks, features = html.parse(f"<body>{opened}{body}<div class=promo-box>no</div>{end}<p>tail</p>{noise}</body>")
+    assert [b[0] for b in blocks] == ["The whole main text of the page", "tail"]
+    assert opened.startswith("<section class=r") or any(f[1:3] == (1, blocks[0][1]) for f in features)
+
+
+def test_comments_longer_than_the_article_go():
+    blocks, _ = html.parse("<article><p>Short</p></article><div class=comments><p>" + "long " * 50 + "</p></div>")
+    assert [b[0] for b in blocks] == ["Short"]
+    blocks, _ = html.parse("<div><p>The text of the page</p></div><article class=comment>me too</article>")
+    assert [b[0] for b in blocks] == ["The text of the page"]
+    nested, _ = html.parse("<div class=sidebar><p>most of the text is here</p><span class=share>Share</span> now</div>")
+    assert [b[0] for b in nested] == ["most of the text is here", "now"]
