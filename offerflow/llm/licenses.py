@@ -47,6 +47,9 @@ TEMPLATES = (
     Template("copyright", "copyright c all rights reserved"),
 )
 
+#: Words that a window inside one line has at least, so that lines up to that length are blocks as they are.
+LINE = 40
+
 _KEPT = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
 _KEPT_LINES = bytes(10 if c == 10 else k for c, k in enumerate(_KEPT))
 
@@ -93,6 +96,8 @@ class Index:
         self.sets = [sorted({self.rank[w] for w in words_of(t.text)}) for t in templates]
         self.least = [len(s) if t.phrase else max(1, math.ceil(threshold * len(s) - 1e-9)) for t, s in zip(templates, self.sets, strict=True)]
         self.whole = [t.phrase for t in templates]
+        self.width = [math.ceil(len(words_of(t.text)) / threshold) for t in templates]
+        self.words = [set(words_of(t.text)) for t in templates]
         self.prefix: dict[int, list[tuple[int, int]]] = {}
         for t, (tokens, least) in enumerate(zip(self.sets, self.least, strict=True)):
             for place, token in enumerate(tokens[:len(tokens) - least + 1]):
@@ -134,6 +139,50 @@ def _places(words: list[bytes], phrase: list[bytes]) -> list[int]:
             found.append(at)
 
 
+def _windows(hits: list[tuple[int, bytes]], width: int, least: int) -> list[tuple[int, int, int]]:
+    """(first, last, shared): windows of at most ``width`` words with ``least`` of a template's words, ``hits`` by place.
+
+    Of windows that overlap the best so far, the one that shares most stays, the first if they share the same.
+    """
+    found: list[tuple[int, int, int]] = []
+    held: Counter[bytes] = Counter()
+    low = 0
+    for at, word in hits:
+        held[word] += 1
+        while at - hits[low][0] >= width or held[hits[low][1]] > 1:
+            held[hits[low][1]] -= 1
+            if not held[hits[low][1]]:
+                del held[hits[low][1]]
+            low += 1
+        if len(held) >= least:
+            window = (hits[low][0], at, len(held))
+            if not found or window[0] > found[-1][1]:
+                found.append(window)
+            elif window[2] > found[-1][2]:
+                found[-1] = window
+    return found
+
+
+def _blocks(index: Index, t: int, words: list[bytes], line_of: list[int]) -> dict[int, int]:
+    """Line -> shared words, for each line that has a template's words in one window or begins a window that has."""
+    known, least = index.words[t], index.least[t]
+    hits = [(i, w) for i, w in enumerate(words) if w in known]
+    found: dict[int, int] = {}
+    start = 0
+    for end in range(1, len(hits) + 1):
+        if end == len(hits) or line_of[hits[end][0]] != line_of[hits[start][0]]:
+            if end - start >= least:
+                best = max((n for *_, n in _windows(hits[start:end], max(LINE, index.width[t]), least)), default=0)
+                if best:
+                    found[line_of[hits[start][0]]] = best
+            start = end
+    for first, last, n in _windows(hits, index.width[t], least):
+        lines = range(line_of[first], line_of[last] + 1)
+        if len(lines) > 1 and all(found.get(line, 0) < n for line in lines):
+            found[lines[0]] = n
+    return found
+
+
 def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, threshold: float = 0.9, key: str = "doc_id",
          text: str = "text") -> DataFrame:
     """Templates found in each document, a row per document.
@@ -142,8 +191,10 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, threshold
 
     The templates are a fixed list, so their prefix index is small and goes to every task; the blocks stay
     where they are, and nothing of the documents is shuffled. Word frequencies come from all blocks of the
-    table. Blocks are the lines; for phrases, which may cross lines, a block is the whole text, and the
-    exact check of the words' order follows. Null and empty texts have no words. Null keys and repeated rows are scanned
+    table. Blocks are windows of words: over the whole text, whatever its line breaks, as wide as the template's words over the
+    threshold; and inside a line at least ``LINE`` words wide, so that a usual line is one block. A match has the number of
+    the line where its window begins, once a line. The prefix, length and positional filters run on the text, which
+    must pass if a window does. For phrases a block is the whole text, and the exact check of the words' order follows. Null and empty texts have no words. Null keys and repeated rows are scanned
     each. Other columns are ignored. An empty table gives an empty result.
     """
     index = Index(templates, token_frequencies(docs, templates, text), threshold)
@@ -157,10 +208,13 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, threshold
             for value in batch["text"]:
                 blocks = list(blocks_of(value.as_py() or ""))
                 words = [w for block in blocks for w in block]
-                whole = index.matches(set(words), True)
+                distinct = set(words)
+                whole = index.matches(distinct, True)
                 places.append([{"start": p, "label": templates[t].label} for t in sorted(whole) for p in _places(words, phrases[t])])
+                likely = index.matches(distinct, False)
+                line_of = [b for b, block in enumerate(blocks) for _ in block] if likely else []
                 matches.append([{"block": b, "label": templates[t].label, "containment": shared / len(index.sets[t])}
-                                for b, block in enumerate(blocks) for t, shared in index.matches(set(block), False).items()])
+                                for t in likely for b, shared in sorted(_blocks(index, t, words, line_of).items())])
                 n_words.append(len(words))
             yield pa.RecordBatch.from_arrays(
                 [batch["key"], pa.array(n_words, pa.int64()), pa.array(places, pa.list_(place)), pa.array(matches, pa.list_(match))],

@@ -91,6 +91,35 @@ def test_licenses_are_those_of_all_pairs(spark):
     assert licenses.scan(docs.where("false")).collect() == []
 
 
+WRAPPED = {
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy
+# of this software and associated documentation files (the "Software"), to deal
+# in the Software without restriction, including""",
+    "bsd": """Redistribution and use in source and binary forms, with or without
+
+ * modification, are permitted provided that the following conditions are met:""",
+    "apache-2.0": "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n",
+    "gpl": """This program is free software: you can redistribute it
+and/or modify it under the terms of the GNU General
+Public License as published by
+the Free Software Foundation""",
+}
+
+
+def test_wrapped_notices_are_found(spark):
+    rows = [(f"a {label} text\n{text}\nmore words", {label}) for label, text in WRAPPED.items()]
+    rows += [("It is licensed\nunder the MIT\r\nlicense.", {"mit"}), ("words " * 500 + WRAPPED["bsd"].replace("\n", " ") + " words" * 500, {"bsd"}),
+             ("licensed " + "x " * 900 + "under the " + "x " * 900 + "MIT license", set()), ("licensed\n" + "x\n" * 9 + "under the\nMIT license", set()),
+             ("Released by its authors, as all they made, under the terms of the MIT license " + "x " * 90, {"mit"}), ("under the mit license " * 9, set())]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    found = {r["key"]: r["matches"] for r in licenses.scan(docs).collect()}
+    assert [{m["label"] for m in found[i]} for i in range(len(rows))] == [labels for _, labels in rows]
+    assert [(m["block"], m["containment"]) for m in found[0]] == [(1, 1.0)]  # the line where it begins
+    twice = licenses._blocks(licenses.Index(licenses.TEMPLATES, {}, 0.9), 4, b"licensed under the mit license licensed under the mit license".split(),
+                             [0, 0, 0, 0, 0, 1, 1, 2, 2, 2])
+    assert twice == {0: 5, 1: 5}
+
+
 def plain_statistics(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
