@@ -32,33 +32,35 @@ def _sha1(payload: bytes) -> str:
 
 
 def _write(df: DataFrame, path: str, line_end: str) -> None:
-    """Rows (segment, value binary) to one compressed file per segment, ``line_end`` after each value.
+    """Rows (segment, at, value binary) to one compressed file per segment, by ``at``, ``line_end`` after each value.
 
-    The cast only relabels bytes, so payloads in any encoding stay as they are. Spark's committer
+    Rows are sorted by segment and place here. Left to itself the writer sorts by segment alone, and rows of
+    a segment lose their order where that sort spills; the segment is not null, so the writer takes this order as its own. The cast only relabels bytes, so payloads in any encoding stay as they are. Spark's committer
     publishes whole tasks, so a lost executor leaves no part of an archive.
     """
-    df.select("segment", F.col("value").cast("string").alias("value")).write.partitionBy("segment") \
+    rows = df.select(F.coalesce("segment", F.lit("")).alias("segment"), "at", F.col("value").cast("string").alias("value"))
+    rows.sortWithinPartitions("segment", "at").drop("at").write.partitionBy("segment") \
         .option("lineSep", line_end).option("compression", "gzip").text(path)
 
 
 def _segments(batches: Iterator[pa.RecordBatch], head: Callable[[str], bytes],
-              record: Callable[[dict, str, int], bytes], names: str) -> Iterator[pa.RecordBatch]:
-    """Records of a task in segments that each begin with ``head``. Segment names follow from the task."""
+              record: Callable[[dict, str, int], bytes], names: str, line_end: str) -> Iterator[pa.RecordBatch]:
+    """Records of a task in segments that each begin with ``head``, with their places. Segment names follow from the task."""
     number, size, part = 0, SEGMENT, TaskContext.get().partitionId()
     segment = ""
     for batch in batches:
         for low in range(0, batch.num_rows, 256):
-            rows: list[tuple[str, bytes]] = []
+            rows: list[tuple[str, int, bytes]] = []
             for row in batch.slice(low, 256).to_pylist():
                 if size >= SEGMENT:
                     segment, size, number = f"{names}-{part:06d}-{number:04d}", 0, number + 1
-                    rows.append((segment, head(segment)))
-                    size = len(rows[-1][1])
-                rows.append((segment, record(row, segment, size)))
-                size += len(rows[-1][1])
+                    rows.append((segment, 0, head(segment)))
+                    size = len(rows[-1][2]) + len(line_end)
+                rows.append((segment, size, record(row, segment, size)))
+                size += len(rows[-1][2]) + len(line_end)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary())],
-                ["segment", "value"])
+                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
+                 pa.array([r[2] for r in rows], pa.binary())], ["segment", "at", "value"])
 
 
 def arc_version_block(version: int, name: str, date: str) -> bytes:
@@ -89,10 +91,10 @@ def write_arc(pages: DataFrame, path: str, date: str = "20250101000000", version
                 fields += ["200", hashlib.md5(content).hexdigest(), "-", str(offset), name]
             return " ".join([*fields, str(len(content))]).encode() + b"\n" + content
 
-        return _segments(batches, lambda name: arc_version_block(version, name, date), record, "arc")
+        return _segments(batches, lambda name: arc_version_block(version, name, date), record, "arc", "\n")
 
     given = pages.select(F.col(key).cast("long").alias("key"), F.col(url).alias("url"), F.col(html).alias("html"))
-    _write(given.mapInArrow(run, "segment string, value binary"), path, "\n")
+    _write(given.mapInArrow(run, "segment string, at long, value binary"), path, "\n")
 
 
 def read_arc(data: bytes) -> Iterator[dict]:
@@ -227,7 +229,7 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, least_bytes: int
         return _warc(kind, own, iso(row["date"]), fields, block)
 
     joined = arc_records(spark, arc_path).join(first, ["digest", "bytes"], "left")
-    made = joined.mapInArrow(lambda b: _segments(b, head, record, "warc"), "segment string, value binary")
+    made = joined.mapInArrow(lambda b: _segments(b, head, record, "warc", WARC_END), "segment string, at long, value binary")
     _write(made, warc_path, WARC_END)
 
 

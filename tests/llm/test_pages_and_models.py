@@ -213,3 +213,21 @@ def test_comments_longer_than_the_article_go():
     assert [b[0] for b in blocks] == ["The text of the page"]
     nested, _ = html.parse("<div class=sidebar><p>most of the text is here</p><span class=share>Share</span> now</div>")
     assert [b[0] for b in nested] == ["most of the text is here", "now"]
+
+
+def test_archives_keep_their_order_when_sorts_spill(spark, tmp_path):
+    conf, name = spark._jvm.org.apache.spark.SparkEnv.get().conf(), "spark.shuffle.spill.numElementsForceSpillThreshold"
+    frame = spark.range(0, 3000, 1, 1).selectExpr("id AS page_id", "concat('http://x/', id) AS url", "repeat(cast(id AS string), cast(id % 40 AS int)) AS html")
+    conf.set(name, "100")
+    try:
+        warc.write_arc(frame, str(tmp_path / "arc"), versions=(2,))
+        warc.convert(spark, str(tmp_path / "arc"), str(tmp_path / "warc"))
+    finally:
+        conf.remove(name)
+    (arc,) = (tmp_path / "arc").rglob("*.gz")
+    records = list(warc.read_arc(gzip.decompress(arc.read_bytes())))
+    assert [r["URL"] for r in records] == [f"http://x/{i}" for i in range(3000)]
+    assert all(int(r["Offset"]) == r["offset"] for r in records)
+    for path in (tmp_path / "warc").rglob("*.gz"):
+        kinds = [fields["warc-type"] for fields, _ in warc.read_warc(gzip.decompress(path.read_bytes()))]
+        assert kinds[0] == "warcinfo" and kinds.count("warcinfo") == 1
