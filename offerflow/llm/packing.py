@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -17,6 +18,8 @@ from offerflow.llm.common import ranked, written
 
 #: Words whose ids a worker keeps from one task to the next, and rows it yields at once.
 REMEMBERED, ROWS = 1_000_000, 4096
+#: A capital before a character from U+0300 on, where the combining marks begin.
+MARKED = re.compile(rb"[A-Z][\xCC-\xFF]")
 
 
 @lru_cache(maxsize=1)
@@ -58,8 +61,10 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int = 4096,
             rows = []
             for key_, text_ in zip(batch["key"].to_pylist(), batch["text"], strict=True):
                 data = (text_.as_py() or "").encode()
-                # the vocabulary is lower case, so words that differ in case share an entry; but special tokens do not
-                ids = ids_of((data if b"<|" in data else data.lower()).split()) + end
+                # the vocabulary is lower case, so words that differ in case share an entry; but special tokens do not, and
+                # since it composes characters first, a capital with marks may be another word than its small letter
+                as_is = b"<|" in data or (not data.isascii() and MARKED.search(data))
+                ids = ids_of((data if as_is else data.lower()).split()) + end
                 total = len(ids) // 4
                 for start in range(0, total, length):
                     part = ids[4 * start:4 * (start + length)]

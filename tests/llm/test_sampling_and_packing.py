@@ -117,3 +117,14 @@ def test_patterns_use_the_histogram_up(histogram):
 
 def test_short_packs_are_filled_first():
     assert dict(packing.patterns({10: 2, 3: 4}, 16)) == {((10, 1), (3, 2)): 2}
+
+
+def test_capitals_with_marks_keep_their_ids(spark):
+    marks = [chr(c) for c in range(0x300, 0x370)] + ["̧̱", "֑̌", "̱᷄", "é", "⃝"]
+    texts = [f"Aa {letter}{mark}b Zz" for letter in "HTWYJKAE" for mark in marks]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    found = {r["key"]: r["ids_crc32"] for r in packing.pieces(docs, VOCABULARY).collect()}
+    for i, text in enumerate(texts):
+        ids = tokenizer.encode(text, add_special_tokens=False).ids + [2]
+        assert found[i] == zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids)), text
