@@ -68,3 +68,24 @@ SELECT doc_id, len(s0)::BIGINT AS n_assign, len(s1)::BIGINT AS n_access, len(s2)
   sha256({_LIST.format("list_concat(list_concat(s0, s1), s2)")}) AS base_sha256, {_LIST.format(_ALL)} AS spans
 FROM placed
 """
+
+ORACLES["op11_negatives"] = r"""
+WITH rows AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+ranked AS (
+  SELECT p.*, s.other_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id)::INT AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
+"""
