@@ -89,3 +89,35 @@ ranked AS (
     AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
 """
+
+# crc32 of a decimal number, bit by bit: the polynomial reversed is 3988292384
+_CRC32 = """xor(list_reduce(list_transform(range(1, length({0}) + 1), lambda i: ascii(substr({0}, i, 1))::BIGINT),
+    lambda c, b: list_reduce(range(8)::BIGINT[], lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b)),
+    4294967295::BIGINT), 4294967295)"""
+
+ORACLES["op12_trie"] = f"""
+WITH own AS (
+  SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS turns
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+  GROUP BY conv_id),
+shared AS (SELECT *, {_CRC32.format("conv_id::VARCHAR")} % 6 AS h FROM own),
+built AS (
+  SELECT s.conv_id, list_concat(coalesce(b.turns, [])[1:h], s.turns[h + 1:]) AS turns
+  FROM shared s LEFT JOIN own b ON b.conv_id = s.conv_id - s.conv_id % 100),
+steps AS (
+  SELECT conv_id, turns[1:d] AS path, d AS depth, d = len(turns) AS ended
+  FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM built)),
+nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ended), '')) AS ends_sha256
+  FROM steps GROUP BY path, depth),
+children AS (SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+counted AS (SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.path = n.path),
+subtrees AS (
+  SELECT path[1:top] AS path, count(*) FILTER (n_children = 0) AS n_leaves,
+    sum((n_convs - 1) * CASE WHEN depth > 0 THEN length(path[depth].text) ELSE 0 END)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS top FROM counted) GROUP BY 1)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, s.n_leaves, s.saved_tokens, c.ends_sha256
+FROM counted c JOIN subtrees s ON s.path = c.path
+  LEFT JOIN counted p ON c.depth > 0 AND p.path = c.path[1:c.depth - 1]
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerflow.llm import embeddings, html, licenses, lm, mixing, negatives, packing, quality, secrets, simhash, warc
+from offerflow.llm import embeddings, html, licenses, lm, mixing, negatives, packing, quality, secrets, simhash, trie, warc
 from offerflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,9 @@ def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(
         F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
     return negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
+@query
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, convs = trie.rebuilt(trie.digests(table(spark, sf_dir, "conversations")))
+    return trie.prefix_trie(turns, convs)
