@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerflow.llm import embeddings, html, licenses, lm, mixing, negatives, packing, quality, secrets, simhash, trie, warc
+from offerflow.llm import embeddings, html, language, licenses, lm, mixing, negatives, packing, quality, secrets, simhash, trie, warc
 from offerflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +110,11 @@ def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns, convs = trie.rebuilt(trie.digests(table(spark, sf_dir, "conversations")))
     return trie.prefix_trie(turns, convs)
+
+
+@query
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    found = language.identified(table(spark, sf_dir, "documents"), fold != 2)
+    return found.withColumnRenamed("key", "doc_id").select(
+        "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")

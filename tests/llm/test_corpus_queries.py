@@ -16,14 +16,15 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data"
 
 
 def test_all_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_is_its_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    for table in ("documents", "embeddings", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     result = con.execute(ORACLES[name])
     names = [d[0] for d in result.description]
     frame = QUERIES[name](spark, SF_DIR)
