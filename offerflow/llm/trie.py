@@ -54,16 +54,16 @@ def rebuilt(turns: DataFrame, family: int = 100, most: int = 6) -> tuple[DataFra
     """
     rows = ranked(turns, [F.col("conv"), F.col("turn").asc_nulls_first(), F.col("symbol")], "at")
     h = F.pmod(F.crc32(F.col("conv").cast("string").cast("binary")), F.lit(most))
-    convs = written(rows.groupBy("conv").agg(F.min("at").alias("begin"), F.count("*").alias("n")).select(
-        "conv", "begin", "n", h.alias("h"), (F.col("conv") - F.col("conv") % family).alias("base")), "conversations")
-    rows = written(rows.join(convs, "conv").select(
-        "conv", (F.col("at") - F.col("begin") + 1).alias("place"), "symbol", "chars"), "own-turns")
-    opening = rows.where(F.col("place") < most).withColumnRenamed("conv", "base")
-    first = convs.join(opening, "base").where("place <= h").select("conv", "place", "symbol", "chars")
+    convs = rows.groupBy("conv").agg(F.min("at").alias("begin"), F.count("*").alias("n")).select(
+        "conv", "begin", "n", h.alias("h"), (F.col("conv") - F.col("conv") % family).alias("base"))
     bases = convs.select(F.col("conv").alias("base"), F.col("n").alias("base_n"))
-    shift = convs.join(bases, "base", "left").select(
-        "conv", "h", (F.least("h", F.coalesce("base_n", F.lit(0))) - F.col("h")).alias("shift"))
-    later = rows.join(shift, "conv").where("place > h").select("conv", (F.col("place") + F.col("shift")).alias("place"), "symbol", "chars")
+    convs = written(convs.join(bases, "base", "left").select(
+        "conv", "begin", "h", "base", F.least("h", F.coalesce("base_n", F.lit(0))).alias("taken")), "conversations")
+    rows = written(rows.join(convs, "conv").select(
+        "conv", (F.col("at") - F.col("begin") + 1).alias("place"), "symbol", "chars", "h", "taken"), "own-turns")
+    opening = rows.where(F.col("place") < most).select(F.col("conv").alias("base"), "place", "symbol", "chars")
+    first = convs.select("conv", "base", "h").join(opening, "base").where("place <= h").select("conv", "place", "symbol", "chars")
+    later = rows.where("place > h").select("conv", (F.col("place") - F.col("h") + F.col("taken")).alias("place"), "symbol", "chars")
     return first.unionByName(later), convs.select("conv")
 
 
@@ -90,34 +90,54 @@ def prefixes(turns: DataFrame) -> DataFrame:
         (F.col("chars_before") - F.col("chars_begin") + F.col("chars")).alias("cum"), "chars"), "prefixes")
 
 
-def _at(rows: DataFrame, known: DataFrame, conv: str, depth: Column, name: str, how: str = "inner") -> DataFrame:
-    """Add the name of the prefix of a conversation at a depth."""
-    found = known.select(F.col("conv").alias("_conv"), F.col("depth").alias("_depth"), F.col("id").alias(name))
-    return rows.join(found, (F.col(conv) == F.col("_conv")) & (depth == F.col("_depth")), how).drop("_conv", "_depth")
-
-
-def _located(batch: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFrame:
-    """Fat binary search: ``a``, the depth of the deepest node whose whole path begins each conversation of the batch.
+def _exits(batch: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFrame:
+    """Where each conversation leaves the trie: ``a`` (end of the last edge that it passes whole) and the edge it leaves on, if any.
 
-    Between a (reached) and b the two-fattest depth f is tried: if the prefix of length f is the handle of a node whose path
-    begins the conversation, the search goes on below that node, else above f. Every round is the same joins for all
-    conversations; their number is the logarithm of the longest conversation.
+    Fat binary search: between a and b the two-fattest depth f is tried. If the prefix of length f is a node's handle, the
+    search goes on below the end of that node's edge, else above f. Whether that edge is passed whole is looked up once, at
+    the end: if it is not, no deeper prefix is in the trie and all later trials fail. Every round is the same two joins for all
+    conversations, and the number of rounds is the logarithm of the longest one.
     """
-    state = batch.select("conv", "n", F.lit(0).cast("long").alias("a"), F.col("n").alias("b"))
-    handles = nodes.select("handle", F.col("e").alias("node_e"), F.col("id").alias("node"))
+    handles = nodes.select("handle", F.col("id").alias("hit"), F.col("p").alias("hit_p"), F.col("e").alias("hit_e"))
+    tries = known.select("conv", F.col("depth").alias("f"), F.col("id").alias("handle"))
+    state = batch.select("conv", "n", "end", F.lit(0).cast("long").alias("a"), F.col("n").alias("b"),
+                         F.lit(None).cast("string").alias("node"), F.lit(0).cast("long").alias("p"))
     done = None
     while True:
-        tried = _at(state.withColumn("f", two_fattest(F.col("a"), F.col("b"))), known, "conv", F.col("f"), "handle")
-        tried = _at(tried.join(handles, "handle", "left"), known, "conv", F.col("node_e"), "there", "left")
-        hit = F.coalesce(F.col("there") == F.col("node"), F.lit(False))
+        tried = state.withColumn("f", two_fattest(F.col("a"), F.col("b"))).join(tries, ["conv", "f"]).join(handles, "handle", "left")
+        hit = F.col("hit").isNotNull()
         state = written(tried.select(
-            "conv", "n", F.when(hit, F.col("node_e")).otherwise(F.col("a")).alias("a"),
-            F.when(hit, F.col("b")).otherwise(F.col("f") - 1).alias("b")), "search")
-        ended = state.where("a >= b").select("conv", "n", "a")
+            "conv", "n", "end", F.when(hit, F.col("hit_e")).otherwise(F.col("a")).alias("a"),
+            F.when(hit, F.col("b")).otherwise(F.col("f") - 1).alias("b"),
+            F.when(hit, F.col("hit")).otherwise(F.col("node")).alias("node"),
+            F.when(hit, F.col("hit_p")).otherwise(F.col("p")).alias("p")), "search")
+        ended = state.where("a >= b")
         done = ended if done is None else done.unionByName(ended)
         state = state.where("a < b")
         if state.isEmpty():
-            return done
+            break
+    after = known.select("conv", (F.col("depth") - 1).alias("a"), F.col("prev").alias("there"), F.col("id").alias("next"))
+    found = done.join(after, ["conv", "a"], "left")
+    there = F.coalesce("there", F.when(F.col("a") == F.col("n"), F.col("end")))
+    whole = F.col("node").isNull() | F.coalesce(there == F.col("node"), F.lit(False))
+    # an edge is found by its first turn below a whole path, or is the one the search ended on
+    found = found.select("conv", "n", F.when(whole, F.col("a")).otherwise(F.col("p")).alias("a"),
+                         F.when(whole, F.concat(F.lit("first "), F.col("next"))).otherwise(F.concat(F.lit("node "), F.col("node"))).alias("edge"))
+    named = nodes.select("*", F.explode(F.array(F.concat(F.lit("first "), F.col("first")), F.concat(F.lit("node "), F.col("id")))).alias("edge"))
+    return found.join(named.drop("handle"), "edge", "left").drop("edge")
+
+
+def _edges(points: DataFrame, known: DataFrame) -> DataFrame:
+    """Nodes of the edges between the points on each path: rows (path, rep, depth, id, cum), the first one of a path the end of a
+    known node. Paths that share an edge give its node once; its first prefix and its handle are read off the conversation it points to."""
+    up = Window.partitionBy("path").orderBy("depth")
+    made = points.select("id", "rep", F.lag("depth").over(up).alias("p"), F.col("depth").alias("e"), F.lag("id").over(up).alias("parent"),
+                         "cum", F.lag("cum").over(up).alias("above")).where("p is not null")
+    made = made.groupBy("id").agg(F.min_by(F.struct("p", "e", "rep", "parent", "cum", "above"), "rep").alias("node")).select("id", "node.*")
+    places = made.withColumn("depth", F.explode(F.array(F.col("p") + 1, two_fattest(F.col("p"), F.col("e")))))
+    steps = known.select(F.col("conv").alias("rep"), "depth", F.col("id").alias("there"))
+    both = places.join(steps, ["rep", "depth"]).groupBy(*made.columns)
+    return both.agg(F.min_by("there", "depth").alias("first"), F.max_by("there", "depth").alias("handle"))
 
 
 def _inserted(batch: DataFrame, nodes: DataFrame | None, known: DataFrame) -> DataFrame:
@@ -125,57 +145,49 @@ def _inserted(batch: DataFrame, nodes: DataFrame | None, known: DataFrame) -> Da
     if nodes is None:
         places = batch.select("conv", "n", F.lit(0).cast("long").alias("d"))
     else:
-        # the edge on which a conversation leaves the trie begins with its next turn; compare along that edge only
-        reached = written(_at(_located(batch, nodes, known), known, "conv", F.col("a") + 1, "first", "left"), "reached")
-        edges = reached.join(nodes.select("first", "id", "p", "e", "rep", "parent"), "first", "left")
-        mine = known.select("conv", "depth", F.col("id").alias("mine"))
+        edges = written(_exits(batch, nodes, known), "edges")
+        mine = known.select("conv", "depth", F.col("id").alias("mine"), F.col("cum").alias("mine_cum"))
         theirs = known.select(F.col("conv").alias("rep"), "depth", F.col("id").alias("theirs"))
         along = edges.where("id is not null").select("conv", "rep", "a", "e").join(mine, "conv").where("depth > a and depth <= e")
-        same = along.join(theirs, ["rep", "depth"]).where("mine = theirs")
-        matched = same.groupBy("conv").agg(F.max("depth").alias("d"), F.max_by("mine", "depth").alias("point"))
-        edges = written(edges.join(matched, "conv", "left").withColumn("d", F.coalesce("d", "a")), "exits")
+        same = along.join(theirs, ["rep", "depth"]).where("mine = theirs").groupBy("conv").agg(
+            F.max("depth").alias("d"), F.max_by(F.struct("mine", "mine_cum"), "depth").alias("cut"))
+        edges = written(edges.join(same, "conv", "left").withColumn("d", F.coalesce("d", "a")), "exits")
         places = edges.select("conv", "n", "d")
-    fresh = written(known.join(places.where("d < n"), "conv").where("depth > d").select("conv", "depth", "id", "prev", "d"), "new-turns")
+    fresh = written(known.join(places.where("d < n"), "conv").where("depth > d").drop("n"), "new-turns")
     forks = fresh.groupBy("prev").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select(F.col("prev").alias("id"))
-    points = forks.union(batch.select("end")).distinct()
-    path = fresh.select("conv", "depth", "id").join(points, "id", "left_semi").unionByName(
-        fresh.where("depth = d + 1").select("conv", F.col("d").alias("depth"), F.col("prev").alias("id")))
-    up = Window.partitionBy("conv").orderBy("depth")
-    made = path.select("conv", "id", F.lag("depth").over(up).alias("p"), F.col("depth").alias("e"), F.lag("id").over(up).alias("parent"))
-    made = made.where("p is not null").groupBy("id").agg(F.min_by(F.struct("p", "e", "parent", F.col("conv").alias("rep")), "conv").alias("node"))
-    made = made.select("id", "node.p", "node.e", "node.rep", "node.parent")
-    if nodes is not None:
-        cuts = edges.where("d > a and d < e").select("id", "p", "rep", "parent", F.col("d").alias("cut"), "point", F.col("e")).distinct()
-        ends = cuts.select("id", "p", "rep", "parent", F.col("e").alias("cut"), F.col("id").alias("point"), "e").distinct()
-        up = Window.partitionBy("id").orderBy("cut")
-        pieces = cuts.unionByName(ends).select(
-            F.col("point").alias("id"), F.lag("cut", 1).over(up).alias("above"), "p", F.col("cut").alias("e"), "rep",
-            F.coalesce(F.lag("point").over(up), F.col("parent")).alias("parent"))
-        made = made.unionByName(pieces.withColumn("p", F.coalesce("above", "p")).drop("above"))
-    made = _at(made, known, "rep", F.col("p") + 1, "first")
-    made = _at(made, known, "rep", two_fattest(F.col("p"), F.col("e")), "handle")
-    if nodes is not None:
-        made = made.unionByName(nodes.join(ends.select("id"), "id", "left_anti"))
-    return written(made, "trie")
+    points = fresh.join(forks.union(batch.select("end")).distinct(), "id", "left_semi").select("conv", "depth", "id", "cum")
+    points = points.unionByName(fresh.where("depth = d + 1").select(
+        "conv", F.col("d").alias("depth"), F.col("prev").alias("id"), (F.col("cum") - F.col("chars")).alias("cum")))
+    points = points.select(F.concat(F.lit("new "), "conv").alias("path"), F.col("conv").alias("rep"), "depth", "id", "cum")
+    if nodes is None:
+        return written(_edges(points, known), "trie")
+    # edges that are left inside are cut there
+    left = edges.where("d > a and d < e")
+    cuts = left.select(F.col("id").alias("path"), "rep", F.explode(F.array(
+        F.struct(F.col("p").alias("depth"), F.col("parent").alias("id"), F.col("above").alias("cum")),
+        F.struct(F.col("d").alias("depth"), F.col("cut.mine").alias("id"), F.col("cut.mine_cum").alias("cum")),
+        F.struct(F.col("e").alias("depth"), F.col("id"), F.col("cum")))).alias("at")).select("path", "rep", "at.*").distinct()
+    kept = nodes.join(left.select("id").distinct(), "id", "left_anti")
+    return written(_edges(points.unionByName(cuts), known).unionByName(kept), "trie")
 
 
 def _subtrees(nodes: DataFrame) -> DataFrame:
-    """Sums of ``n``, ``leaves``, ``weight``, ``chars`` and the least ``low`` over every node's subtree.
+    """Nodes with the sums of ``n``, ``leaves``, ``weight``, ``chars`` and the least ``low`` over their subtrees.
 
     Pointers to ancestors double: after round k a node has gathered all nodes less than 2^k levels below it, so a trie of
     height h takes log2(h) rounds. Sums are combined before they are shuffled, so a node with very many children is no hot key.
     """
     sums = ("n", "leaves", "weight", "chars")
-    values = nodes.select("id", "low", *sums)
-    above = nodes.where("parent is not null").select("id", F.col("parent").alias("up"))
-    while not above.isEmpty():
-        got = above.join(values, "id").groupBy("up").agg(F.min("low").alias("got_low"), *[F.sum(c).alias(f"got_{c}") for c in sums])
-        values = written(values.join(got, F.col("id") == F.col("up"), "left").select(
-            "id", F.least("low", "got_low").alias("low"),
-            *[(F.col(c) + F.coalesce(f"got_{c}", F.lit(0))).alias(c) for c in sums]), "subtrees")
-        further = above.select(F.col("id").alias("up"), F.col("up").alias("further"))
-        above = written(above.join(further, "up").select("id", F.col("further").alias("up")), "ancestors")
-    return values
+    nodes = nodes.withColumn("up", F.col("parent"))
+    while not nodes.where("up is not null").isEmpty():
+        got = nodes.where("up is not null").groupBy(F.col("up").alias("id")).agg(
+            F.min("low").alias("got_low"), *[F.sum(c).alias(f"got_{c}") for c in sums])
+        further = nodes.where("up is not null").select(F.col("id").alias("up"), F.col("up").alias("further"))
+        nodes = nodes.join(got, "id", "left").withColumns(
+            {"low": F.least("low", "got_low"), **{c: F.col(c) + F.coalesce(f"got_{c}", F.lit(0)) for c in sums}}).drop(
+            "got_low", *[f"got_{c}" for c in sums])
+        nodes = written(nodes.join(further, "up", "left").drop("up").withColumnRenamed("further", "up"), "subtrees")
+    return nodes.drop("up")
 
 
 def _listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -196,7 +208,7 @@ def _listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([(last, state.hexdigest())], columns=["end", "sha"])
 
 
-def prefix_trie(turns: DataFrame, convs: DataFrame, batches: tuple[int, ...] = (1, 8, 64)) -> DataFrame:
+def prefix_trie(turns: DataFrame, convs: DataFrame, batches: tuple[int, ...] = (1, 8)) -> DataFrame:
     """A row for every distinct sequence that begins a conversation, from the empty one (depth 0).
 
     ``turns``: ``conv``, ``place`` (from 1, without gaps), ``symbol``, ``chars``; ``convs``: every ``conv`` once, with or without
@@ -212,7 +224,11 @@ def prefix_trie(turns: DataFrame, convs: DataFrame, batches: tuple[int, ...] = (
     last = known.groupBy("conv").agg(F.max("depth").alias("n"), F.max_by("id", "depth").alias("end"))
     ends = written(convs.join(last, "conv", "left").select(
         "conv", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("end", F.lit(ROOT)).alias("end")), "ends")
-    kinds = written(ends.groupBy("end").agg(F.min("conv").alias("conv"), F.first("n").alias("n"), F.count("*").alias("copies")), "kinds")
+    parts = ends.groupBy("end", F.floor(F.col("conv") / RANGE).alias("part")).agg(
+        F.array_join(F.sort_array(F.collect_list("conv")).cast("array<string>"), ",").alias("text"))
+    hashes = parts.repartition("end").sortWithinPartitions("end", "part").mapInPandas(_listed, "end string, sha string")
+    kinds = ends.groupBy("end").agg(F.min("conv").alias("conv"), F.first("n").alias("n"), F.count("*").alias("copies"))
+    kinds = written(kinds.join(hashes, "end"), "kinds")
     spot = F.pmod(F.xxhash64("end"), F.lit(batches[-1]))
     nodes, low = None, 0
     for high in batches:
@@ -220,43 +236,30 @@ def prefix_trie(turns: DataFrame, convs: DataFrame, batches: tuple[int, ...] = (
         if not batch.isEmpty():
             nodes = _inserted(batch, nodes, known)
         low = high
-    root = kinds.groupBy().agg(F.coalesce(F.sum(F.when(F.col("n") == 0, F.col("copies"))), F.lit(0)).alias("own"),
-                               F.min(F.when(F.col("n") == 0, F.col("conv"))).alias("low"), F.count("*").alias("any"))
-    root = root.where("any > 0").select(
-        F.lit(ROOT).alias("id"), F.lit(None).cast("long").alias("p"), F.lit(0).cast("long").alias("e"), F.lit(None).cast("long").alias("rep"),
-        F.lit(None).cast("string").alias("parent"), "own", "low", F.lit(0).cast("long").alias("cum"), F.lit(0).cast("long").alias("chars"))
-    if nodes is None:
-        full = root
-    else:
-        to = known.select(F.col("conv").alias("c"), F.col("depth").alias("d"), "cum")
-        full = nodes.join(to, (F.col("rep") == F.col("c")) & (F.col("e") == F.col("d"))).drop("c", "d")
-        top = known.select(F.col("conv").alias("c"), F.col("depth").alias("d"), (F.col("cum") - F.col("chars")).alias("above"))
-        full = full.join(top, (F.col("rep") == F.col("c")) & (F.col("p") + 1 == F.col("d"))).drop("c", "d")
-        full = full.join(kinds.select(F.col("end").alias("id"), F.col("copies").alias("own"), F.col("conv").alias("low")), "id", "left")
-        full = full.select("id", "p", "e", "rep", "parent", F.coalesce("own", F.lit(0)).alias("own"), "low", "cum",
-                           (F.col("cum") - F.col("above")).alias("chars")).unionByName(root)
-    kids = full.where("parent is not null").groupBy("parent").agg(F.count("*").alias("kids")).withColumnRenamed("parent", "id")
-    full = written(full.join(kids, "id", "left").withColumn("kids", F.coalesce("kids", F.lit(0))), "compacted")
-    sums = _subtrees(full.select("id", "parent", "low", F.col("own").alias("n"), (F.col("kids") == 0).cast("long").alias("leaves"),
-                                 (F.col("own") * F.col("cum")).alias("weight"), "chars"))
-    # every node with its subtree and its parent's first member, then a row for each depth of its edge
-    nodes = full.select("id", "p", "e", "rep", "parent", "kids", "cum", F.col("chars").alias("edge")).join(sums, "id").join(
-        sums.select(F.col("id").alias("parent"), F.col("low").alias("parent_low")), "parent", "left")
-    nodes = written(nodes.withColumnsRenamed({"cum": "end_cum", "chars": "below"}), "nodes")
+    root = kinds.groupBy().agg(F.count("*").alias("any")).where("any > 0").select(
+        F.lit(ROOT).alias("id"), F.lit(0).cast("long").alias("e"), F.lit(0).cast("long").alias("cum"), F.lit(0).cast("long").alias("above"))
+    empty = F.lit(None)
+    root = root.select("id", empty.cast("long").alias("p"), "e", empty.cast("long").alias("rep"), empty.cast("string").alias("parent"), "cum", "above")
+    full = root if nodes is None else nodes.drop("first", "handle").unionByName(root)
+    kids = full.where("parent is not null").groupBy(F.col("parent").alias("id")).agg(F.count("*").alias("kids"))
+    own = kinds.select(F.col("end").alias("id"), F.col("conv").alias("low"), F.col("copies").alias("n"), "sha")
+    full = full.join(kids, "id", "left").join(own, "id", "left").withColumns(
+        {"kids": F.coalesce("kids", F.lit(0)), "n": F.coalesce("n", F.lit(0)), "edge": F.col("cum") - F.col("above")})
+    full = written(full.withColumns({"leaves": (F.col("kids") == 0).cast("long"), "weight": F.col("n") * F.col("cum"), "chars": F.col("edge")})
+                   .withColumnsRenamed({"cum": "end_cum"}), "compacted")
+    nodes = _subtrees(full).withColumnRenamed("chars", "below")
+    # every node with its parent's first member, then a row for each depth of its edge
+    nodes = nodes.join(nodes.select(F.col("id").alias("parent"), F.col("low").alias("parent_low")), "parent", "left")
+    nodes = written(nodes, "nodes")
     steps = known.select(F.col("conv").alias("rep"), "depth", "cum", "chars")
     rows = nodes.join(steps, "rep").where("depth > p and depth <= e").unionByName(nodes.where("p is null").select(
         "*", F.lit(0).cast("long").alias("depth"), F.lit(0).cast("long").alias("cum"), F.lit(0).cast("long").alias("chars")))
-    parts = ends.groupBy("end", F.floor(F.col("conv") / RANGE).alias("part")).agg(
-        F.array_join(F.sort_array(F.collect_list("conv")).cast("array<string>"), ",").alias("text"))
-    hashes = parts.repartition("end").sortWithinPartitions("end", "part").mapInPandas(_listed, "end string, sha string")
-    at_end = F.col("depth") == F.col("e")
-    rows = rows.withColumn("end", F.when(at_end, F.col("id")).otherwise(F.concat(F.lit("inside "), F.col("id"), F.lit(" "), F.col("depth"))))
-    before = F.col("cum") - F.col("chars")
-    return rows.join(hashes, "end", "left").select(
+    at_end, before = F.col("depth") == F.col("e"), F.col("cum") - F.col("chars")
+    return rows.select(
         F.col("low").alias("conv_id"), "depth",
         F.when(F.col("depth") == F.col("p") + 1, F.col("parent_low")).when(F.col("depth") > 0, F.col("low")).alias("parent_conv_id"),
         F.col("n").alias("n_convs"), F.when(at_end, F.col("kids")).otherwise(F.lit(1)).cast("long").alias("n_children"),
         F.col("leaves").alias("n_leaves"),
         # over the subtree: members times code points, less the code points once
         (F.col("weight") - F.col("n") * before - (F.col("below") - F.col("edge") + F.col("end_cum") - before)).alias("saved_tokens"),
-        F.coalesce("sha", F.lit(EMPTY_SHA256)).alias("ends_sha256"))
+        F.coalesce(F.when(at_end, F.col("sha")), F.lit(EMPTY_SHA256)).alias("ends_sha256"))
