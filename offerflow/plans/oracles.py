@@ -786,3 +786,17 @@ SELECT md5('https://d.example.org/' || md5(text)) AS id, arg_min(doc_id, (1 - do
 ORACLES["stream_dedup_events"] = """
 SELECT DISTINCT md5(u) AS id, u AS url
 FROM (SELECT 'https://e.example.org/' || event_type || '/' || user_id AS u FROM events)"""
+
+ORACLES["stream_first_expiring"] = """
+WITH e AS (SELECT *, epoch_us(ts) AS us, 'https://e.example.org/' || event_type || '/' || user_id AS url,
+  least(3, (day(ts) - 1) // 8 + CASE WHEN event_id % 10 = 3 THEN 1 WHEN event_id % 50 = 4 THEN 2 ELSE 0 END)::INT AS arrival FROM events),
+marks AS (SELECT a.arrival, max(b.us) // 1000 * 1000 - 5 * 86400000000 AS mark
+  FROM (SELECT DISTINCT arrival FROM e) a LEFT JOIN e b ON b.arrival < a.arrival GROUP BY a.arrival),
+live AS (SELECT e.* FROM e JOIN marks m ON m.arrival = e.arrival WHERE m.mark IS NULL OR e.us > m.mark),
+runs AS (SELECT url, list({'last': us, 'kept': [event_id]} ORDER BY arrival, us, event_id) AS views FROM live GROUP BY url),
+kept AS (SELECT unnest(list_reduce(views, lambda s, x: CASE WHEN x.last >= s.last + 4 * 86400000000
+  THEN {'last': x.last, 'kept': list_concat(s.kept, x.kept)} ELSE s END).kept) AS event_id FROM runs)
+SELECT md5(url) AS id, url, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, value, props, arrival FROM live JOIN kept USING (event_id)"""
+ORACLES["incremental_enrich_rest"] = _with(f"""
+SELECT id AS offre_id, sector, contract_type FROM ({_REPORT.replace("SELECT", "SELECT t.id AS id,", 1)}) r
+WHERE id NOT IN (SELECT offre_id FROM enriched WHERE offre_id IS NOT NULL)""", *_REPORT_TABLES, "enriched")

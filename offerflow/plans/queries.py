@@ -14,6 +14,7 @@ from offerflow.functions import text as tx
 from offerflow.operators import consolidate, enrich, impute, report, stats, upsert
 from offerflow.operators.key_phrases import key_phrases
 from offerflow.operators.keyed import exact_median, first_per_key
+from offerflow.operators.versions import BucketedTable
 from offerflow.plans import fixture as fx
 from offerflow.sources import pages as pg
 from offerflow.sources import site_rules, tables
@@ -936,6 +937,24 @@ def stream_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("id string, doc_id long, lang string").parquet(path).select("id", "doc_id", "lang")
 
 
+@query
+def stream_first_expiring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page views of users in four arrivals, some of them late: a view is kept if the last one kept is four days old, and
+    dropped if it is more than five days behind the newest view of an earlier arrival."""
+    folder, path = workdir.new_path(spark, "views"), workdir.new_path(spark, "first-views")
+    checkpoint = workdir.new_path(spark, "first-views-checkpoint")
+    events = fx.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    late = F.when(F.col("event_id") % 10 == 3, 1).when(F.col("event_id") % 50 == 4, 2).otherwise(0)
+    events = events.withColumn("arrival", F.least(F.lit(3), F.floor((F.dayofmonth("ts") - 1) / 8) + late).cast("int"))
+    events = events.withColumn("url", F.concat_ws("/", F.lit("https://e.example.org"), "event_type", "user_id"))
+    for arrival in range(4):
+        events.where(F.col("arrival") == arrival).write.mode("append").parquet(folder)
+        items = streaming.read_stream(spark, folder, events.schema)
+        streaming.stream_first(items, path, checkpoint, [F.col("event_id")], "ts", "4 days", "5 days").awaitTermination()
+    return spark.read.schema(f"id string, {', '.join(f'{f.name} {f.dataType.simpleString()}' for f in events.schema)}").parquet(path).select(
+        "id", "url", "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "value", "props", "arrival")
+
+
 @query
 def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page views of users as items; a view is kept once within the watermark delay."""
@@ -950,20 +969,19 @@ def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream of raw rows folded into the known rows: equal to the batch upsert."""
+    """A stream of raw rows folded into the stored known rows, bucket by bucket: equal to the batch upsert."""
     target, batch = _url_tables(spark, sf_dir)
     folder, log = workdir.new_path(spark, "items"), workdir.new_path(spark, "upserts")
-    checkpoint, compacted = workdir.new_path(spark, "upserts-checkpoint"), workdir.new_path(spark, "compacted")
+    checkpoint, stored = workdir.new_path(spark, "upserts-checkpoint"), workdir.new_path(spark, "stored")
     middle, order = batch.agg(F.avg("doc_id")).first()[0], [F.col("doc_id")]
+    table = BucketedTable(stored, "url", target.schema, buckets=16)
+    table.fold(target, lambda nothing, first: first, batch=None)
     for early in (True, False):
         batch.where((F.col("doc_id") < middle) == early).write.mode("append").parquet(folder)
         items = streaming.read_stream(spark, folder, batch.schema)
         streaming.stream_upsert(items, log, checkpoint).awaitTermination()
-        logged = streaming.read_upserts(spark, log, batch.schema)
-        if early:  # folded into a new target; the later fold reads later batches only
-            last = streaming.compact_upserts(target, logged, order, compacted)
-    target = spark.read.schema(target.schema).parquet(compacted)
-    merged = streaming.fold_upserts(target, logged.where(F.col("batch_id") > last), order)
+        streaming.fold_into(table, streaming.read_upserts(spark, log, batch.schema), order)
+    merged = table.read(spark)
     return merged.select("url", "id", "title", "company_name", "description", "contract", "region", _day("posted"),
                          "source", "job_count")
 
@@ -980,3 +998,20 @@ def incremental_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("extracted_sector").alias("sector"), F.col("extracted_contract_type").alias("contract_type")).agg(
         F.count(F.lit(1)).alias("offers"), F.count("extracted_salary_min").alias("with_salary"),
         F.sum(F.size("extracted_skills")).alias("skills_found"))
+
+
+@query
+def incremental_enrich_rest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two arrivals over a table in which the batch job has enriched the labelled offers; the second brings offers again."""
+    folder, path, stored = (workdir.new_path(spark, name) for name in ("arrivals", "enriched", "stored"))
+    checkpoint, schema = workdir.new_path(spark, "enriched-checkpoint"), schemas.ENRICHED
+    schemas.conform(fx.enriched(spark, sf_dir), schema).write.parquet(stored)
+    offers = schemas.conform(fx.offers(spark, sf_dir), schemas.OFFERS)
+    number = F.col("id").cast("long")
+    for part in (number % 3 < 2, number % 3 > 0):
+        offers.where(part).write.mode("append").parquet(folder)
+        arrivals = streaming.read_stream(spark, folder, schemas.OFFERS)
+        streaming.incremental_enrich(arrivals, path, checkpoint, fx.AS_OF, lambda: spark.read.schema(schema).parquet(stored)) \
+            .awaitTermination()
+    return spark.read.schema(schema).parquet(path).select("offre_id", F.col("extracted_sector").alias("sector"), F.col(
+        "extracted_contract_type").alias("contract_type"))

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from offerflow.functions.text import url_id
-from offerflow.operators.enrich import enrich_offers, enrichable
+from offerflow.operators.enrich import backlog, enrich_offers, enrichable
 from offerflow.operators.keyed import first_per_key
 from offerflow.operators.upsert import upsert_by_url
+from offerflow.operators.versions import BucketedTable
+from offerflow.streaming.first import first_items, run_first
 
 
 def read_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet",
@@ -25,7 +29,7 @@ def read_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern:
 def stream_dedup(items: DataFrame, event_time: str | None = None, delay: str = "1 day") -> DataFrame:
     """One item per URL, any of those in its first micro-batch. With an event time, state is kept only for ``delay``.
 
-    ``stream_first`` keeps the first item by an order.
+    ``stream_first`` keeps the first item by an order, and may take a URL for new again after a while.
     """
     keyed = items.withColumn("id", url_id(F.col("url")))
     if event_time is None:
@@ -33,24 +37,13 @@ def stream_dedup(items: DataFrame, event_time: str | None = None, delay: str = "
     return keyed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["id"])
 
 
-def stream_first(items: DataFrame, path: str, checkpoint: str, order: list[Column]) -> StreamingQuery:
+def stream_first(items: DataFrame, path: str, checkpoint: str, order: list[Column], event_time: str | None = None,
+                 delay: str | None = None, lateness: str = "0 seconds") -> StreamingQuery:
     """Keep the first item per URL: by micro-batch, then by the order. Copies of an item may differ in other columns.
 
-    A micro-batch is reduced to one item per URL before it meets the ids that are stored already. Replaying it
-    overwrites its own folder, which is left out of those ids.
+    With an event time, a URL is new again once its item was kept ``delay`` ago; see ``first_items``.
     """
-    spark = items.sparkSession
-    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("batch_id", T.LongType())])
-
-    def keep(batch: DataFrame, batch_id: int) -> None:
-        found = first_per_key(batch.withColumn("id", url_id(F.col("url"))), ["id"], order)
-        if batch_id > 0:
-            stored = spark.read.schema(schema).parquet(path).where(F.col("batch_id") < batch_id).select("id")
-            found = found.join(stored, "id", "left_anti")
-        found.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return items.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint) \
-        .trigger(availableNow=True).start()
+    return run_first(first_items(items, url_id(F.col("url")), order, event_time, delay, lateness), path, checkpoint)
 
 
 def write_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -79,14 +72,9 @@ def read_upserts(spark: SparkSession, log_path: str, schema: T.StructType) -> Da
         .parquet(log_path)
 
 
-def compact_upserts(target: DataFrame, log: DataFrame, order: list[Column], path: str) -> int | None:
-    """Fold the log into the target and write the result to a new folder; the number of the last folded batch.
-
-    Later folds start from there and read only later batches.
-    """
-    last = log.agg(F.max("batch_id")).first()[0]
-    fold_upserts(target, log, order).write.parquet(path)
-    return last
+def fold_into(table: BucketedTable, log: DataFrame, order: list[Column]) -> int:
+    """Fold the log into a stored table, whose untouched buckets stay as they are; the number of the last folded batch."""
+    return table.fold(log, lambda target, new: fold_upserts(target, new, order))
 
 
 def fold_upserts(target: DataFrame, log: DataFrame, order: list[Column]) -> DataFrame:
@@ -94,13 +82,27 @@ def fold_upserts(target: DataFrame, log: DataFrame, order: list[Column]) -> Data
     return upsert_by_url(target, log, [F.col("batch_id"), *order])
 
 
-def incremental_enrich(offers: DataFrame, path: str, checkpoint: str, as_of: str) -> StreamingQuery:
-    """Enrich offers that arrived since the last run; the checkpoint replaces the backlog join.
+def incremental_enrich(offers: DataFrame, path: str, checkpoint: str, as_of: str,
+                       stored: Callable[[], DataFrame] | None = None) -> StreamingQuery:
+    """Enrich offers that arrived since the last run and have no enrichment, neither in ``stored`` nor from an earlier micro-batch.
 
-    The projection is stateless.
+    ``stored`` reads the table that the batch job appends to. It is called in every micro-batch and joined on ids only, so an offer
+    that the batch job has enriched meanwhile is left out. An offer that arrives again is enriched once; of copies in one micro-batch the
+    smallest row counts. Replaying a micro-batch overwrites its own folder, which is left out of the earlier ones. Offers without an id
+    are enriched each.
     """
+    spark = offers.sparkSession
+    ids = T.StructType([T.StructField("offre_id", T.StringType()), T.StructField("batch_id", T.LongType())])
+
     def enrich(batch: DataFrame, batch_id: int) -> None:
-        enrich_offers(batch, as_of).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        named = first_per_key(batch.where("id IS NOT NULL"), ["id"], [F.col(c) for c in batch.columns if c != "id"])
+        done = [] if stored is None else [stored().select("offre_id")]
+        if batch_id > 0:
+            done.append(spark.read.schema(ids).parquet(path).where(F.col("batch_id") < batch_id).select("offre_id"))
+        for known in done:
+            named = backlog(named, known)
+        rows = named.unionByName(batch.where("id IS NULL"))
+        enrich_offers(rows, as_of).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return offers.where(enrichable()).writeStream.foreachBatch(enrich) \
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
