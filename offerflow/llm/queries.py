@@ -95,8 +95,8 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = quality.judged(docs, table(spark, sf_dir, "labels"))
-    return found.drop("row").withColumnRenamed("key", "doc_id")
+    found = quality.judged(docs, table(spark, sf_dir, "labels"), keep=False)
+    return found.withColumnRenamed("key", "doc_id")
 
 
 @query

@@ -1,8 +1,10 @@
 """Secrets, licenses and quality statistics against plain Python; learned rules on held-out labels."""
 
+import math
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from offerflow.llm import licenses, quality, secrets
@@ -170,3 +172,76 @@ def test_learned_rules_hold_on_unseen_labels(spark):
     assert sorted(r["doc_id"] for r in accepted.collect()) == sorted(r["key"] for r in judged.where("kept").collect())
 
 
+
+
+def plain_learner(rows, precision=0.95, least=3):
+    """The same covering over rows (grow, bad, features) in plain Python."""
+    def quantiles(values):
+        values = sorted(float(f"{v:.2e}") for v in values)
+        return {values[-(-len(values) * k // quality.QUANTILES) - 1] for k in range(1, quality.QUANTILES)} | {values[-1]} if values else set()
+
+    limits = {f: sorted({0.0} | quantiles([r[f] for r in rows if r["bad"]]) | quantiles([r[f] for r in rows if not r["bad"]]))
+              for f in quality.FEATURES}
+
+    def holds(rule, r):
+        return all((r[c.feature] > c.threshold) == c.above for c in rule)
+
+    def best(some, barred):
+        p0, q0 = sum(r["bad"] for r in some), sum(not r["bad"] for r in some)
+        top, tied = (0.0, "", False, 0, 0), []
+        for f in quality.FEATURES if p0 and q0 else ():
+            for t in limits[f]:
+                for above in (False, True):
+                    stay = [r["bad"] for r in some if (r[f] > t) == above]
+                    p, q = sum(stay), len(stay) - sum(stay)
+                    if (f, above) in barred:
+                        continue
+                    gain = p * (math.log2(p / (p + q)) - math.log2(p0 / (p0 + q0))) if p else 0.0
+                    if (f, above, p, q) == top[1:]:
+                        tied.append(t)
+                    elif gain > top[0] + 1e-9:
+                        top, tied = (gain, f, above, p, q), [t]
+        return quality.Condition(top[1], top[2], tied[len(tied) // 2]) if tied else None
+
+    rules, left, barred = [], rows, set()
+    while True:
+        rule = ()
+        while any(not r["bad"] for r in left if r["grow"] and holds(rule, r)) and (
+                c := best([r for r in left if r["grow"] and holds(rule, r)], set() if rule else barred)):
+            rule = (*rule, c)
+        if not rule:
+            return rules
+        scored = []
+        for k in range(1, len(rule) + 1):
+            sides = [(sum(r["bad"] for r in some), sum(not r["bad"] for r in some)) for some in (
+                [r for r in left if not r["grow"] and holds(rule[:k], r)], [r for r in left if holds(rule[:k], r)])]
+            p, q = sides[0]
+            scored.append(((p - q) / (p + q) if p + q else -1.0, -k, all(a >= least and a >= precision * (a + b) for a, b in sides)))
+        for _, k, sure in (max(scored), scored[-1]):
+            if sure:
+                rules.append(rule[:-k])
+                left, barred = [r for r in left if not holds(rule[:-k], r)], set()
+                break
+        else:
+            barred.add((rule[0].feature, rule[0].above))
+
+
+def test_learned_rules_are_those_of_a_plain_learner(spark):
+    """Ten kinds of bad documents beside noise: more kinds than any fixed number of rules, and a noisy kind first."""
+    random = np.random.default_rng(4)
+    rows = []
+    for i in range(900):
+        kind = i % 18
+        features = dict(zip(quality.FEATURES, np.round(random.random(8) * 0.3, 3).tolist(), strict=True))
+        if kind < 8:
+            features[quality.FEATURES[kind]] = float(np.round(0.6 + 0.3 * random.random(), 3))
+        bad = kind < 8 or (kind < 11 and random.random() < 0.6)
+        if 8 <= kind < 11:
+            features["digit_rate"], features["bar_rate"] = 0.4, 0.45
+        rows.append((i, None, bool(bad), *features.values()))
+    frame = spark.createDataFrame([(r[0], *r[3:]) for r in rows], "key long, " + ", ".join(f"{f} double" for f in quality.FEATURES))
+    labels = spark.createDataFrame([(r[0], 0 if r[2] else 1) for r in rows], "doc_id long, quality int")
+    seen = quality._with_labels(frame, labels, "doc_id", "quality").collect()
+    rules = quality.learn(quality.labelled(frame, labels))
+    assert rules == plain_learner([r.asDict() for r in seen])
+    assert {r[0].feature for r in rules} >= set(quality.FEATURES) - {"digit_rate", "bar_rate"}
