@@ -1,9 +1,7 @@
 """Skill extraction, ranking and categories.
 
-A term can only occur where its first run of ASCII letters and digits occurs
-as a whole token. So each text is tokenised once, intersected with the known
-first tokens, and a term's regex runs only on texts that hold its token. A term
-without such a run is tested on every text.
+Texts are normalised once; one automaton over all dictionary terms then finds, counts and places them in a single pass (see
+``skill_index``). Only the named patterns stay regexes, on texts that hold one of their first tokens.
 """
 
 from __future__ import annotations
@@ -11,6 +9,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,11 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from offerflow import rules
-from offerflow.functions.labels import let, literal_array, literal_rows
+from offerflow.functions.labels import let, literal_array
+from offerflow.functions.skill_index import scored_skills, terms_found
 from offerflow.functions.text import NOT_AFTER_WORD, NOT_BEFORE_WORD, NOT_SPACE, lowered_text, strip
 
 _LEFT, _RIGHT = "(?<![a-zA-Z0-9])", "(?![a-zA-Z0-9])"
 _GAP = r"[\s\-]+"
+#: Skills of a referential that a task may hold as an automaton.
+MOST_TERMS = 100_000
 
 
 @F.pandas_udf(T.StringType())
@@ -59,8 +61,8 @@ def _named(pattern: str) -> str:
 
 def skill_dictionary(
     technical: dict[str, Iterable[str]] | None = None, soft: Iterable[str] | None = None,
-) -> list[tuple[str, str, str, str, str]]:
-    """Rows (head, pattern, display, kind, category) of all dictionary terms.
+) -> list[tuple[str, str, str, str]]:
+    """Rows (term, display, kind, category) of all dictionary terms.
 
     Trigger phrases with accents are left out: texts are decomposed, so a
     composed accent in a phrase can never be found.
@@ -69,17 +71,10 @@ def skill_dictionary(
     soft = rules.SOFT_SKILLS if soft is None else soft
     terms = [(t.lower(), t.lower().title(), "technical", c) for c, ts in technical.items() for t in ts]
     terms += [(t.lower(), t.lower().title(), "soft", "soft_skills") for t in soft]
-    terms += [
+    return terms + [
         (t, label, "context", label) for label, ts in rules.CONTEXT_SKILLS.items() for t in ts
         if unicodedata.is_normalized("NFKD", t)
     ]
-    return [(_head(t), skill_pattern(t), shown, kind, c) for t, shown, kind, c in terms]
-
-
-def _head(term: str) -> str:
-    """First run of ASCII letters and digits of a term in lower case; empty if it has none."""
-    found = re.search("[a-z0-9]+", term)
-    return found.group() if found else ""
 
 
 def _title(match: Column) -> Column:
@@ -87,15 +82,6 @@ def _title(match: Column) -> Column:
     return F.array_join(F.transform(F.regexp_extract_all(match, F.lit(r"\s+|\S+"), 0), F.initcap), "")
 
 
-def dictionary_skills(normalized: Column, heads: Column, dictionary: list[tuple]) -> Column:
-    """Display names of the terms found in the text."""
-    entries = [{"head": head, "pattern": pattern, "shown": shown} for head, pattern, shown, *_ in dictionary]
-    table = literal_rows(entries, "head string, pattern string, shown string")
-    found = F.filter(table, lambda t: ((t["head"] == "") | F.array_contains(heads, t["head"]))
-                     & F.rlike(normalized, t["pattern"]))
-    return F.transform(found, lambda t: t["shown"])
-
-
 def pattern_skills(normalized: Column) -> Column:
     """Every match of the named patterns, capitalised."""
     matches = F.concat(*[
@@ -104,36 +90,19 @@ def pattern_skills(normalized: Column) -> Column:
     return F.transform(matches, _title)
 
 
-def filter_skills(skills: Column) -> Column:
-    """Drop too short, too long and generic skills."""
+def filter_skills(found: Column) -> Column:
+    """Drop too short, too long and generic skills; ``found`` are structs with a field ``skill``."""
     low, high = rules.SKILL_LENGTHS
     generic = "|".join(rules.GENERIC_SKILL_TERMS)
-    return F.filter(
-        F.transform(skills, strip),
-        lambda s: F.length(s).between(low, high) & ~F.lower(s).rlike(generic))
-
-
-def _scored(skill: Column, normalized: Column) -> Column:
-    """(-score, skill): occurrences plus earliness of the first one."""
-    gap = "\\E" + _GAP + "\\Q"
-    core = F.concat(
-        F.lit(f"{_LEFT}\\Q"), F.replace(F.lower(skill), F.lit(" "), F.lit(gap)), F.lit(f"\\E{_RIGHT}"))
+    return F.filter(found, lambda s: F.length(s["skill"]).between(low, high) & ~F.lower(s["skill"]).rlike(generic))
 
-    def measured(pattern: Column) -> Column:
-        before = F.length(F.call_function(
-            "regexp_extract", normalized, F.concat(F.lit("(?s)^(.*?)"), pattern), F.lit(1)))
-        size = F.greatest(F.length(normalized), F.lit(1))
-        return let(F.regexp_count(normalized, pattern), lambda count: F.when(
-            count == 0, F.lit(-rules.CONTEXT_ONLY_SCORE)).otherwise(-(count + (F.lit(1.0) - before / size))))
 
-    return F.struct(let(core, measured).alias("order"), skill.alias("skill"))
-
-
-def rank_skills(skills: Column, normalized: Column) -> Column:
-    """Top skills as structs (skill, score), best first, then by name."""
-    ordered = F.array_sort(F.transform(skills, lambda s: _scored(s, normalized)))
+def rank_skills(found: Column) -> Column:
+    """Top skills as structs (skill, score), best first, then by name; skills that only their triggers show come last."""
+    order = F.transform(found, lambda s: F.struct(
+        (-F.coalesce(s["score"], F.lit(rules.CONTEXT_ONLY_SCORE))).alias("order"), s["skill"].alias("skill")))
     return F.transform(
-        F.slice(ordered, 1, rules.MAX_SKILLS),
+        F.slice(F.array_sort(order), 1, rules.MAX_SKILLS),
         lambda r: F.struct(r["skill"].alias("skill"), (-r["order"]).alias("score")))
 
 
@@ -143,18 +112,20 @@ def with_skills(
 ) -> DataFrame:
     """Append ``out``, the ranked skills of column ``text`` (empty for a blank text)."""
     keep = df.columns
-    dictionary = skill_dictionary(technical, soft)
-    known = list(dict.fromkeys([row[0] for row in dictionary if row[0]] + list(rules.NAMED_SKILL_HEADS)))
-    everywhere = any(not row[0] for row in dictionary)
+    entries = tuple((term, shown) for term, shown, *_ in skill_dictionary(technical, soft))
     nothing = F.array().cast("array<string>")
-    df = df.withColumn("_norm", F.when(F.col(text).rlike(NOT_SPACE), normalize_nfkd(F.col(text))))
-    df = df.withColumn("_heads", F.array_intersect(
-        F.regexp_extract_all("_norm", F.lit("[a-z0-9]+"), 0), literal_array(known)))
-    named = F.when(
-        F.arrays_overlap("_heads", literal_array(rules.NAMED_SKILL_HEADS)), pattern_skills(F.col("_norm")))
-    df = df.withColumn("_found", F.when(F.col("_norm").isNotNull() if everywhere else F.size("_heads") > 0, F.array_distinct(F.concat(
-        dictionary_skills(F.col("_norm"), F.col("_heads"), dictionary), F.coalesce(named, nothing)))))
-    df = df.withColumn("_ranked", rank_skills(filter_skills(F.coalesce(F.col("_found"), nothing)), F.col("_norm")))
+
+    def with_extras(normalized: Column) -> Column:
+        # cheapest test first: a first token somewhere, then as a whole token, then the patterns
+        part = reduce(lambda a, b: a | b, [F.contains(normalized, F.lit(head)) for head in rules.NAMED_SKILL_HEADS])
+        whole = F.rlike(normalized, F.lit(_any_of(rules.NAMED_SKILL_HEADS)))
+        extras = F.when(part & whole, F.transform(pattern_skills(normalized), strip))
+        return F.struct(normalized.alias("text"), F.coalesce(extras, nothing).alias("extras"))
+
+    normalized = F.when(F.col(text).rlike(NOT_SPACE), normalize_nfkd(F.col(text)))
+    df = df.withColumn("_found", scored_skills(let(normalized, with_extras), entries))
+    df = df.withColumn("_ranked", F.coalesce(rank_skills(filter_skills(F.col("_found"))),
+                                             F.array().cast("array<struct<skill string, score double>>")))
     columns = [F.transform("_ranked", lambda r: r["skill"]).alias(out)]
     if scores:
         columns.append(F.col("_ranked").alias(scores))
@@ -187,18 +158,37 @@ def categorize_skills(skills: Column) -> Column:
     return F.map_from_arrays(literal_array(SKILL_KINDS), F.array(*[of_kind(k) for k in SKILL_KINDS]))
 
 
-def match_skills(offers: DataFrame, key: str, text: str, referential: DataFrame) -> DataFrame:
+def match_skills(offers: DataFrame, key: str, text: str, referential: DataFrame, most: int = MOST_TERMS) -> DataFrame:
     """(key, skill, category, kind) for every skill of a referential table found in an offer.
 
+    A referential of at most ``most`` skills becomes an automaton that every task builds, so a text is read where it
+    lies and never moves. A larger one is matched by joins, with the same result.
+    """
+    columns = ["skill", "category", "kind"]
+    skills = referential.where("skill IS NOT NULL").select(*columns, F.lower("skill").alias("term"))
+    rows = skills.limit(most + 1).collect()
+    if len(rows) > most:
+        return _match_by_join(offers, key, text, skills)
+    kept = T.StructType([referential.schema[c] for c in columns])
+    if not rows:
+        return offers.sparkSession.createDataFrame([], T.StructType([offers.schema[key], *kept.fields]))
+    found = offers.select(key, terms_found(normalize_nfkd(F.col(text)), tuple(r["term"] for r in rows)).alias("_found"))
+    found = found.select(key, F.explode_outer("_found").alias("_number")).where("_number IS NOT NULL")
+    table = offers.sparkSession.createDataFrame(
+        [(i, *(r[c] for c in columns)) for i, r in enumerate(rows)], T.StructType([T.StructField("_number", T.IntegerType()), *kept.fields]))
+    return found.join(F.broadcast(table), "_number").select(key, *columns)
+
+
+def _match_by_join(offers: DataFrame, key: str, text: str, skills: DataFrame) -> DataFrame:
+    """Matches of a referential of any size.
+
     The tokens of a text meet the first tokens of the skills, and only those candidates
-    meet the text again and are checked by regex. The work grows with the candidates, not
-    with offers x skills, and a text is never copied per token. Skills without a letter or digit have the
+    meet the text again and are checked by regex. Skills without a letter or digit have the
     empty token, which every text has.
     """
-    head = F.regexp_extract(F.lower("skill"), "[a-z0-9]+", 0)
-    escaped = F.replace(F.lower("skill"), F.lit(" "), F.lit("\\E" + _GAP + "\\Q"))
-    dimension = referential.select(
-        "skill", "category", "kind", head.alias("_head"),
+    escaped = F.replace("term", F.lit(" "), F.lit("\\E" + _GAP + "\\Q"))
+    dimension = skills.select(
+        "skill", "category", "kind", F.regexp_extract("term", "[a-z0-9]+", 0).alias("_head"),
         F.concat(F.lit(f"{_LEFT}\\Q"), escaped, F.lit(f"\\E{_RIGHT}")).alias("_pattern"))
     texts = offers.select(key, normalize_nfkd(F.col(text)).alias("_norm"))
     tokens = texts.select(key, F.explode(

@@ -8,7 +8,7 @@ import unicodedata
 from pyspark.sql import functions as F
 
 from offerflow import rules, schemas
-from offerflow.functions import skills
+from offerflow.functions import skill_index, skills
 from offerflow.operators import consolidate, enrich, impute, stats, upsert
 from offerflow.operators.key_phrases import key_phrases
 from offerflow.operators.keyed import exact_median, first_per_key, left_join_many
@@ -321,3 +321,32 @@ def test_numbered_listing_stops_at_its_last_page(spark):
 
     assert numbers(listing) == [(1, "2"), (8, "9"), (9, "10"), (25, "26")]
     assert numbers(listing | {"last_page": 9}) == [(1, "2"), (8, "9")]
+
+
+def test_terms_of_any_shape_equal_their_regex(spark):
+    rng = random.Random(7)
+    terms = ["a b", "a-b", "b", "c++", "++", ".x", "a  b", " a", "b ", "-", "a b a", "é a", "x-y z", "", "a.b", "b a", "aa"]
+    texts = ["".join(rng.choices(["a", "b", "c", "x", "y", "z", "+", "++", ".", "-", " ", " ", "\n", "  ", " - ", "é", "1"], k=rng.randrange(0, 30)))
+             for _ in range(400)] + ["a b a b a", "a" * 50, "a b " * 3000, "c++ c++c++ c+++", "+++"]
+    index = skill_index.TermIndex(terms)
+    for text in texts:
+        found = index.hits(skill_index.Text(text))
+        for term in terms:
+            hits = [m.start() for m in re.finditer(skills.skill_pattern(term).replace(r"[\s\-]+", skill_index.GAP), text)]
+            assert found.get(term) == ((len(hits), hits[0]) if hits else None), (term, text)
+            assert skill_index.Text(text).measure(term) == found.get(term)
+
+
+def test_referentials_of_any_size_match_alike(spark):
+    rng = random.Random(8)
+    words = ["java", "spring boot", "c++", "ci/cd", "node.js", "scikit-learn", "r", ".net", "Go", "sql"]
+    offers = spark.createDataFrame([(i, rng.choice([" ", ", ", " - "]).join(rng.choices(words + ["golang", "sqlite"], k=5))) for i in range(60)]
+                                   + [(60, None), (61, "")], "id int, t string")
+    terms = spark.createDataFrame([(w, f"k{i % 3}", "technical") for i, w in enumerate(words)] + [("java", "twice", "soft"), (None, "k", "soft")],
+                                  "skill string, category string, kind string")
+    one, other = (sorted(map(tuple, skills.match_skills(offers, "id", "t", terms, most).collect())) for most in (100, 3))
+    assert one == other and len(one) > 200
+    many = spark.createDataFrame([(f"term {i}", "c", "technical") for i in range(5000)] + [("sql", "c", "technical")], terms.schema)
+    found = skills.match_skills(offers, "id", "t", many).collect()
+    assert sorted({r.id for r in found}) == sorted({i for i, s, *_ in one if s == "sql"})
+    assert skills.match_skills(offers, "id", "t", terms.limit(0)).collect() == []
