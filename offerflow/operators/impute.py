@@ -1,19 +1,19 @@
 """Imputation of missing enrichment fields.
 
-Text classifiers are trained on complete rows and predict the incomplete ones;
-predictions below a confidence threshold are dropped, and only NULLs are filled.
-Skills and salaries come from the rule extractors.
+Text classifiers are trained on complete rows and predict the incomplete ones. Of several fits for a column the one that
+predicts the validation part best is kept, and its confidences are calibrated there; predictions that are less probable than a
+threshold are dropped, and only NULLs are filled. Skills and salaries come from the rule extractors.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass, field
-from pathlib import PurePosixPath
+from dataclasses import dataclass
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, IndexToString, RegexTokenizer, StringIndexer, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -27,6 +27,7 @@ from offerflow.operators import stats
 from offerflow.operators.enrich import read_offers_with_enrichment
 from offerflow.operators.keyed import last_per_key
 from offerflow.operators.upsert import patch_enrichment
+from offerflow.operators.versions import Runs
 from offerflow.sources.tables import write_enriched_csv
 from offerflow.workdir import written
 
@@ -42,10 +43,21 @@ class ImputeConfig:
     ml_targets: tuple[str, ...] = rules.ML_TARGETS
     max_iter: int = 20
     features: int = 1 << 18
-    regularization: float = 0.01
+    candidates: tuple[float, ...] = (0.01, 0.1)
+    bins: int = 10
     validation_share: float = rules.VALIDATION_SHARE
     seed: int = rules.SPLIT_SEED
-    metrics: dict[str, dict[str, float]] = field(default_factory=dict, compare=False)
+
+
+@dataclass(frozen=True)
+class Imputer:
+    """A text classifier of one column: features that columns share, the classifier, the probability that a confidence in
+    each bin is worth (None where the validation part had none), and the figures of the chosen candidate."""
+
+    features: PipelineModel
+    classifier: PipelineModel
+    worth: tuple[float | None, ...]
+    metrics: dict[str, float]
 
 
 # ----------------------------------------------------------------- splitting
@@ -110,91 +122,205 @@ def index_labels(df: DataFrame, column: str) -> StringIndexerModel:
     return indexer.fit(df.select(column))
 
 
-def fit_imputer(train: DataFrame, column: str, text: str, config: ImputeConfig = ImputeConfig()) -> PipelineModel:
-    """Text classifier for one target column over whole texts (hashed TF-IDF, logistic regression)."""
-    indexer = index_labels(train, column)
+def fit_features(rows: DataFrame, text: str, config: ImputeConfig = ImputeConfig()) -> PipelineModel:
+    """Hashed TF-IDF over whole texts, fitted once for all columns."""
     words = RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"[\p{L}\p{N}]+", gaps=False)
     counts = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=config.features)
     weights = IDF(inputCol="_counts", outputCol="_features", minDocFreq=1)
+    return Pipeline(stages=[words, counts, weights]).fit(rows.select(text))
+
+
+def with_features(model: PipelineModel, df: DataFrame) -> DataFrame:
+    return model.transform(df).drop("_words", "_counts")
+
+
+def fit_imputer(train: DataFrame, column: str, regularization: float, config: ImputeConfig = ImputeConfig()) -> PipelineModel:
+    """Logistic regression for one column on rows with features."""
+    indexer = index_labels(train, column)
     classifier = LogisticRegression(
         featuresCol="_features", labelCol="_label", probabilityCol="_probability", predictionCol="_prediction",
-        rawPredictionCol="_raw", maxIter=config.max_iter, regParam=config.regularization)
+        rawPredictionCol="_raw", maxIter=config.max_iter, regParam=regularization)
     names = IndexToString(inputCol="_prediction", outputCol="label", labels=indexer.labels)
-    fitted = Pipeline(stages=[indexer, words, counts, weights, classifier]).fit(train.select(text, column))
-    return PipelineModel(fitted.stages + [names])
+    return PipelineModel([classifier.fit(indexer.transform(train.select("_features", column))), names])
 
 
-def predict_imputer(
-    model: PipelineModel, df: DataFrame, min_confidence: float = rules.MIN_CONFIDENCE,
-) -> DataFrame:
-    """Rows with ``label``, ``confidence`` (probability of the label) and ``accepted``."""
-    # The label index is only needed for training.
-    scoring = PipelineModel([s for s in model.stages if not isinstance(s, StringIndexerModel)])
-    scored = scoring.transform(df)
-    confidence = F.array_max(vector_to_array("_probability"))
-    return scored.withColumn("confidence", confidence).select(
-        *df.columns, "label", "confidence", accepted(F.col("confidence"), min_confidence).alias("accepted"))
+def _classified(classifier: PipelineModel, df: DataFrame) -> DataFrame:
+    """Rows with features and ``label`` and ``confidence``, the classifier's probability of the label."""
+    return classifier.transform(df).withColumn("confidence", F.array_max(vector_to_array("_probability"))).drop(
+        "_probability", "_prediction", "_raw")
+
 
+def predict_imputer(model: Imputer, df: DataFrame, min_confidence: float = rules.MIN_CONFIDENCE) -> DataFrame:
+    """Rows with ``label``, ``confidence``, ``probability`` (what that confidence was worth on the validation part) and ``accepted``.
 
-def accepted(confidence: Column, threshold: float) -> Column:
-    return confidence >= F.lit(threshold)
+    ``df`` has the texts as ``_text``, or ``_features`` that were computed before.
+    """
+    rows = df if "_features" in df.columns else with_features(model.features, df)
+    found = _classified(model.classifier, rows).withColumn("probability", calibrated(F.col("confidence"), model.worth))
+    return found.select(*df.columns, "label", "confidence", "probability",
+                        accepted(F.col("probability"), min_confidence).alias("accepted"))
+
+
+def accepted(probability: Column, threshold: float) -> Column:
+    return probability >= F.lit(threshold)
+
+
+# ------------------------------------------------- selection and calibration
+def candidate_figures(predictions: DataFrame, by: tuple[str, ...] = ("column", "candidate")) -> DataFrame:
+    """Rows, accuracy and weighted F1 of each candidate, from its predictions (``actual``, ``label``): one aggregate for all."""
+    pairs = predictions.where("actual IS NOT NULL").groupBy(*by, "actual", "label").agg(F.count(F.lit(1)).alias("n"))
+    actual = pairs.groupBy(*by, F.col("actual").alias("name")).agg(
+        F.sum("n").alias("there"), F.sum(F.when(F.col("actual") == F.col("label"), F.col("n")).otherwise(0)).alias("hit"))
+    said = pairs.groupBy(*by, F.col("label").alias("name")).agg(F.sum("n").alias("said"))
+    both = actual.join(said, [*by, "name"], "left")
+    f1 = F.col("there") * 2 * F.col("hit") / (F.col("there") + F.coalesce("said", F.lit(0)))
+    return both.groupBy(*by).agg(F.sum("there").alias("rows"), (F.sum("hit") / F.sum("there")).alias("accuracy"),
+                                 (F.sum(f1) / F.sum("there")).alias("f1"))
+
+
+def best_candidates(figures: DataFrame) -> DataFrame:
+    """The candidate of each column with the highest weighted F1; ties go to the smaller one."""
+    return figures.groupBy("column").agg(F.max_by(F.struct("candidate", "rows", "accuracy", "f1"), F.struct("f1", -F.col("candidate"))).alias("best")) \
+        .select("column", "best.*")
+
+
+def reliability(predictions: DataFrame, bins: int, by: tuple[str, ...] = ("column", "candidate")) -> DataFrame:
+    """How often predictions are right, by bins of their confidence: rows, hits and mean confidence."""
+    place = F.least(F.floor(F.col("confidence") * bins), F.lit(bins - 1)).cast("int")
+    return predictions.where("actual IS NOT NULL AND confidence IS NOT NULL").groupBy(*by, place.alias("bin")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("actual") == F.col("label")).alias("hits"), F.avg("confidence").alias("confidence"))
+
+
+def worth_of(counts: dict[int, tuple[int, int, float]], bins: int) -> tuple[float | None, ...]:
+    """Probability of each bin from (rows, hits, mean confidence): hits with the confidence as one more row, and never falling.
+
+    Neighbouring bins that would fall are pooled. At most ``bins`` numbers are handled.
+    """
+    pools: list[list] = []
+    for bin_ in sorted(counts):
+        rows, hits, mean = counts[bin_]
+        pools.append([[bin_], rows + 1, hits + mean])
+        while len(pools) > 1 and pools[-2][2] / pools[-2][1] > pools[-1][2] / pools[-1][1]:
+            names, rows, hits = pools.pop()
+            pools[-1] = [pools[-1][0] + names, pools[-1][1] + rows, pools[-1][2] + hits]
+    found = {bin_: hits / rows for names, rows, hits in pools for bin_ in names}
+    return tuple(found.get(b) for b in range(bins))
+
+
+def calibrated(confidence: Column, worth: tuple[float | None, ...]) -> Column:
+    """The probability of a confidence's bin; the confidence itself where the validation part had no such row."""
+    table = F.array(*[F.lit(w).cast("double") for w in worth])
+    place = F.least(F.floor(confidence * len(worth)), F.lit(len(worth) - 1)).cast("int")
+    return F.when(confidence.isNotNull(), F.coalesce(F.get(table, place), confidence))
 
 
 def classification_metrics(predictions: DataFrame, column: str, labels: list[str]) -> dict[str, float]:
     """Accuracy and weighted F1 of predicted against true labels."""
-    positions = F.array(*[F.lit(label) for label in labels])
-    counts = predictions.where(F.col(column).isin(*labels)).groupBy("label", column).agg(
-        F.count(F.lit(1)).cast("double").alias("rows")).select(
-        (F.array_position(positions, F.col("label")) - 1).cast("double").alias("predicted"),
-        (F.array_position(positions, F.col(column)) - 1).cast("double").alias("actual"), "rows")
-    # One row per pair of labels, so both figures come from a single pass over the predictions.
-    pairs = predictions.sparkSession.createDataFrame(counts.collect(), counts.schema)
-    evaluator = MulticlassClassificationEvaluator(predictionCol="predicted", labelCol="actual", weightCol="rows")
-    return {name: evaluator.evaluate(pairs, {evaluator.metricName: name}) for name in ("accuracy", "f1")}
+    known = predictions.where(F.col(column).isin(*labels)).select(F.col(column).alias("actual"), "label")
+    row = candidate_figures(known.withColumn("all", F.lit(0)), ("all",)).first()
+    return {name: row[name] if row else 0.0 for name in ("accuracy", "f1")}
+
 
+# ------------------------------------------------------------ stored models
+_ABOUT = "worth array<double>, metrics map<string,double>"
 
-def save_imputer(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
 
+def save_imputer(model: Imputer, path: str) -> None:
+    """Store a model; the file that says what it is comes last."""
+    model.features.write().overwrite().save(f"{path}/features")
+    model.classifier.write().overwrite().save(f"{path}/classifier")
+    spark = SparkSession.active()
+    spark.createDataFrame([(list(model.worth), model.metrics)], _ABOUT).coalesce(1).write.mode("overwrite").json(
+        f"{path}/about", ignoreNullFields=False)
 
-def read_imputer(spark: SparkSession, path: str) -> PipelineModel | None:
+
+def read_imputer(spark: SparkSession, path: str) -> Imputer | None:
     """The stored model, or None if there is none at the path."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    location = hadoop.Path(str(PurePosixPath(path) / "metadata") if "://" not in path else f"{path}/metadata")
-    if not location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
+    try:
+        about = spark.read.schema(_ABOUT).json(f"{path}/about").first()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return PipelineModel.load(path)
+    return Imputer(PipelineModel.load(f"{path}/features"), PipelineModel.load(f"{path}/classifier"), tuple(about["worth"]), about["metrics"])
+
 
+def validated_fits(complete: DataFrame, columns: Iterable[str], key: str, config: ImputeConfig = ImputeConfig(),
+                   ) -> tuple[PipelineModel, dict[tuple[str, float], PipelineModel], DataFrame]:
+    """The shared features, a classifier for every column and candidate, and their stored predictions of the validation parts.
 
-def train_column(
-    complete: DataFrame, column: str, key: str, config: ImputeConfig = ImputeConfig(),
-) -> tuple[PipelineModel, dict[str, float]]:
-    """Fit on the training part, measure on the validation part."""
+    Predictions: ``column``, ``candidate``, ``key``, ``actual``, ``label``, ``confidence``. Labels that the training part lacks
+    are not judged. Texts are tokenised and weighted once for all columns; each column has its own stratified split, marked on
+    narrow rows, and one written table holds features and all marks.
+    """
+    columns = list(columns)
     text = model_text(F.col("title"), F.col("description"), rules.NO_TEXT)
-    labelled = complete.select(F.col(key), F.col(column).cast("string").alias(column), text.alias("_text"))
-    # Training reads the rows several times: a written table cuts the lineage, and a pass that
-    # needs the labels only reads the labels only.
-    marked = stratified_split(labelled, column, key, config.validation_share, config.seed)
-    split = written(marked, "training")
-    model = fit_imputer(split.where("NOT is_validation"), column, "_text", config)
-    checked = predict_imputer(model, split.where("is_validation"), config.min_confidence)
-    labels = next(s.labels for s in model.stages if isinstance(s, StringIndexerModel))
-    metrics = classification_metrics(checked, column, labels)
-    config.metrics[column] = metrics
+    rows = complete.select(F.col(key).alias("_key"), *[F.col(c).cast("string").alias(c) for c in columns], text.alias("_text"))
+    rows = written(rows.withColumn("_row", F.monotonically_increasing_id()), "training")
+    features = fit_features(rows, "_text", config)
+    split = with_features(features, rows).drop("_text")
+    for column in columns:
+        marked = stratified_split(rows.select("_row", "_key", column), column, "_key", config.validation_share, config.seed, f"_valid_{column}")
+        split = split.join(marked.select("_row", f"_valid_{column}"), "_row")
+    split = written(split, "training-split")
+    fits, found = {}, []
+    for column in columns:
+        valid = F.col(f"_valid_{column}")
+        train, check = split.where(~valid), split.where(valid)
+        check = index_labels(train, column).transform(check.select("_key", column, "_features"))  # drops labels unknown to it
+        for candidate in config.candidates:
+            fits[column, candidate] = fit_imputer(train, column, candidate, config)
+            found.append(_classified(fits[column, candidate], check).select(
+                F.lit(column).alias("column"), F.lit(candidate).alias("candidate"), F.col("_key").cast("string").alias("key"),
+                F.col(column).alias("actual"), "label", "confidence"))
+    return features, fits, written(reduce(DataFrame.unionByName, found), "validation")
+
+
+def train_columns(complete: DataFrame, columns: Iterable[str], key: str, config: ImputeConfig = ImputeConfig()) -> dict[str, Imputer]:
+    """For each column the candidate that predicts its validation part best, calibrated there."""
+    features, fits, predictions = validated_fits(complete, columns, key, config)
+    # Both tables have a row for each column and candidate, and bin.
+    best = {r["column"]: r for r in best_candidates(candidate_figures(predictions)).collect()}
+    bins: dict[tuple[str, float], dict[int, tuple[int, int, float]]] = {}
+    for r in reliability(predictions, config.bins).collect():
+        bins.setdefault((r["column"], r["candidate"]), {})[r["bin"]] = (r["rows"], r["hits"], r["confidence"])
+    found = {}
+    for column in dict.fromkeys(c for c, _ in fits):
+        row = best.get(column)
+        candidate = row["candidate"] if row else config.candidates[0]
+        metrics = {"accuracy": row["accuracy"], "f1": row["f1"]} if row else {}
+        found[column] = Imputer(features, fits[column, candidate], worth_of(bins.get((column, candidate), {}), config.bins), metrics)
+    return found
+
+
+def train_column(complete: DataFrame, column: str, key: str, config: ImputeConfig = ImputeConfig()) -> tuple[Imputer, dict[str, float]]:
+    """Model of one column with its figures; stored below ``models_dir`` if that is set."""
+    model = train_columns(complete, [column], key, config)[column]
     if config.models_dir:
         save_imputer(model, f"{config.models_dir}/{column}")
-    return model, metrics
+    return model, model.metrics
 
 
-def impute_column(model: PipelineModel, df: DataFrame, column: str, config: ImputeConfig) -> DataFrame:
-    """Rows with ``column`` set to the accepted prediction, NULL where there is none.
+def impute_columns(models: dict[str, Imputer], df: DataFrame, config: ImputeConfig) -> DataFrame:
+    """Rows with each column set to its accepted prediction, NULL where there is none.
 
-    Needs only the row itself, so several columns are imputed in one pass over the texts.
+    Needs only the row itself. Models that were trained together share their features, which are computed once.
     """
-    others = [c for c in df.columns if c != column]
-    text = model_text(F.col("title"), F.col("description"), rules.NO_TEXT)
-    predicted = predict_imputer(model, df.select(*others, text.alias("_text")), config.min_confidence)
-    return predicted.select(*others, F.when(F.col("accepted"), F.col("label")).alias(column))
+    if not models:
+        return df
+    columns, text = df.columns, model_text(F.col("title"), F.col("description"), rules.NO_TEXT)
+    rows, last = df.withColumn("_text", text), None
+    for column, model in models.items():
+        if last is None or model.features.uid != last:
+            rows, last = with_features(model.features, rows.drop("_features")), model.features.uid
+        rows = predict_imputer(model, rows.drop(column), config.min_confidence).withColumn(
+            column, F.when(F.col("accepted"), F.col("label"))).drop("label", "confidence", "probability", "accepted")
+    return rows.select(*columns)
+
+
+def impute_column(model: Imputer, df: DataFrame, column: str, config: ImputeConfig) -> DataFrame:
+    """Rows with ``column`` set to the accepted prediction, NULL where there is none."""
+    return impute_columns({column: model}, df, config)
 
 
 # -------------------------------------------------------------- rule targets
@@ -241,9 +367,8 @@ def run_full_imputation(df: DataFrame, key: str, config: ImputeConfig = ImputeCo
     predicted, columns = incomplete.withColumns({f"_given_{c}": F.col(c) for c in figures}), []
     if complete_rows >= config.min_complete_rows:
         columns += [c for c in config.ml_targets if c in lacking]
-        for column in columns:
-            model, _ = train_column(complete, column, key, config)
-            predicted = impute_column(model, predicted, column, config)
+        if columns:
+            predicted = impute_columns(train_columns(complete, columns, key, config), predicted, config)
     if "extracted_skills" in lacking:
         predicted, columns = impute_skills(predicted), [*columns, "extracted_skills"]
     salaries = [c for c in ("extracted_salary_min", "extracted_salary_max") if c in lacking]
@@ -267,32 +392,69 @@ def snapshot_training_csv(df: DataFrame, path: str) -> None:
     write_enriched_csv(df, path)
 
 
+def _model_runs(config: ImputeConfig) -> Runs:
+    return Runs(config.models_dir, "columns array<string>, complete_rows long")
+
+
 def train_job(offers: DataFrame, enriched: DataFrame, config: ImputeConfig, snapshot: str | None = None) -> bool:
-    """Train and store a model per classified column; False without enough complete rows."""
+    """Train a model per classified column and publish them as one run; False without enough complete rows.
+
+    The run is committed when all models are stored: until then, and if it fails, the models of the run before are used.
+    """
     extract = read_offers_with_enrichment(offers, enriched)
     if snapshot:
         snapshot_training_csv(extract, snapshot)
     # Written once for the count and all models.
     complete = written(split_complete(extract, config.targets)[0], "complete")
-    if complete.count() < config.min_complete_rows:
+    rows = complete.count()
+    if rows < config.min_complete_rows:
         return False
-    for column in config.ml_targets:
-        train_column(complete, column, "id", config)
+
+    def write(folder: str) -> dict:
+        for column, model in train_columns(complete, config.ml_targets, "id", config).items():
+            save_imputer(model, f"{folder}/{column}")
+        return {"columns": list(config.ml_targets), "complete_rows": rows}
+
+    _model_runs(config).publish(offers.sparkSession, write)
     return True
 
 
+def published_models(spark: SparkSession, config: ImputeConfig) -> dict[str, Imputer]:
+    """The models of the newest committed run; none if there is no run."""
+    runs = _model_runs(config)
+    newest = runs.newest(spark)
+    return {} if newest is None else {c: read_imputer(spark, f"{runs.folder(newest['number'])}/{c}") for c in newest["columns"]}
+
+
 def predict_job(offers: DataFrame, enriched: DataFrame, config: ImputeConfig, as_of: str) -> DataFrame:
     """The enrichments after predicting all rows without a sector."""
     extract = not_yet_enriched(read_offers_with_enrichment(offers, enriched))
     # Rule-based columns are recomputed for these rows, whatever they held before.
-    predicted = impute_salary(impute_skills(extract))
-    for column in config.ml_targets:
-        model = read_imputer(offers.sparkSession, f"{config.models_dir}/{column}")
-        if model is not None:
-            predicted = impute_column(model, predicted, column, config)
+    predicted = impute_columns(published_models(offers.sparkSession, config), impute_salary(impute_skills(extract)), config)
     return patch_enrichment(enriched, predicted, as_of)
 
 
-def full_job(offers: DataFrame, enriched: DataFrame, config: ImputeConfig, as_of: str) -> DataFrame | None:
-    """Train, then predict; None if there was not enough to train on."""
-    return predict_job(offers, enriched, config, as_of) if train_job(offers, enriched, config) else None
+def full_job(offers: DataFrame, enriched: DataFrame, config: ImputeConfig, as_of: str, path: str | None = None) -> DataFrame | None:
+    """Train, then predict; None if there was not enough to train on.
+
+    With a ``path`` the enrichments are published there as a run, which counts once it is written as a whole, and read back.
+    """
+    if not train_job(offers, enriched, config):
+        return None
+    result = predict_job(offers, enriched, config, as_of)
+    if path is None:
+        return result
+    spark, runs = offers.sparkSession, Runs(path, "rows long")
+
+    def write(folder: str) -> dict:
+        result.write.mode("overwrite").parquet(folder)
+        return {"rows": spark.read.schema(result.schema).parquet(folder).count()}
+
+    return spark.read.schema(result.schema).parquet(runs.folder(runs.publish(spark, write)))
+
+
+def published_rows(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The newest published enrichments, or None."""
+    runs = Runs(path, "rows long")
+    newest = runs.newest(spark)
+    return None if newest is None else spark.read.schema(schema).parquet(runs.folder(newest["number"]))

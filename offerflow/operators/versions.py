@@ -33,6 +33,30 @@ def commit(spark: SparkSession, path: str, number: int, row: dict, schema: str)
     one.write.mode("overwrite").json(f"{path}/_commits/number={number}")
 
 
+@dataclass(frozen=True)
+class Runs:
+    """A folder of runs, of which the newest committed one counts: ``run=N`` holds its files, its commit says what they are."""
+
+    path: str
+    schema: str
+
+    def newest(self, spark: SparkSession) -> dict | None:
+        """The newest commit with its ``number``, or None."""
+        commits = read_commits(spark, self.path, self.schema)
+        found = None if commits is None else commits.orderBy(F.desc("number")).first()
+        return None if found is None else found.asDict()
+
+    def folder(self, number: int) -> str:
+        return f"{self.path}/run={number}"
+
+    def publish(self, spark: SparkSession, write: Callable[[str], dict]) -> int:
+        """``write`` fills the folder of the next run and returns its commit; nothing is visible before that is written."""
+        last = self.newest(spark)
+        number = 0 if last is None else last["number"] + 1
+        commit(spark, self.path, number, write(self.folder(number)), self.schema)
+        return number
+
+
 @dataclass(frozen=True)
 class BucketedTable:
     """A table with a unique key, stored by a hash of the key; a fold rewrites the buckets that it touches and no others.

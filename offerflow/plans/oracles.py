@@ -800,3 +800,54 @@ SELECT md5(url) AS id, url, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts
 ORACLES["incremental_enrich_rest"] = _with(f"""
 SELECT id AS offre_id, sector, contract_type FROM ({_REPORT.replace("SELECT", "SELECT t.id AS id,", 1)}) r
 WHERE id NOT IN (SELECT offre_id FROM enriched WHERE offre_id IS NOT NULL)""", *_REPORT_TABLES, "enriched")
+
+# ------------------------------------------- selection, calibration, jobs
+_SAID = """said AS (SELECT 'lang' AS "column", c.candidate, lang AS actual, (doc_id % 97)::DOUBLE / 97 AS confidence,
+  CASE WHEN doc_id % c.every = 0 THEN 'en' WHEN doc_id % 97 < c.every THEN 'fr' ELSE lang END AS label
+  FROM documents, (VALUES (0.01::DOUBLE, 5), (0.1::DOUBLE, 9), (1.0::DOUBLE, 9)) c(candidate, every))"""
+ORACLES["candidate_metrics"] = f"""
+WITH {_SAID},
+a AS (SELECT candidate, actual AS name, count(*) AS there, count(*) FILTER (WHERE actual = label) AS hit FROM said GROUP BY ALL),
+l AS (SELECT candidate, label AS name, count(*) AS said FROM said GROUP BY ALL),
+f AS (SELECT candidate, sum(there)::BIGINT AS "rows", sum(hit) / sum(there) AS accuracy,
+  sum(there * 2 * hit / (there + coalesce(said, 0))) / sum(there) AS f1 FROM a LEFT JOIN l USING (candidate, name) GROUP BY candidate)
+SELECT 'lang' AS "column", candidate, "rows", round(accuracy, 9) AS accuracy, round(f1, 9) AS f1,
+ row_number() OVER (ORDER BY f1 DESC, candidate) = 1 AS chosen FROM f"""
+# The pooled probability of a bin: the largest over its beginnings of the smallest over its ends of the mean between them.
+ORACLES["candidate_reliability"] = f"""
+WITH {_SAID},
+b AS (SELECT least(floor(confidence * 10), 9)::INT AS bin, count(*) AS "rows", count(*) FILTER (WHERE actual = label) AS hits,
+  avg(confidence) AS confidence FROM said WHERE candidate = 0.1 GROUP BY ALL),
+spans AS (SELECT x.bin AS low, y.bin AS high, sum(z.hits + z.confidence) / sum(z."rows" + 1) AS mean
+  FROM b x JOIN b y ON x.bin <= y.bin JOIN b z ON z.bin BETWEEN x.bin AND y.bin GROUP BY ALL),
+worth AS (SELECT bin, max(mean) AS probability FROM (
+  SELECT b.bin, s.low, min(s.mean) AS mean FROM b JOIN spans s ON s.low <= b.bin AND s.high >= b.bin GROUP BY ALL) GROUP BY bin)
+SELECT b.bin, "rows", hits, round(confidence, 9) AS confidence, round(probability, 9) AS probability, probability >= 0.7 AS accepted
+FROM b JOIN worth USING (bin)"""
+ORACLES["acceptance_of_predictions"] = f"""
+WITH {_SAID}
+SELECT candidate, count(*) FILTER (WHERE confidence >= 0.7) AS accepted, count(*) AS total,
+ round(count(*) FILTER (WHERE confidence >= 0.7)::DOUBLE / count(*), 9) AS rate FROM said GROUP BY candidate"""
+ORACLES["model_selection"] = """
+SELECT c AS "column", 2::BIGINT AS candidates, ceil(count(*) * 0.2)::BIGINT AS "rows", true AS agree, true AS best_is_best, true AS learned
+FROM documents d JOIN labels l USING (doc_id), (VALUES ('quality'), ('language')) t(c) WHERE l.quality IS NOT NULL GROUP BY c"""
+ORACLES["train_job"] = _with(f"""
+, n AS (SELECT count(*) AS n FROM ({_EXTRACT}) WHERE {' AND '.join(f'{c} IS NOT NULL' for c in rules.TARGET_COLUMNS)})
+SELECT n AS least, true AS trained, 'extracted_contract_type,extracted_sector,job_level,job_type' AS models, true AS calibrated FROM n
+UNION ALL SELECT n + 1, false, '', true FROM n""", "offers", "enriched").replace(") \n, n AS", "), n AS", 1)
+_JOB = f"""
+, asked AS (SELECT DISTINCT id FROM ({_EXTRACT}) WHERE extracted_sector IS NULL),
+newest AS (SELECT id FROM enriched WHERE offre_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY offre_id ORDER BY processed_at DESC, id DESC) = 1),
+skill_counts AS (SELECT id, count(*) AS skills FROM found GROUP BY id),
+rows_ AS (
+ SELECT e.offre_id, a.id IS NOT NULL AS changed, e.processing_version AS version, e.extracted_sector, e.extracted_skills, s.skills
+ FROM enriched e LEFT JOIN asked a ON a.id = e.offre_id AND e.id IN (SELECT id FROM newest) LEFT JOIN skill_counts s ON s.id = a.id
+ UNION ALL
+ SELECT a.id, true, '1.0', NULL, NULL, s.skills FROM asked a LEFT JOIN skill_counts s ON s.id = a.id
+ WHERE a.id NOT IN (SELECT offre_id FROM enriched WHERE offre_id IS NOT NULL))
+SELECT offre_id, changed, version, CASE WHEN NOT changed THEN extracted_sector END AS old_sector,
+ CASE WHEN changed THEN coalesce(skills, len(extracted_skills))::INT END AS skills FROM rows_"""
+ORACLES["predict_job"] = _with(_JOB, "offers", "enriched", "texts", *_SKILLS[2:]).replace(") \n, asked", "), asked", 1)
+ORACLES["full_job"] = ORACLES["predict_job"]
+ORACLES["ensured_table"] = _with("""
+SELECT spider_source, count(*) AS offers, count(posted_date) AS dated, max(created_text) AS newest FROM offers GROUP BY spider_source""", "offers")

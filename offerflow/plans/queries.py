@@ -883,7 +883,7 @@ def imputation_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.agg(
         F.count(F.lit(1)).alias("predicted"), F.countDistinct("doc_id").alias("documents"),
         F.bool_and(F.col("label").isin("0", "1")).alias("known_labels"),
-        F.bool_and(F.col("accepted") == (F.col("confidence") >= 0.7)).alias("accepted_by_confidence"),
+        F.bool_and(F.col("accepted") == (F.col("probability") >= 0.7)).alias("accepted_by_confidence"),
         F.bool_and(F.col("confidence").between(0.5, 1.0)).alias("confidence_of_best"))
 
 
@@ -907,6 +907,119 @@ def full_imputation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return figures.select("column", "before", (F.col("improvement") >= 0).alias("kept")).withColumn("rows", F.lit(filled.count()))
 
 
+def _judged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages as three candidates say them: each errs on other documents, and the surer the more often it is right."""
+    docs, number = fx.table(spark, sf_dir, "documents"), F.col("doc_id")
+    says = [F.struct(F.lit(c).alias("candidate"), F.when(number % every == 0, "en").when(number % 97 < every, "fr").otherwise(F.col("lang")).alias("label"))
+            for c, every in ((0.01, 5), (0.1, 9), (1.0, 9))]
+    return docs.select(F.lit("lang").alias("column"), F.col("lang").alias("actual"), (number % 97 / 97).alias("confidence"),
+                       F.explode(F.array(*says)).alias("said")).select("column", "actual", "confidence", "said.*")
+
+
+@query
+def candidate_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures of three candidates from their predictions, and which of them is chosen."""
+    figures = impute.candidate_figures(_judged_documents(spark, sf_dir))
+    best = impute.best_candidates(figures).select("column", F.col("candidate").alias("best"))
+    return figures.join(best, "column").select("column", "candidate", "rows", F.round("accuracy", 9).alias("accuracy"),
+                                               F.round("f1", 9).alias("f1"), (F.col("candidate") == F.col("best")).alias("chosen"))
+
+
+@query
+def candidate_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bins of confidence with their hits, the probability that each is worth, and how many predictions that accepts."""
+    rows, bins = _judged_documents(spark, sf_dir).where("candidate = 0.1"), 10
+    found = impute.reliability(rows, bins)
+    worth = impute.worth_of({r["bin"]: (r["rows"], r["hits"], r["confidence"]) for r in found.collect()}, bins)
+    probability = impute.calibrated((F.col("bin") + 0.5) / bins, worth)
+    return found.select("bin", "rows", "hits", F.round("confidence", 9).alias("confidence"), F.round(probability, 9).alias("probability"),
+                        impute.accepted(probability, 0.7).alias("accepted"))
+
+
+@query
+def acceptance_of_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of the predictions of each candidate that reach the threshold."""
+    rows = _judged_documents(spark, sf_dir).withColumn("accepted", impute.accepted(F.col("confidence"), rules.MIN_CONFIDENCE))
+    shares = [stats.acceptance_rate(rows.where(F.col("candidate") == c)).withColumn("candidate", F.lit(c)) for c in (0.01, 0.1, 1.0)]
+    return reduce(DataFrame.unionByName, shares).select("candidate", "accepted", "total", F.round("rate", 9).alias("rate"))
+
+
+@query
+def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classifiers of two columns: size of the stored validation predictions, and whether their figures are those that plain SQL
+    finds in them, the best of them chosen, and its accuracy above that of the commonest label by no less than -0.05."""
+    complete = impute.split_complete(_labelled_documents(spark, sf_dir), ["quality"])[0].withColumn("language", F.col("lang"))
+    config = impute.ImputeConfig(features=1 << 14, max_iter=10)
+    _, _, found = impute.validated_fits(complete, ["quality", "language"], "doc_id", config)
+    again = spark.sql("""
+        WITH p AS (SELECT * FROM {found}), n AS (SELECT column, candidate, actual AS name, count(*) AS there,
+          count_if(actual = label) AS hit FROM p GROUP BY ALL),
+        s AS (SELECT column, candidate, label AS name, count(*) AS said FROM p GROUP BY ALL)
+        SELECT n.column, n.candidate, sum(hit) / sum(there) AS accuracy, max(there) / sum(there) AS commonest,
+          sum(there * 2 * hit / (there + coalesce(said, 0))) / sum(there) AS f1
+        FROM n LEFT JOIN s USING (column, candidate, name) GROUP BY n.column, n.candidate""", found=found)
+    figures = impute.candidate_figures(found)
+    best = impute.best_candidates(figures).select("column", F.col("f1").alias("best_f1"), F.col("accuracy").alias("best_accuracy"))
+    both = figures.join(again.withColumnsRenamed({"accuracy": "accuracy2", "f1": "f12"}), ["column", "candidate"]).join(best, "column")
+    return both.groupBy("column").agg(
+        F.count(F.lit(1)).alias("candidates"), F.max("rows").alias("rows"),
+        F.bool_and((F.abs(F.col("accuracy") - F.col("accuracy2")) < 1e-9) & (F.abs(F.col("f1") - F.col("f12")) < 1e-9)).alias("agree"),
+        (F.max("f12") == F.max("best_f1")).alias("best_is_best"),
+        (F.max("best_accuracy") >= F.max("commonest") - 0.05).alias("learned"))
+
+
+def _quick(spark: SparkSession, least: int) -> impute.ImputeConfig:
+    return impute.ImputeConfig(models_dir=workdir.new_path(spark, "models"), min_complete_rows=least, features=1 << 12, max_iter=5,
+                               candidates=(0.1,))
+
+
+@query
+def train_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training with as many complete rows as are wanted, and with one too few: what is published, and what is used."""
+    offers, enriched = fx.offers(spark, sf_dir), fx.enriched(spark, sf_dir)
+    complete = impute.split_complete(_extract(spark, sf_dir))[0].count()
+    rows = []
+    for least in (complete, complete + 1):
+        config = _quick(spark, least)
+        trained = impute.train_job(offers, enriched, config)
+        models = impute.published_models(spark, config)
+        rows.append((least, trained, ",".join(sorted(models)), all(sum(v is not None for v in m.worth) > 0 for m in models.values())))
+    return spark.createDataFrame(rows, "least long, trained boolean, models string, calibrated boolean")
+
+
+def _after_job(rows: DataFrame) -> DataFrame:
+    changed = _time("processed_at") == fx.AS_OF
+    return rows.select("offre_id", changed.alias("changed"), F.col("processing_version").alias("version"), F.when(
+        ~changed, F.col("extracted_sector")).alias("old_sector"), F.when(changed, F.size("extracted_skills")).alias("skills"))
+
+
+@query
+def predict_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prediction without published models: the rows without a sector get what rules find, all others stay."""
+    result = impute.predict_job(fx.offers(spark, sf_dir), fx.enriched(spark, sf_dir), _quick(spark, 0), fx.AS_OF)
+    return _after_job(result)
+
+
+@query
+def full_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training, prediction and publication: the published rows as a later job reads them."""
+    offers, enriched = fx.offers(spark, sf_dir), fx.enriched(spark, sf_dir)
+    config, path = _quick(spark, 1), workdir.new_path(spark, "published")
+    impute.full_job(offers, enriched, config, fx.AS_OF, path)
+    return _after_job(impute.published_rows(spark, path, enriched.schema))
+
+
+@query
+def ensured_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The offers in a table that is created if it is missing: created once, filled, and asked for again."""
+    place = workdir.new_path(spark, "offers-table")
+    spark.sql("DROP TABLE IF EXISTS offers")  # what an earlier call in this session has left in the catalog
+    schemas.ensure_table(spark, "offers", place)
+    schemas.conform(fx.offers(spark, sf_dir), schemas.OFFERS).write.insertInto("offers")
+    return schemas.ensure_table(spark, "offers", place).groupBy("spider_source").agg(
+        F.count(F.lit(1)).alias("offers"), F.count("posted_date").alias("dated"), F.max(_time("created_at")).alias("newest"))
+
+
 # --------------------------------------------------------------- streaming
 def _document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = fx.table(spark, sf_dir, "documents").schema
