@@ -11,6 +11,7 @@ from offerflow import rules
 from offerflow.functions.dates import NTZ, day
 from offerflow.operators.enrich import enriched_inner_offers, offers_left_enriched
 from offerflow.operators.keyed import median_of_counts, single_row
+from offerflow.workdir import written
 
 TOP_SECTORS, TOP_SKILLS = 5, 10
 
@@ -75,9 +76,10 @@ def salary_summary(offers: DataFrame, enriched: DataFrame, as_of: str) -> DataFr
     bounds = enriched.select("offre_id", "extracted_salary_min", "extracted_salary_max").where(
         "extracted_salary_min IS NOT NULL AND extracted_salary_max IS NOT NULL")
     recent = _recent(bounds, offers, posted_since(as_of, months=1))
-    # One row per midpoint serves the averages and the median, so the join runs once.
+    # One row per midpoint serves the averages and the median. It is written, so the join runs once.
     midpoints = recent.groupBy(F.expr("(extracted_salary_min + extracted_salary_max) div 2").alias("_value")).agg(
         F.count(F.lit(1)).alias("_n"), F.sum("extracted_salary_min").alias("low"), F.sum("extracted_salary_max").alias("high"))
+    midpoints = written(midpoints, "midpoints")
     averages = midpoints.agg(F.try_divide(F.sum("low"), F.sum("_n")).alias("avg_min_salary"),
                              F.try_divide(F.sum("high"), F.sum("_n")).alias("avg_max_salary"))
     return single_row([averages, median_of_counts(midpoints, "median_salary")])

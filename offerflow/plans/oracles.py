@@ -851,3 +851,5 @@ ORACLES["predict_job"] = _with(_JOB, "offers", "enriched", "texts", *_SKILLS[2:]
 ORACLES["full_job"] = ORACLES["predict_job"]
 ORACLES["ensured_table"] = _with("""
 SELECT spider_source, count(*) AS offers, count(posted_date) AS dated, max(created_text) AS newest FROM offers GROUP BY spider_source""", "offers")
+ORACLES["split_files"] = _with("""
+SELECT f.format, id, title, md5(description) AS description, contract_type FROM offers, (VALUES ('csv'), ('json')) f(format)""", "offers")

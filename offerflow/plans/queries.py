@@ -736,13 +736,27 @@ def table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows.write.json(f"{base}/offers.json")
     rows.withColumn("description", F.lit("-")).write.option("header", True).option("escape", '"').csv(f"{base}/lines.csv")
     parts = []
-    # Descriptions hold line breaks, so their CSV is read in one piece; one line per record is split.
     for kind, file in (*((k, f"offers.{k}") for k in tables.FORMATS), ("csv lines", "lines.csv")):
         read = tables.read_offers(spark, f"{base}/{file}", rows.schema, multi_line=file == "offers.csv")
         parts.append(read.select(F.lit(kind).alias("format"), "id", "title", F.md5("description").alias("description")))
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offers written as one CSV file with line breaks in its cells and as one JSON array, and read back in splits."""
+    rows = fx.offers(spark, sf_dir).select("id", "title", "description", "contract_type")
+    base, first = workdir.new_path(spark, "split-files"), rows.agg(F.min("id")).first()[0]
+    rows.coalesce(1).write.option("header", True).option("escape", '"').csv(f"{base}/offers.csv")
+    lines = rows.select(F.concat(F.when(F.col("id") == first, "[").otherwise(","), F.to_json(F.struct("*"))).alias("value"),
+                        F.when(F.col("id") == first, 0).otherwise(1).alias("place"))
+    lines = lines.unionByName(spark.createDataFrame([("]", 2)], "value string, place int"))
+    lines.orderBy("place").select("value").coalesce(1).write.text(f"{base}/offers.json")
+    parts = [tables.read_offers(spark, f"{base}/offers.{kind}", rows.schema, multi_line=True).select(
+        F.lit(kind).alias("format"), "id", "title", F.md5("description").alias("description"), "contract_type") for kind in ("csv", "json")]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def stored_enrichments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enrichments appended in two runs to a table that is created once."""

@@ -10,6 +10,7 @@ from offerflow import rules, schemas
 from offerflow.functions.dates import moment
 from offerflow.operators.consolidate import new_offers
 from offerflow.operators.upsert import append_ids
+from offerflow.sources.multiline import read_csv, read_json
 
 FORMATS = ("csv", "json", "parquet")
 
@@ -19,13 +20,14 @@ def read_offers(spark: SparkSession, path: str, schema: T.StructType, multi_line
     """Offers from a CSV, JSON or Parquet path, chosen by its extension.
 
     Files are split: a CSV record and a JSON object take a line each. With ``multi_line`` CSV cells may hold
-    line breaks and a JSON file may be one array; then a task reads a whole file.
+    line breaks and a JSON file may be one array; files are split all the same, for two more exchanges of their lines.
     """
     kind = path.rsplit(".", 1)[-1].lower()
     if kind not in FORMATS:
         raise ValueError(f"unsupported format: {path}")
-    options = {"csv": {"header": True, "multiLine": multi_line, "escape": '"'},
-               "json": {"multiLine": multi_line}, "parquet": {}}
+    if multi_line and kind != "parquet":
+        return {"csv": read_csv, "json": read_json}[kind](spark, path, schema)
+    options = {"csv": {"header": True, "escape": '"'}, "json": {}, "parquet": {}}
     return spark.read.schema(schema).options(**options[kind]).format(kind).load(path)
 
 
