@@ -1,11 +1,12 @@
-"""Key phrases per offer."""
+"""Key phrases per offer, and the phrases of all offers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerflow.functions.phrases import with_phrases
+from offerflow.functions.phrases import candidate_phrases, with_phrases
+from offerflow.workdir import written
 
 
 def key_phrases(offers: DataFrame, key: str, text: str, out: str = "key_phrases") -> DataFrame:
@@ -14,3 +15,27 @@ def key_phrases(offers: DataFrame, key: str, text: str, out: str = "key_phrases"
     # The rows of an outer explode are filtered after it; a filter on the phrases would compute them twice.
     given = found.select(key, F.explode_outer(F.when(F.size("_ranked") > 0, F.array("_ranked"))).alias(out))
     return given.where(F.col(out).isNotNull())
+
+
+def corpus_phrases(offers: DataFrame, text: str) -> DataFrame:
+    """Every candidate phrase of the offers with ``n`` (occurrences inside longer ones included), ``longer`` and its C-value.
+
+    A phrase inside longer candidates counts for itself only as far as it is commoner than they are: its value is
+    log2(1 + words) x (n - mean n of the ``longer`` distinct candidates that hold it). Occurrences are counted before anything is
+    exchanged; from there on all steps are joins and sums over distinct phrases, of at most four words and nine shorter spans each.
+    """
+    found = offers.select(F.explode_outer(candidate_phrases(F.col(text))).alias("phrase")).where("phrase IS NOT NULL")
+    own = written(found.groupBy("phrase").agg(F.count(F.lit(1)).alias("own")), "phrases")
+    words = F.split("phrase", " ")
+    spans = F.flatten(F.transform(F.sequence(F.lit(1), F.size("words")), lambda begin: F.transform(
+        F.sequence(F.lit(1), F.size("words") - begin + 1), lambda size: F.array_join(F.slice("words", begin, size), " "))))
+    inside = own.withColumn("words", words).where(F.size("words") > 1).select(
+        F.col("phrase").alias("whole"), "own", F.explode(spans).alias("phrase")).where("phrase <> whole")
+    inside = inside.groupBy("phrase", "whole").agg(F.sum("own").alias("times"))
+    nested = inside.groupBy("phrase").agg(F.sum("times").alias("times"))
+    total = written(own.join(nested, "phrase", "left").select("phrase", (F.col("own") + F.coalesce("times", F.lit(0))).alias("n")), "phrase-totals")
+    above = inside.join(total.select(F.col("phrase").alias("whole"), "n"), "whole").groupBy("phrase").agg(
+        F.count(F.lit(1)).alias("longer"), F.sum("n").alias("above"))
+    worth = F.col("n") - F.coalesce(F.try_divide("above", "longer"), F.lit(0.0))
+    return total.join(above, "phrase", "left").select(
+        "phrase", "n", F.coalesce("longer", F.lit(0)).alias("longer"), F.round(F.log2(F.size(words) + 1) * worth, 6).alias("value"))

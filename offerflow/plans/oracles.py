@@ -853,3 +853,17 @@ ORACLES["ensured_table"] = _with("""
 SELECT spider_source, count(*) AS offers, count(posted_date) AS dated, max(created_text) AS newest FROM offers GROUP BY spider_source""", "offers")
 ORACLES["split_files"] = _with("""
 SELECT f.format, id, title, md5(description) AS description, contract_type FROM offers, (VALUES ('csv'), ('json')) f(format)""", "offers")
+ORACLES["overview_of_states"] = f"""
+SELECT month AS period, total_offers, avg_salary_min, avg_salary_max, most_common_contract, most_common_sector, true AS companies_close,
+ true AS locations_close, true AS median_close FROM ({ORACLES["job_market_overview"]})"""
+ORACLES["phrases_of_all_offers"] = _with("""
+, own AS (SELECT phrase, sum(n)::BIGINT AS own, string_split(phrase, ' ') AS words FROM phrases GROUP BY phrase),
+inside AS (SELECT phrase AS whole, own, array_to_string(words[a:b], ' ') AS phrase
+  FROM (SELECT *, unnest(range(a, len(words) + 1)) AS b FROM (SELECT *, unnest(range(1, len(words) + 1)) AS a FROM own))
+  WHERE b - a + 1 < len(words)),
+total AS (SELECT o.phrase, o.words, (own + coalesce((SELECT sum(own) FROM inside i WHERE i.phrase = o.phrase), 0))::BIGINT AS n FROM own o),
+held AS (SELECT i.phrase, count(*) AS longer, sum(t.n) AS above FROM (SELECT DISTINCT phrase, whole FROM inside) i
+  JOIN total t ON t.phrase = i.whole GROUP BY i.phrase)
+SELECT t.phrase, t.n, coalesce(h.longer, 0) AS longer, round(log2(len(words) + 1) * (t.n - coalesce(above::DOUBLE / h.longer, 0)), 6) AS value
+FROM total t LEFT JOIN held h ON h.phrase = t.phrase ORDER BY value DESC, t.phrase LIMIT 500""", "offers", "texts", "marked", "phrases").replace(
+    ") \n, own", "), own", 1)

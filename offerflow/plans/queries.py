@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from offerflow import rules, schemas, workdir
 from offerflow.functions import contract, dates, salary, semantics, skills
 from offerflow.functions import text as tx
-from offerflow.operators import consolidate, enrich, impute, report, stats, upsert
-from offerflow.operators.key_phrases import key_phrases
+from offerflow.operators import consolidate, enrich, impute, report, states, stats, upsert
+from offerflow.operators.key_phrases import corpus_phrases, key_phrases
 from offerflow.operators.keyed import exact_median, first_per_key
 from offerflow.operators.versions import BucketedTable
 from offerflow.plans import fixture as fx
@@ -270,6 +270,33 @@ def job_market_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "most_common_contract", "most_common_sector")
 
 
+@query
+def overview_of_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The market overview merged from daily states that two batches of offers have left, the second with offers of the same days;
+    estimates are held against the offers themselves."""
+    offers, enriched, path = fx.offers(spark, sf_dir), fx.enriched(spark, sf_dir), workdir.new_path(spark, "states")
+    for batch in (0, 1):
+        states.append_states(offers.where(F.col("id").cast("long") % 2 == batch), enriched, path, batch)
+    since = stats.posted_since(fx.AS_OF, months=12)
+    month = F.trunc("day", "month")
+    merged = states.overview_of_states(spark, path, month, F.col("day") >= F.add_months(dates.day(fx.AS_OF), -12))
+    exact = stats.job_market_overview(offers, enriched, fx.AS_OF).select(F.col("month").alias("period"), "unique_companies", "unique_locations")
+    rows = enrich.offers_left_enriched(offers.where(since).select("id", F.trunc("posted_date", "month").alias("period")), enriched)
+    middle = F.expr("(extracted_salary_min + extracted_salary_max) div 2")
+    ranks = rows.join(merged.select("period", "median_salary"), "period").groupBy("period").agg(
+        (F.count_if(middle < F.col("median_salary")) / F.count(middle)).alias("below"), (F.count_if(middle <= F.col("median_salary")) / F.count(middle)).alias("upto"))
+
+    def close(estimate: str, truth: str) -> Column:
+        return F.abs(F.col(estimate) - F.col(truth)) <= F.greatest(F.lit(1), 0.05 * F.col(truth))
+
+    both = merged.join(exact, "period").join(ranks, "period", "left")
+    return both.select(
+        _day("period"), "total_offers", F.round("avg_salary_min", 3).alias("avg_salary_min"), F.round("avg_salary_max", 3).alias("avg_salary_max"),
+        "most_common_contract", "most_common_sector", close("companies", "unique_companies").alias("companies_close"),
+        close("locations", "unique_locations").alias("locations_close"),
+        F.coalesce((F.col("below") <= 0.53) & (F.col("upto") >= 0.47), F.lit(True)).alias("median_close"))
+
+
 @query
 def exact_median_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same exact median over order prices in whole units."""
@@ -409,6 +436,13 @@ def key_phrases_of_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", _list("key_phrases").alias("key_phrases"))
 
 
+@query
+def phrases_of_all_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 500 phrases of the highest C-value over all offers."""
+    found = corpus_phrases(_texts(spark, sf_dir).select("txt"), "txt")
+    return found.orderBy(F.desc("value"), "phrase").limit(500)
+
+
 @query
 def skills_of_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = skills.with_skills(_texts(spark, sf_dir).select("id", "txt"), "txt")

@@ -1,5 +1,6 @@
 """Whole-table properties and brute-force comparisons on small tables."""
 
+import math
 import random
 import re
 import statistics
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 
 from offerflow import rules, schemas
 from offerflow.functions import skill_index, skills
-from offerflow.operators import consolidate, enrich, impute, stats, upsert
-from offerflow.operators.key_phrases import key_phrases
+from offerflow.operators import consolidate, enrich, impute, states, stats, upsert
+from offerflow.operators.key_phrases import corpus_phrases, key_phrases
 from offerflow.operators.keyed import exact_median, first_per_key, left_join_many
 from offerflow.sources import pages, site_rules, tables
 
@@ -351,3 +352,28 @@ def test_referentials_of_any_size_match_alike(spark):
     found = skills.match_skills(offers, "id", "t", many).collect()
     assert sorted({r.id for r in found}) == sorted({i for i, s, *_ in one if s == "sql"})
     assert skills.match_skills(offers, "id", "t", terms.limit(0)).collect() == []
+
+
+def test_states_of_days_add_up(spark, tmp_path):
+    offers = spark.createDataFrame([(str(i), f"c{i % 7}", "l", "CDI" if i % 3 else "CDD", f"2025-06-{1 + i % 4:02d}") for i in range(40)] + [("x", "c", "l", "CDI", None)],
+                                   "id string, company_name string, location string, contract_type string, d string").withColumn("posted_date", F.col("d").cast("date"))
+    enriched = spark.createDataFrame([(str(i), 100 * i, 100 * i + 50, "IT") for i in range(0, 40, 2)],
+                                     "offre_id string, extracted_salary_min long, extracted_salary_max long, extracted_sector string")
+    for batch in (0, 1, 1):  # the second batch is repeated
+        states.append_states(offers.where(F.col("id").try_cast("int") % 2 == batch), enriched, str(tmp_path / "s"), batch)
+    found = states.overview_of_states(spark, str(tmp_path / "s"), F.lit("all"), F.col("day") >= "2025-06-02").collect()
+    kept = [i for i in range(40) if i % 4]
+    paid = [100 * i for i in kept if i % 2 == 0]
+    assert len(found) == 1 and found[0].total_offers == len(kept)
+    assert found[0].avg_salary_min == sum(paid) / len(paid) and found[0].avg_salary_max == sum(paid) / len(paid) + 50
+    assert (found[0].companies, found[0].locations, found[0].most_common_contract, found[0].most_common_sector) == (7, 1, "CDI", "IT")
+    assert min(paid) <= found[0].median_salary <= max(paid) + 50
+
+
+def test_a_phrase_inside_longer_ones_counts_for_itself_only(spark):
+    offers = spark.createDataFrame([(t,) for t in ["big data platform"] * 3 + ["big data", "data", None, ""]], "t string")
+    found = {r.phrase: (r.n, r.longer, r.value) for r in corpus_phrases(offers, "t").collect()}
+    assert found["big data platform"] == (3, 0, 6.0)
+    assert found["big data"] == (4, 1, round(math.log2(3) * 1, 6))
+    assert found["data"] == (5, 2, round(5 - (3 + 4) / 2, 6))
+    assert corpus_phrases(offers.limit(0), "t").collect() == []
