@@ -83,11 +83,18 @@ def _title(match: Column) -> Column:
 
 
 def pattern_skills(normalized: Column) -> Column:
-    """Every match of the named patterns, capitalised."""
-    matches = F.concat(*[
-        F.regexp_extract_all(normalized, F.lit(_named(p)), 0) for p in rules.NAMED_SKILL_PATTERNS.values()
-    ])
-    return F.transform(matches, _title)
+    """Every match of the named patterns, capitalised.
+
+    The cheapest test comes first: one of a pattern's first tokens somewhere, then as a whole token, then the pattern.
+    """
+    def matches(name: str, pattern: str) -> Column:
+        heads = rules.NAMED_SKILL_HEADS[name]
+        part = reduce(lambda a, b: a | b, [F.contains(normalized, F.lit(head)) for head in heads])
+        whole = F.rlike(normalized, F.lit(_any_of(heads)))
+        return F.when(part & whole, F.regexp_extract_all(normalized, F.lit(_named(pattern)), 0)).otherwise(
+            F.array().cast("array<string>"))
+
+    return F.transform(F.concat(*[matches(n, p) for n, p in rules.NAMED_SKILL_PATTERNS.items()]), _title)
 
 
 def filter_skills(found: Column) -> Column:
@@ -116,10 +123,7 @@ def with_skills(
     nothing = F.array().cast("array<string>")
 
     def with_extras(normalized: Column) -> Column:
-        # cheapest test first: a first token somewhere, then as a whole token, then the patterns
-        part = reduce(lambda a, b: a | b, [F.contains(normalized, F.lit(head)) for head in rules.NAMED_SKILL_HEADS])
-        whole = F.rlike(normalized, F.lit(_any_of(rules.NAMED_SKILL_HEADS)))
-        extras = F.when(part & whole, F.transform(pattern_skills(normalized), strip))
+        extras = F.transform(pattern_skills(normalized), strip)
         return F.struct(normalized.alias("text"), F.coalesce(extras, nothing).alias("extras"))
 
     normalized = F.when(F.col(text).rlike(NOT_SPACE), normalize_nfkd(F.col(text)))

@@ -64,9 +64,15 @@ def first_number(c: Column) -> Column:
     return to_number(F.regexp_extract(F.translate(c, "\u202f ", ""), r"([0-9]+(?:\.[0-9]+)?)", 1), "double")
 
 
+def _strip_ends(c: Column) -> Column:
+    """The same for a value that costs nothing to repeat: only a text with a blank at an end is searched."""
+    ends = F.concat(F.left(c, F.lit(1)), F.right(c, F.lit(1)))
+    return F.when(F.rlike(ends, F.lit(SPACE)), strip(c)).otherwise(c)
+
+
 def fragments(values: Column) -> Column:
     """Trimmed, non-blank elements of a list of text fragments."""
-    return F.filter(F.transform(values, strip), lambda x: x != "")
+    return F.filter(F.transform(values, _strip_ends), lambda x: x != "")
 
 
 def join_fragments(values: Column, separator: str) -> Column:

@@ -211,11 +211,14 @@ NAMED_SKILL_PATTERNS = {
                         r"\s+(?:courant|bilingue|natif|avanc[eé]|interm[eé]diaire)",
     "certifications": r"(?:pmp|mba|phr|sphr|itil|six\s+sigma|iso\s+\d+)",
 }
-# First ASCII token with which a match of a named pattern starts.
-NAMED_SKILL_HEADS = (
-    "aws", "azure", "gcp", "ms", "microsoft", "agile", "scrum", "kanban", "waterfall", "lean", "six", "francais",
-    "anglais", "arabe", "espagnol", "allemand", "portugais", "pmp", "mba", "phr", "sphr", "itil", "iso",
-)
+# First ASCII tokens with which the matches of a named pattern start.
+NAMED_SKILL_HEADS = {
+    "cloud_certifications": ("aws", "azure", "gcp"),
+    "microsoft_tools": ("ms", "microsoft"),
+    "project_methodologies": ("agile", "scrum", "kanban", "waterfall", "lean", "six"),
+    "spoken_languages": ("francais", "anglais", "arabe", "espagnol", "allemand", "portugais"),
+    "certifications": ("pmp", "mba", "phr", "sphr", "itil", "six", "iso"),
+}
 # Label <- phrases that trigger it.
 CONTEXT_SKILLS = {
     "Gestion de projet": ("gestion de projet", "project management", "management de projet"),

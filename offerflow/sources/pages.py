@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import sys
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
@@ -45,6 +46,8 @@ class _Node:
         self.children: list[_Node | str] = []
         # Place among the siblings of the same tag, next element, last child element: set while the tree grows.
         self.turn, self.next, self.last, self.tags = 0, None, None, {}
+        # Place in the document, end of the elements below, index of the whole tree: set by ``_indexed``.
+        self.start, self.end, self.index = 0, 0, None
 
     def add(self, node: _Node) -> None:
         node.turn = self.tags[node.tag] = self.tags.get(node.tag, 0) + 1
@@ -56,12 +59,10 @@ class _Node:
     def elements(self) -> list[_Node]:
         return [c for c in self.children if isinstance(c, _Node)]
 
-    def below(self) -> Iterator[_Node]:
-        stack = self.elements()[::-1]
-        while stack:
-            node = stack.pop()
-            yield node
-            stack.extend(node.elements()[::-1])
+    def found(self, key: str) -> list[_Node]:
+        """Elements below with a tag, ``.class`` or ``#id``, or all of them (empty key), in document order."""
+        places, nodes = (self.index or _indexed(self)).get(key, ((), ()))
+        return nodes[bisect_right(places, self.start):bisect_right(places, self.end)]
 
     def texts(self, own: bool = True, deep: bool = True) -> Iterator[str]:
         stack: list[tuple[_Node | str, bool]] = [(c, own) for c in self.children[::-1]]
@@ -74,6 +75,31 @@ class _Node:
                 stack.extend((c, True) for c in child.children[::-1])
 
 
+def _indexed(node: _Node) -> dict[str, tuple[list[int], list[_Node]]]:
+    """The elements of the whole tree by tag, class and id, each with its place; made once for all selectors of a page."""
+    while node.parent is not None:
+        node = node.parent
+    index: dict[str, tuple[list[int], list[_Node]]] = {}
+    place, stack = 0, [node]
+    while stack:
+        node = stack.pop()
+        if node.index is not None:  # all elements below have their places
+            node.end = place
+            continue
+        place += 1
+        node.start, node.index = place, index
+        keys = {"", node.tag, *(f".{c}" for c in node.attrs.get("class", "").split())}
+        if "id" in node.attrs:
+            keys.add(f"#{node.attrs['id']}")
+        for key in keys:
+            places, nodes = index.setdefault(key, ([], []))
+            places.append(place)
+            nodes.append(node)
+        stack.append(node)
+        stack.extend(node.elements()[::-1])
+    return index
+
+
 class _Tree(HTMLParser):
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
@@ -112,10 +138,13 @@ _STEP = re.compile(r"""^([a-z0-9*]*)((?:[.#][\w-]+|\[[^\]]+\]|:[a-z-]+(?:\(\d+\)
 
 
 @lru_cache(maxsize=None)
-def _compiled(step: str) -> tuple[str, list[Callable[[_Node], bool]]]:
-    """Tag of a step and its tests; the steps are those of the site rules."""
+def _compiled(step: str) -> tuple[str, str, list[Callable[[_Node], bool]]]:
+    """Key of the index that has the fewest elements for a step, its tag and its other tests; the steps are those of the site rules."""
     tag, rest = _STEP.match(step).groups()
-    return tag, [_test(part) for part in re.findall(r"[.#][\w-]+|\[[^\]]+\]|:[a-z-]+(?:\(\d+\))?", rest)]
+    tag = "" if tag == "*" else tag
+    parts = re.findall(r"[.#][\w-]+|\[[^\]]+\]|:[a-z-]+(?:\(\d+\))?", rest)
+    key = next((p for sign in "#." for p in parts if p[0] == sign), tag)
+    return key, tag, [_test(part) for part in parts if part != key]
 
 
 def _test(part: str) -> Callable[[_Node], bool]:
@@ -134,11 +163,6 @@ def _test(part: str) -> Callable[[_Node], bool]:
     return lambda n: n.attrs.get(name) == value
 
 
-def _matches(node: _Node, step: str) -> bool:
-    tag, tests = _compiled(step)
-    return tag in ("", "*", node.tag) and all(test(node) for test in tests)
-
-
 def _select(root: _Node, path: str) -> list[_Node]:
     """Elements below ``root`` on a path of descendant steps, in document order."""
     nodes = [root]
@@ -153,7 +177,8 @@ def _select(root: _Node, path: str) -> list[_Node]:
                     after = after.next
                 candidates = [after] if after is not None else []
             else:
-                candidates = [e for e in node.below() if _matches(e, step)]
+                key, tag, tests = _compiled(step)
+                candidates = [e for e in node.found(key) if tag in ("", e.tag) and all(test(e) for test in tests)]
             for candidate in candidates:
                 found.setdefault(id(candidate), candidate)
         nodes = list(found.values())
