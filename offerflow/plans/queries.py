@@ -284,7 +284,8 @@ def overview_of_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = enrich.offers_left_enriched(offers.where(since).select("id", F.trunc("posted_date", "month").alias("period")), enriched)
     middle = F.expr("(extracted_salary_min + extracted_salary_max) div 2")
     ranks = rows.join(merged.select("period", "median_salary"), "period").groupBy("period").agg(
-        (F.count_if(middle < F.col("median_salary")) / F.count(middle)).alias("below"), (F.count_if(middle <= F.col("median_salary")) / F.count(middle)).alias("upto"))
+        F.try_divide(F.count_if(middle < F.col("median_salary")), F.count(middle)).alias("below"),
+        F.try_divide(F.count_if(middle <= F.col("median_salary")), F.count(middle)).alias("upto"))
 
     def close(estimate: str, truth: str) -> Column:
         return F.abs(F.col(estimate) - F.col(truth)) <= F.greatest(F.lit(1), 0.05 * F.col(truth))
