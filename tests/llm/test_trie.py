@@ -81,7 +81,7 @@ def test_a_single_batch_gives_the_same(spark):
     r = random.Random(5)
     rows = [(c, t, "u", r.choice("ab"), "x", 1, 1) for c in range(80) for t in range(r.randint(1, 7))]
     turns, convs = rebuilt(digests(spark.createDataFrame(rows, SCHEMA)))
-    one, many = (sorted(map(tuple, prefix_trie(turns, convs, b).collect())) for b in ((1,), (1, 2, 3, 4, 8)))
+    one, many = (sorted(map(tuple, prefix_trie(turns, convs, b).collect())) for b in ((1,), (1, 3, 8)))
     assert one == many
 
 
