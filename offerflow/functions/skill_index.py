@@ -7,15 +7,19 @@ are expected normalised and in lower case.
 from __future__ import annotations
 
 import re
+import sys
 from bisect import bisect_right
 from collections.abc import Iterable
-from functools import lru_cache
 
 import ahocorasick
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The index travels with the job, so workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LEFT, RIGHT = "(?<![a-zA-Z0-9])", "(?![a-zA-Z0-9])"
 GAP = r"[ \t\n\x0b\f\r\-]+"
 _BLANKS = "\t\n\x0b\f\r-"
@@ -128,10 +132,15 @@ class TermIndex:
         return hits
 
 
-@lru_cache(maxsize=8)
+_BUILT: dict[tuple[str, ...], TermIndex] = {}
+
+
 def index_of(terms: tuple[str, ...]) -> TermIndex:
-    """Built once for each Python worker."""
-    return TermIndex(terms)
+    """Built once for each task."""
+    if terms not in _BUILT:
+        _BUILT.clear()
+        _BUILT[terms] = TermIndex(terms)
+    return _BUILT[terms]
 
 
 def scored_skills(texts: Column, entries: tuple[tuple[str, str], ...]) -> Column:

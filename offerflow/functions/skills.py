@@ -7,11 +7,13 @@ Texts are normalised once; one automaton over all dictionary terms then finds, c
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 from collections.abc import Iterable
 from functools import reduce
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,8 @@ from offerflow.functions.labels import let, literal_array
 from offerflow.functions.skill_index import scored_skills, terms_found
 from offerflow.functions.text import NOT_AFTER_WORD, NOT_BEFORE_WORD, NOT_SPACE, lowered_text, strip
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _LEFT, _RIGHT = "(?<![a-zA-Z0-9])", "(?![a-zA-Z0-9])"
 _GAP = r"[\s\-]+"
 #: Skills of a referential that a task may hold as an automaton.
