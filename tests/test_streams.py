@@ -2,7 +2,9 @@
 
 import os
 import random
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from offerflow import schemas
 from offerflow.operators.upsert import upsert_by_key
 from offerflow.operators.versions import BucketedTable
 from offerflow.streaming import jobs
+from offerflow.streaming.first import KeepFirst
 
 AS_OF = "2025-07-01 10:00:00"
 
@@ -64,6 +67,58 @@ def test_states_are_dropped_when_their_time_is_over(spark, tmp_path):
     assert counts[-1] < 150  # the keys of the first steps are forgotten
 
 
+class Handle:
+    """A state store and timers for one group, with the number of calls."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def called(self, result=None):
+        self.calls += 1
+        return result
+
+    def get(self):
+        return self.called(self.value)
+
+    def update(self, value):
+        self.value = self.called(value)
+
+    def clear(self):
+        self.value = self.called()
+
+    def registerTimer(self, at):
+        self.called(self.timers.add(at))
+
+    def deleteTimer(self, at):
+        self.called(self.timers.remove(at))
+
+
+def test_many_keys_cost_one_read_and_one_write(spark):
+    handle, first = Handle(), KeepFirst(10_000, 1, ["number", "id"])
+    first.init(handle)
+    r, kept, last = random.Random(4), [], {}
+    for arrival in range(3):
+        handle.calls = 0
+        rows = [(i, f"k{i % 200}" if i % 201 else None, 1000 * (10 * arrival + r.randint(0, 14)), i) for i in range(arrival * 1000, arrival * 1000 + 1000)]
+        frame = pd.DataFrame([(n, key, at, o, key, 0) for n, key, at, o in rows], columns=["number", "id", "a", "b", "c", "d"], dtype=object)
+        found = [int(n) for f in first.handleInputRows((0,), iter([frame[:300], frame[300:]]), None) for n in f["number"]]
+        kept = []
+        for n, key, at, _ in sorted(rows, key=lambda row: (row[2], row[3])):
+            if key not in last or at >= last[key] + 10_000:
+                kept.append(n)
+                last[key] = at
+        assert found == kept and handle.calls <= 4
+        assert handle.timers == {min(last.values()) // 1000 + 10}
+    # the timer drops the keys that are over and is set again for the others
+    now = handle.timers.pop()
+    first.handleExpiredTimer((0,), SimpleNamespace(getCurrentWatermarkInMs=lambda: now), SimpleNamespace(getExpiryTimeInMs=lambda: now))
+    left = {key: at for key, at in last.items() if at // 1000 + 10 > now}
+    assert dict(zip(*handle.value[:2], strict=True)) == left and handle.timers == {min(left.values()) // 1000 + 10}
+
+
 def table_of(spark, tmp_path, buckets=8):
     schema = spark.createDataFrame([], "id string, value int").schema
     return BucketedTable(str(tmp_path / "table"), "id", schema, buckets)
