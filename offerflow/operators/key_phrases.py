@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from offerflow.functions.labels import let
 from offerflow.functions.phrases import candidate_phrases, with_phrases
 from offerflow.workdir import written
 
@@ -27,15 +28,17 @@ def corpus_phrases(offers: DataFrame, text: str) -> DataFrame:
     found = offers.select(F.explode_outer(candidate_phrases(F.col(text))).alias("phrase")).where("phrase IS NOT NULL")
     own = written(found.groupBy("phrase").agg(F.count(F.lit(1)).alias("own")), "phrases")
     words = F.split("phrase", " ")
-    spans = F.flatten(F.transform(F.sequence(F.lit(1), F.size("words")), lambda begin: F.transform(
-        F.sequence(F.lit(1), F.size("words") - begin + 1), lambda size: F.array_join(F.slice("words", begin, size), " "))))
-    inside = own.withColumn("words", words).where(F.size("words") > 1).select(
-        F.col("phrase").alias("whole"), "own", F.explode(spans).alias("phrase")).where("phrase <> whole")
-    inside = inside.groupBy("phrase", "whole").agg(F.sum("own").alias("times"))
-    nested = inside.groupBy("phrase").agg(F.sum("times").alias("times"))
+    spans = let(words, lambda w: F.flatten(F.transform(F.sequence(F.lit(1), F.size(w)), lambda begin: F.transform(
+        F.sequence(F.lit(1), F.size(w) - begin + 1), lambda size: F.array_join(F.slice(w, begin, size), " ")))))
+    longer = F.size(words) > 1
+
+    def inside(rows: DataFrame, held: Column, value: str) -> DataFrame:
+        """Shorter phrases with a value of each phrase that holds them; a phrase is one row, so its spans need not meet those of others."""
+        return rows.where(longer).select(F.col("phrase").alias("whole"), value, F.explode(held).alias("phrase")).where("phrase <> whole")
+
+    nested = inside(own, spans, "own").groupBy("phrase").agg(F.sum("own").alias("times"))
     total = written(own.join(nested, "phrase", "left").select("phrase", (F.col("own") + F.coalesce("times", F.lit(0))).alias("n")), "phrase-totals")
-    above = inside.join(total.select(F.col("phrase").alias("whole"), "n"), "whole").groupBy("phrase").agg(
-        F.count(F.lit(1)).alias("longer"), F.sum("n").alias("above"))
+    above = inside(total, F.array_distinct(spans), "n").groupBy("phrase").agg(F.count(F.lit(1)).alias("longer"), F.sum("n").alias("above"))
     worth = F.col("n") - F.coalesce(F.try_divide("above", "longer"), F.lit(0.0))
     return total.join(above, "phrase", "left").select(
         "phrase", "n", F.coalesce("longer", F.lit(0)).alias("longer"), F.round(F.log2(F.size(words) + 1) * worth, 6).alias("value"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from offerflow import workdir
 from offerflow.functions import skill_index, skills
+from offerflow.operators.key_phrases import corpus_phrases
 from offerflow.plans import queries
 from offerflow.sources import pages as pg
 
@@ -63,3 +64,12 @@ def test_large_offers_are_written_as_several_files(spark, tmp_path, monkeypatch)
     for kind in ("csv", "json"):
         sizes = [os.path.getsize(f) for f in glob.glob(f"{base}/offers.{kind}/part-*")]
         assert len(sizes) > 3 and max(sizes) < sum(sizes) / 3
+
+
+def test_pairs_of_phrases_are_not_exchanged(spark, capsys):
+    rows = spark.createDataFrame([("data data engineer. data engineer, data. data data engineer",)], "t string")
+    found = corpus_phrases(rows, "t")
+    found.explain()
+    assert not [line for line in capsys.readouterr().out.splitlines() if "Exchange" in line and "whole" in line]
+    assert {x["phrase"]: (x["n"], x["longer"]) for x in found.collect()} == {
+        "data data engineer": (2, 0), "data engineer": (3, 1), "data": (6, 2)}
