@@ -1,6 +1,7 @@
 """Published runs, selection of candidates and calibrated probabilities."""
 
 import pytest
+from pyspark.ml.feature import IDF, HashingTF
 from pyspark.sql import functions as F
 
 from offerflow import schemas
@@ -82,3 +83,51 @@ def test_figures_of_nothing(spark):
     assert impute.candidate_figures(empty).collect() == [] and impute.reliability(empty, 5).collect() == []
     nothing = spark.createDataFrame([("c", 0.1, None, "a", 0.5)], empty.schema)
     assert impute.candidate_figures(nothing).collect() == []
+
+
+def test_coefficients_are_those_of_words_that_occur(spark):
+    """A score walks through the words of its text, not through a sparse matrix of all buckets; the model is the same."""
+    rows = [(i, *((f"alpha w{i % 5}", "always", "A") if i % 3 else (f"delta w{i % 7}", "always", "B") if i % 2 else ("gamma w1", "always", "C")))
+            for i in range(90)]
+    complete = spark.createDataFrame(rows, "id int, title string, description string, kind string")
+    settings = impute.ImputeConfig(max_iter=10, features=1 << 12, candidates=(0.01,))
+    features, fits, _ = impute.validated_fits(complete, ["kind"], "id", settings)
+    assert fits["kind", 0.01].stages[0].coefficientMatrix.numCols == 10  # alpha, gamma, delta, w0 to w6; "always" weighs nothing
+    texts = complete.select("id", "kind", F.concat_ws(" ", "title", "description").alias("_text"))
+    slim = impute.with_features(impute.fit_features(texts, "_text", settings), texts)
+    assert impute.with_features(features, texts).select("_features").collect() == slim.select("_features").collect()
+    whole = IDF(inputCol="_c", outputCol="_features").fit(counted := HashingTF(inputCol="_w", outputCol="_c", numFeatures=1 << 12).transform(
+        texts.withColumn("_w", F.split("_text", " ")))).transform(counted)
+    found = [{r.id: (r.label, pytest.approx(r.confidence, abs=1e-6)) for r in impute._classified(
+        impute.fit_imputer(some, "kind", 0.01, settings), some.select("id", "_features")).collect()} for some in (whole, slim)]
+    assert len(found[0]) == 90 and found[0] == {i: (label, c.expected) for i, (label, c) in found[1].items()}
+
+
+def test_texts_that_are_all_the_same(spark):
+    rows = [(i, "alpha", "beta", "A" if i % 3 else "B") for i in range(60)]
+    complete = spark.createDataFrame(rows, "id int, title string, description string, kind string")
+    settings = impute.ImputeConfig(max_iter=5, features=1 << 8)
+    model = impute.train_columns(complete, ["kind"], "id", settings)["kind"]
+    found = impute.predict_imputer(model, complete.select("id", F.lit("alpha beta").alias("_text"))).collect()
+    assert {r.label for r in found} == {"A"} and len(found) == 60
+
+
+def test_rules_read_rows_that_lack_a_value_only(spark, monkeypatch):
+    rows = [("1", "Python", "salaire 300000 fcfa", ["Sql"], 5, 6), ("2", "Python", "salaire 300000 fcfa", None, None, 6),
+            ("3", "Docker", "salaire 400000 fcfa", None, 5, 6), ("4", "Docker", "salaire 400000 fcfa", ["Sql"], 5, None)]
+    df = spark.createDataFrame(rows, "id string, title string, description string, extracted_skills array<string>, "
+                                     "extracted_salary_min long, extracted_salary_max long")
+    read, with_skills, with_salary = {}, impute.with_skills, impute.with_salary
+
+    def spied(name, real):
+        def spy(texts, text, *more):
+            read[name] = {r.id for r in texts.where(F.col(text).isNotNull()).select("id").collect()}
+            return real(texts, text, *more)
+        monkeypatch.setattr(impute, name, spy)
+
+    spied("with_skills", with_skills)
+    spied("with_salary", with_salary)
+    filled, _ = impute.run_full_imputation(df, "id")
+    assert read == {"with_skills": {"2", "3"}, "with_salary": {"2", "4"}}
+    assert {r.id: (r.extracted_skills, r.extracted_salary_min, r.extracted_salary_max) for r in filled.collect()} == {
+        "1": (["Sql"], 5, 6), "2": (["Python"], 300000, 6), "3": (["Docker"], 5, 6), "4": (["Sql"], 5, 400000)}
