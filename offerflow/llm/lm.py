@@ -15,13 +15,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerflow.llm.common import WORD, ranked, written
+from offerflow.llm.common import ranked, written
+from offerflow.llm.lm_parts import END, FIRST, RARE, scored_by_parts, tokens_of
+from offerflow.workdir import written_alone
 
-#: Ids of a word that is too rare for the tree, of the end token, and of the first other word.
-RARE, END, FIRST = 0, 1, 2
+#: Characters of texts for each entry up to which goes to tasks, from which on the model is expected to be larger.
+EXPECTED = 500
 #: Entries that a task counts before it passes them on, and rows it yields at once.
 HELD, ROWS = 1 << 19, 1 << 16
 
@@ -30,17 +32,16 @@ HELD, ROWS = 1 << 19, 1 << 16
 class Settings:
     """``least``: occurrences of a context with its next word to be counted in the tree. ``cutoff``: log likelihood
     a state must win per stored count. ``broadcast``: words, and counts per level, up to which
-    the model goes to every task; beyond it the same model is learned and applied by joins."""
+    the model goes to every task; beyond it the same model is learned and applied by parts (``lm_parts``). ``part``: tokens of coded
+    texts that are looked up together there. ``spread``: occurrences from which on continuations of a context are in all buckets."""
 
     depth: int = 3
     least: int = 10
     discount: float = 0.75
     cutoff: float = 3.0
     broadcast: int = 2_000_000
-
-
-def tokens_of(text: str | None) -> list[bytes]:
-    return (text or "").encode().lower().split()
+    part: int = 2 << 20
+    spread: int = 1 << 20
 
 
 def held_out(key: Column) -> Column:
@@ -251,57 +252,6 @@ def _scored_in_tasks(coded: DataFrame, rare_words: DataFrame, levels: list[Level
         (F.col("tree") + seen - F.col("n_rare") * size_log).alias("score"))
 
 
-def _positions(rows: DataFrame, vocabulary: DataFrame, heavy: DataFrame, ends: int, depth: int) -> DataFrame:
-    """A row per token: ``uid``, ``held_out``, its training count ``c``, ``id`` and the ids ``w1`` to ``w<depth>`` before it."""
-    lowered = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    tokens = rows.select("uid", "key", "held_out", F.posexplode(F.concat(
-        F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0)), F.array(F.lit("")))).alias("pos", "word"))
-    known = vocabulary.join(heavy.select("word", "id"), "word", "left")
-    found = tokens.join(known, "word", "left").withColumn("c", F.when(F.col("word") == "", ends).otherwise(F.coalesce("n", F.lit(0)))) \
-        .withColumn("id", F.when(F.col("word") == "", END).otherwise(F.coalesce("id", F.lit(RARE))))
-    order = Window.partitionBy("uid").orderBy("pos")
-    return found.select("uid", "key", "held_out", "pos", "c", "id", *[
-        F.coalesce(F.lag("id", k).over(order), F.lit(RARE)).alias(f"w{k}") for k in range(1, depth + 1)])
-
-
-def _scored_by_joins(rows: DataFrame, vocabulary: DataFrame, heavy: DataFrame, ends: int, total: int, distinct: int,
-                     settings: Settings) -> DataFrame:
-    """The same model and scores with the model as tables of any size. ``rows``: ``key``, ``held_out``, ``text``."""
-    size = total + distinct + 1.0
-    texts = written(rows.withColumn("uid", F.monotonically_increasing_id()), "texts")
-    tokens = written(_positions(texts, vocabulary, heavy, ends, settings.depth), "tokens")
-    ends_row = rows.sparkSession.createDataFrame([(END, ends)], "id long, n long")
-    shorter = heavy.select("id", "n").union(ends_row).select("id", "n", ((F.col("n") + 1.0) / size).alias("p"))
-    prob = (F.col("c") + 1.0) / size
-    for k in range(1, settings.depth + 1):
-        context = [f"w{i}" for i in range(1, k + 1)]
-        counted = tokens.where(F.expr(" and ".join(["not held_out", f"id >= {END}", *(f"{w} >= {FIRST}" for w in context)]))) \
-            .groupBy(*context, "id").agg(F.count("*").alias("n")).where(F.col("n") >= settings.least)
-        before = shorter.select(*context[:-1], "id", F.col("p").alias("p_before"))
-        # a context's own count: its newest word after the older ones, counted one level up
-        seen = shorter.select(*[F.col(f"w{i}").alias(f"w{i + 1}") for i in range(1, k)], F.col("id").alias("w1"), F.col("n").alias("seen"))
-        edges = counted.join(before, [*context[:-1], "id"]).join(seen, context)
-        edges = edges.withColumn("share", (F.col("n") - settings.discount) / F.col("seen"))
-        back = edges.groupBy(*context).agg((1 - F.sum("share")).alias("back"))
-        edges = edges.join(back, context).withColumn("own", F.col("share") + F.col("back") * F.col("p_before"))
-        gain = F.sum(F.col("n") * F.log(F.col("own") / F.col("p_before")))
-        rest = F.first("seen") - F.sum("n")
-        tested = edges.groupBy(*context).agg(
-            (gain + F.when(rest > 0, rest * F.log(F.first("back"))).otherwise(0.0)).alias("gain"), F.count("*").alias("edges"))
-        states = tested.where(F.col("gain") >= settings.cutoff * F.col("edges")).select(*context, F.lit(True).alias("state"))
-        shorter = written(edges.join(states, context, "left").select(
-            *context, "id", "n", "share", "back", "state", F.when(F.col("state"), F.col("own")).otherwise(F.col("p_before")).alias("p")),
-            f"level-{k}")
-        kept = shorter.where("state").select(*context, "id", F.col("share").alias(f"share{k}"))
-        left = shorter.where("state").groupBy(*context).agg(F.first("back").alias(f"back{k}"))
-        tokens = tokens.join(left, context, "left").join(kept, [*context, "id"], "left")
-        prob = F.coalesce(f"share{k}", F.lit(0.0)) + F.coalesce(f"back{k}", F.lit(1.0)) * prob
-    known = F.sum((F.col("c") > 0).cast("long"))
-    return tokens.groupBy("uid").agg(
-        F.first("key").alias("key"), F.first("held_out").alias("held_out"), F.count("*").alias("n_tokens"), known.alias("n_known"),
-        F.sum(F.log10((F.col("c") + 1.0) / size)).alias("base_score"), F.sum(F.log10(prob)).alias("score")).drop("uid")
-
-
 def scores(docs: DataFrame, held: Column | None = None, key: str = "doc_id", text: str = "text",
            settings: Settings = Settings()) -> DataFrame:  # noqa: B008
     """Learn from the documents that are not held out, score all.
@@ -318,8 +268,11 @@ def scores(docs: DataFrame, held: Column | None = None, key: str = "doc_id", tex
     """
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(held if held is not None else held_out(F.col(key)), F.lit(False)).alias("held_out"),
                        F.col(text).alias("text"))
-    vocabulary = written(word_counts(rows.where("not held_out")), "word-counts")
-    ends = rows.where("not held_out").count()
+    sizes = rows.agg(F.sum((~F.col("held_out")).cast("long")), F.sum(F.length("text"))).first()
+    ends, characters = (x or 0 for x in sizes)
+    if characters > EXPECTED * settings.broadcast:
+        return scored_by_parts(rows, ends, settings)
+    vocabulary = written_alone(word_counts(rows.where("not held_out")), "word-counts")
     sums = vocabulary.agg(F.sum("n"), F.count("*")).first()
     total, distinct = (sums[0] or 0) + ends, sums[1] + (1 if ends else 0)
     frequent = vocabulary.where(F.col("n") >= settings.least)
@@ -333,7 +286,7 @@ def scores(docs: DataFrame, held: Column | None = None, key: str = "doc_id", tex
         word_n[table["id"]], word_n[END] = table["n"], ends
         coded = _coded(rows, words)
         for _ in range(settings.depth):
-            counted = written(_continuations(coded, levels, len(word_n), settings.least), "continuations")
+            counted = written_alone(_continuations(coded, levels, len(word_n), settings.least), "continuations")
             if counted.count() > settings.broadcast:
                 small = False
                 break
@@ -341,9 +294,8 @@ def scores(docs: DataFrame, held: Column | None = None, key: str = "doc_id", tex
             keys, n = (arrays[c].to_numpy() for c in ("key", "n"))
             order = np.argsort(keys)
             levels.append(Level(keys[order], n[order]))
-    if small:
-        retain(levels, word_n, total, distinct, settings)
-        found = _scored_in_tasks(coded, vocabulary.where(F.col("n") < settings.least), levels, word_n, total, distinct)
-    else:
-        found = _scored_by_joins(rows, vocabulary, heavy, ends, total, distinct, settings)
+    if not small:
+        return scored_by_parts(rows, ends, settings)
+    retain(levels, word_n, total, distinct, settings)
+    found = _scored_in_tasks(coded, vocabulary.where(F.col("n") < settings.least), levels, word_n, total, distinct)
     return found.withColumn("train_tokens", F.lit(total).cast("long"))
