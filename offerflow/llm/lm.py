@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerflow.llm.common import ranked, written
-from offerflow.llm.lm_parts import END, FIRST, RARE, scored_by_parts, tokens_of
+from offerflow.llm.lm_parts import END, FIRST, RARE, ranks, scored_by_parts, tokens_of
 from offerflow.workdir import written_alone
 
 #: Characters of texts for each entry up to which goes to tasks, from which on the model is expected to be larger.
@@ -173,7 +173,7 @@ def _continuations(coded: DataFrame, levels: list[Level], words: int, least: int
         held = (np.empty(0, dtype=np.int64),) * 2
 
         def merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            found, at = np.unique(keys, return_inverse=True)
+            found, at = ranks(keys)
             return found, np.bincount(at, weights=counts).astype(np.int64)
 
         def passed() -> Iterator[pa.RecordBatch]:

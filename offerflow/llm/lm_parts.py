@@ -69,7 +69,7 @@ def unpacked(data: bytes) -> list[np.ndarray]:
     return found
 
 
-def _ranks(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def ranks(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys (none below 0) in order, and the place of each key among them.
 
     As ``np.unique``; keys that leave room for their places are sorted together with these, which takes a fraction of its time.
@@ -257,7 +257,7 @@ def _asked(context: np.ndarray, place: np.ndarray, items: Items, buckets: int, s
     """``context``, ``place``: of each token, items of the level before that end before it and with it (-1: none)."""
     size, inside = len(items.id), context >= 0
     tokens = np.flatnonzero(inside & (place >= 0))  # a longer context with this token cannot be frequent where the shorter is not
-    keys, of_token = _ranks(context[tokens].astype(np.int64) * size + place[tokens])
+    keys, of_token = ranks(context[tokens].astype(np.int64) * size + place[tokens])
     before, shorter = keys // max(1, size), keys % max(1, size)
     hot = items.n >= settings.spread
     bucket = items.id[before] % buckets
@@ -290,9 +290,9 @@ def _continued(asked: DataFrame, level: int, buckets: int, settings: Settings) -
     """
     def answer(bucket: int, parts: list[int], asked: list[list[np.ndarray]]) -> Rows:
         ids, runs, shorter, counts = (np.concatenate(x) for x in zip(*asked, strict=True))
-        contexts, of_entry = _ranks(ids)
-        shorters, of_shorter = _ranks(shorter)
-        keys, of_key = _ranks(np.repeat(of_entry, runs).astype(np.int64) * max(1, len(shorters)) + of_shorter)
+        contexts, of_entry = ranks(ids)
+        shorters, of_shorter = ranks(shorter)
+        keys, of_key = ranks(np.repeat(of_entry, runs).astype(np.int64) * max(1, len(shorters)) + of_shorter)
         n = np.bincount(of_key, weights=counts, minlength=len(keys)).astype(np.int64)
         counted = np.flatnonzero(n >= settings.least)
         place = np.zeros(len(keys), dtype=np.int64)

@@ -63,3 +63,11 @@ def test_packed_arrays_come_back():
               np.array([-5, 3], dtype=np.int64).view(np.uint64)]
     back = lm_parts.unpacked(lm_parts.packed(*arrays))
     assert [x.tolist() for x in back] == [[], [0, 255, 256, 1 << 40], [1, 0], [0.1, -1e300, 1.0], [], [-5, 3]]
+
+
+@pytest.mark.parametrize("most", [1, 50, 1 << 61])
+def test_ranks_are_those_of_numpy(most):
+    for size in (0, 1, 1000):
+        keys = np.random.default_rng(4).integers(0, most, size)
+        for x, y in zip(lm_parts.ranks(keys), np.unique(keys, return_inverse=True), strict=True):
+            assert x.tolist() == y.tolist()
